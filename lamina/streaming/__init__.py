@@ -1,0 +1,5 @@
+"""Deliberately empty: every job in scope is a daily batch with full overwrite.
+
+The scope has no watermark, window-over-stream or keyed state, so there is
+nothing to express with Structured Streaming.
+"""
