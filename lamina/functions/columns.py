@@ -39,7 +39,10 @@ def parse_date(col: Column, data_type: T.DataType = T.StringType()) -> Column:
         return col.cast("date")
     text = col.cast("string")
     slash = F.regexp_extract(text, SLASH_DATE, 1)
+    # Plain ISO dates need no regular expression; the cast alone would also take a bare year or month.
+    looks_iso = (F.substring(text, 5, 1) == "-") & F.contains(F.substring(text, 7, 2), F.lit("-"))
     return F.coalesce(
+        F.when(looks_iso, text.try_cast("date")),
         F.regexp_extract(text, ISO_DATE, 1).try_cast("date"),
         F.regexp_replace(slash, r"^([0-9]+)/([0-9]+)/([0-9]+)$", "$3-$1-$2").try_cast("date"),
     )

@@ -7,7 +7,8 @@ file lists and step results, one entry per dataset or table, come to the driver.
 import argparse
 import json
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
@@ -45,6 +46,10 @@ class Medallion:
     datasets: Sequence[str] = tuple(fixed.DATASETS)
     # Column types of the files; a dataset without an entry has them inferred, which reads it twice.
     schemas: Mapping[str, StructType | str] = field(default_factory=dict)
+    # Without line breaks inside CSV values a file can be split among tasks.
+    multi_line: bool = True
+    # Tables that are worked on at the same time within a step.
+    parallel: int = 4
 
     def __post_init__(self) -> None:
         if self.mode not in fixed.MODES:
@@ -54,6 +59,11 @@ class Medallion:
         self.manifest_path = self.lake.path("raw", "manifest")
         self.log = runlog.RunLog(self.spark, self.lake.path("runs", "log"), mode=self.mode)
 
+    def _each(self, job: Callable, items: Iterable) -> list:
+        """Results of ``job`` per item, in order. The Spark jobs of different tables run side by side."""
+        with ThreadPoolExecutor(self.parallel) as pool:
+            return list(pool.map(job, items))
+
     # Extraction
 
     def extract(self, sources: Mapping[str, Source], more_files: Sequence[dict] = ()) -> dict:
@@ -62,12 +72,9 @@ class Medallion:
         A source that fails is listed with its error; the others go on. ``more_files`` are
         entries of files that are already in place, such as documents.
         """
-        entries: list[dict] = []
-        for name, source in sources.items():
-            if self.mode == "sample":
-                entries.append(self._extract_one(name, source, "json"))
-            entries.append(self._extract_one(name, source, "csv"))
-        entries.extend(more_files)
+        kinds = ["json", "csv"] if self.mode == "sample" else ["csv"]
+        extracts = [(name, source, kind) for kind in kinds for name, source in sources.items()]
+        entries = [*self._each(lambda e: self._extract_one(*e), extracts), *more_files]
         manifest.write_manifest(self.spark, self.manifest_path, entries, self.mode, _now())
         failed = [e for e in entries if str(e.get("status", "")).startswith("error")]
         return {
@@ -102,15 +109,10 @@ class Medallion:
         """Load the chosen file of every dataset, register the documents and append to the ingestion log."""
         listed = manifest.read_manifest(self.spark, manifest_path or self.manifest_path)
         chosen = [row.asDict() for row in manifest.structured_files(listed).collect()]
-        loaded, errors, records = [], [], []
-        for entry in chosen:
-            try:
-                if entry["format"] in ("json", "csv"):
-                    self._load_file(entry)
-                    loaded.append(entry["dataset_key"])
-                records.append(entry)
-            except Exception as error:
-                errors.append(f"{entry['local_path']}: {error}")
+        found = self._each(self._load_file, chosen)
+        records = [entry for entry, error in zip(chosen, found) if error is None]
+        loaded = [entry["dataset_key"] for entry in records if entry["format"] in ("json", "csv")]
+        errors = [error for error in found if error is not None]
         registered = lineage.document_registry(listed)
         if not registered.isEmpty():
             self.lake.overwrite(registered, "bronze", REGISTRY)
@@ -126,13 +128,21 @@ class Medallion:
             "total_files": listed.count(), "errors": errors,
         }
 
-    def _load_file(self, entry: dict) -> None:
+    def _load_file(self, entry: dict) -> str | None:
+        """Load one listed file and return its error, if there is one; other formats are only logged."""
         schema = self.schemas.get(entry["dataset_key"])
-        if entry["format"] == "csv":
-            table = files.read_csv(self.spark, entry["local_path"], schema, infer_schema=schema is None)
-        else:
-            table = files.read_json_documents(self.spark, entry["local_path"], schema)
-        self.lake.overwrite(lineage.enrich(table, entry), "bronze", entry["dataset_key"])
+        try:
+            if entry["format"] == "csv":
+                table = files.read_csv(
+                    self.spark, entry["local_path"], schema, infer_schema=schema is None, multi_line=self.multi_line
+                )
+            elif entry["format"] == "json":
+                table = files.read_json_documents(self.spark, entry["local_path"], schema)
+            else:
+                return None
+            self.lake.overwrite(lineage.enrich(table, entry), "bronze", entry["dataset_key"])
+        except Exception as error:
+            return f"{entry['local_path']}: {error}"
 
     def load_json(self, path: str, dataset: str) -> DataFrame:
         """Load one JSON file outside a manifest, with lineage made from its path."""
@@ -173,8 +183,7 @@ class Medallion:
         }
 
     def transform_silver(self, pages: DataFrame | None = None) -> dict:
-        results = [self.transform_dataset(d) for d in self.datasets]
-        results.append(self.transform_documents(pages))
+        results = [*self._each(self.transform_dataset, self.datasets), self.transform_documents(pages)]
         return {
             "status": _status(results), "transformations": results,
             "total_output_rows": sum(r.get("output_rows", 0) for r in results),
@@ -212,10 +221,8 @@ class Medallion:
         vaccinations = self.lake.read_optional("silver", fixed.VACCINATIONS)
         # All case indicators come from this one aggregate, which is kept while they are written.
         daily = None if cases is None else kpis.daily(cases).persist()
-        results = []
         try:
-            for table, build in gold_tables(daily, vaccinations).items():
-                results.append(self._write_gold(table, build))
+            results = self._each(lambda b: self._write_gold(*b), gold_tables(daily, vaccinations).items())
         finally:
             if daily is not None:
                 daily.unpersist()
@@ -246,7 +253,7 @@ class Medallion:
 
     def load_warehouse(self) -> dict:
         start = time.monotonic()
-        results = [self.load_table(t) for t in fixed.GOLD_SCHEMAS]
+        results = self._each(self.load_table, fixed.GOLD_SCHEMAS)
         total = sum(r.get("rows", 0) for r in results)
         rejected = sum(r.get("rejected", 0) for r in results)
         status = _status(results)
