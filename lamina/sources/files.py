@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Quotes inside values are doubled; null is written as nothing and empty text as "".
+# Quotes inside values are doubled. Empty text and null look alike in CSV; both are read as null.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
 
@@ -43,7 +43,10 @@ def read_ndjson(spark: SparkSession, paths: str | list[str], schema: StructType
 
 
 def list_files(spark: SparkSession, prefix: str) -> DataFrame:
-    """Path, size and time of every file below ``prefix``; the contents are not read."""
+    """Path, size and time of every file below ``prefix``; the contents are not read.
+
+    Files of zero length are left out, as in every Spark scan.
+    """
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
         .select("path", "length", "modificationTime")
