@@ -5,6 +5,7 @@ last. A tie-break on the key makes every limited result unique.
 """
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,36 +70,57 @@ def latest_per_state(vaccination: DataFrame) -> DataFrame:
     return regional.join(latest, ["state", "report_date"])
 
 
-def latest_totals(vaccination: DataFrame) -> DataFrame:
-    """The sum over :func:`latest_per_state`, by two aggregations instead of a join."""
-    per_date = (
-        vaccination.filter(is_regional(F.col("state")) & F.col("report_date").isNotNull())
-        .groupBy("state", "report_date")
-        .agg(F.sum("doses_administered").alias("doses"), F.sum("fully_vaccinated").alias("full"))
+def vaccination_totals(vaccination: DataFrame) -> DataFrame:
+    """The national row if there is one, else the sum of the latest rows per state.
+
+    Both are taken in one pass: per state and date, then per state, then over all. Nulls
+    first in descending date order is ascending order of (has a date, days back).
+    """
+    state, date = F.col("state"), F.col("report_date")
+    national = F.struct(
+        date.isNotNull().alias("dated"), (-F.unix_date(date)).alias("back"), "state",
+        F.col("doses_administered").alias("doses"), F.col("fully_vaccinated").alias("full"), "report_date",
+    )
+    per_date = vaccination.groupBy("state", "report_date").agg(
+        F.sum("doses_administered").alias("doses"), F.sum("fully_vaccinated").alias("full"),
+        F.min(F.when(is_national(state), national)).alias("national"),
+    )
+    per_state = per_date.groupBy("state").agg(
+        F.max(F.when(is_regional(state) & date.isNotNull(), F.struct("report_date", "doses", "full"))).alias("latest"),
+        F.min("national").alias("national"),
     )
-    last = per_date.groupBy("state").agg(F.max(F.struct("report_date", "doses", "full")).alias("last"))
-    return last.agg(
-        F.sum("last.doses").alias("total_doses"),
-        F.sum("last.full").alias("total_fully_vaccinated"),
-        F.max("last.report_date").alias("vaccination_snapshot_date"),
+    found = per_state.agg(
+        F.min("national").alias("national"), F.sum("latest.doses").alias("doses"),
+        F.sum("latest.full").alias("full"), F.max("latest.report_date").alias("report_date"),
     )
+    return found.select(*[
+        F.when(F.col("national").isNotNull(), F.col(f"national.{c}")).otherwise(F.col(c)).alias(name)
+        for c, name in [
+            ("doses", "total_doses"), ("full", "total_fully_vaccinated"), ("report_date", "vaccination_snapshot_date")
+        ]
+    ])
 
 
-def vaccination_totals(vaccination: DataFrame) -> DataFrame:
-    """The national row if there is one, else the sum of the latest rows per state."""
-    national = national_snapshot(vaccination).withColumn("_priority", F.lit(0))
-    fallback = latest_totals(vaccination).withColumn("_priority", F.lit(1))
-    return national.unionByName(fallback).orderBy("_priority").limit(1).drop("_priority")
+def _overlaid(*parts: DataFrame) -> DataFrame:
+    """One row from tables of one row each with different columns."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 def summary(cases: DataFrame, deaths: DataFrame, vaccination: DataFrame) -> DataFrame:
-    """One row of headline figures. The three parts have one row each and are laid over each other."""
-    parts = (
-        case_totals(cases)
-        .unionByName(death_totals(deaths), allowMissingColumns=True)
-        .unionByName(vaccination_totals(vaccination), allowMissingColumns=True)
+    """One row of headline figures from the three indicator tables."""
+    return _overlaid(case_totals(cases), death_totals(deaths), vaccination_totals(vaccination))
+
+
+def summary_from_daily(daily_cases: DataFrame, vaccination: DataFrame) -> DataFrame:
+    """The same figures where cases and deaths are still one daily aggregate."""
+    totals = daily_cases.agg(
+        F.coalesce(F.sum("new_cases"), F.lit(0.0)).alias("total_new_cases"),
+        F.countDistinct("state").alias("states_count"),
+        F.max("report_date").alias("latest_report_date"),
+        F.coalesce(F.sum("new_deaths"), F.lit(0.0)).alias("total_new_deaths"),
     )
-    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+    return _overlaid(totals, vaccination_totals(vaccination))
 
 
 def state_totals(dashboard: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import fixed
 from lamina.operators.cleaning import clean
+from lamina.session import spread
 
 _CODES = "'ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMD'"
 
@@ -105,17 +106,19 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sql(self, text: str, *names: str) -> DataFrame:
-        return self.spark.sql(text, **{n: self[n] for n in names})
+    def sql(self, text: str, fact: str, *others: str, shared: bool = False) -> DataFrame:
+        """``shared`` spreads the fact table, where its test file would keep one task busy with much work."""
+        table = spread(self[fact]) if shared else self[fact]
+        return self.spark.sql(text, **{fact: table}, **{n: self[n] for n in others})
 
     def cases_raw(self) -> DataFrame:
-        return self.sql(CASES_RAW, "orders", "customer", "nation")
+        return self.sql(CASES_RAW, "orders", "customer", "nation", shared=True)
 
     def vaccinations_raw(self) -> DataFrame:
-        return self.sql(VACCINATIONS_RAW, "lineitem", "supplier", "nation")
+        return self.sql(VACCINATIONS_RAW, "lineitem", "supplier", "nation", shared=True)
 
     def respiratory_raw(self) -> DataFrame:
-        return self.sql(RESPIRATORY_RAW, "orders", "customer", "nation")
+        return self.sql(RESPIRATORY_RAW, "orders", "customer", "nation", shared=True)
 
     def flu_raw(self) -> DataFrame:
         return self.sql(FLU_RAW, "part")

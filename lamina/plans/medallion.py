@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from lamina.functions import fixed
 from lamina.operators import documents, kpis, lineage, paging, quality, runlog, views, warehouse
 from lamina.operators.cleaning import clean
-from lamina.session import build_session
+from lamina.session import build_session, spread
 from lamina.sources import files, manifest
 from lamina.sources.tables import Lake
 
@@ -140,7 +140,8 @@ class Medallion:
                 table = files.read_json_documents(self.spark, entry["local_path"], schema)
             else:
                 return None
-            self.lake.overwrite(lineage.enrich(table, entry), "bronze", entry["dataset_key"])
+            # Extracts are often one file that cannot be split; all cores shall write it.
+            self.lake.overwrite(lineage.enrich(spread(table), entry), "bronze", entry["dataset_key"])
         except Exception as error:
             return f"{entry['local_path']}: {error}"
 

@@ -11,7 +11,7 @@ from lamina.functions import fixed
 from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, serving, views, warehouse
 from lamina.plans.fixtures import Tables, rounded
 from lamina.plans.medallion import Medallion, Source, gold_tables
-from lamina.session import scratch_path
+from lamina.session import scratch_path, spread
 from lamina.sources import files, manifest
 from lamina.sources.tables import Lake, SchemaMismatch
 
@@ -79,7 +79,7 @@ def clean_flu(t: Tables) -> DataFrame:
 
 @register
 def dedup_keys(t: Tables) -> DataFrame:
-    return cleaning.deduplicate(t["lineitem"], ["l_orderkey", "l_linenumber"]).withColumn(
+    return cleaning.deduplicate(spread(t["lineitem"]), ["l_orderkey", "l_linenumber"]).withColumn(
         "l_shipdate", F.col("l_shipdate").cast("date")
     )
 
@@ -389,11 +389,13 @@ def _without_national(table: DataFrame) -> DataFrame:
 @register
 def summary(t: Tables) -> DataFrame:
     daily = _daily(t)
-    return rounded(serving.summary(kpis.cases_per_day(daily), kpis.deaths_per_day(daily), _vaccination_vs_cases(t)))
+    vaccination = kpis.vaccination_vs_cases(kpis.vaccination_daily(t.vaccinations()), daily)
+    return rounded(serving.summary_from_daily(daily, vaccination))
 
 
 @register
 def summary_with_fallback(t: Tables) -> DataFrame:
+    """The three tables as they would be read from the warehouse, without a national row."""
     daily, vaccination = _daily(t), _without_national(_vaccination_vs_cases(t))
     return rounded(serving.summary(kpis.cases_per_day(daily), kpis.deaths_per_day(daily), vaccination))
 

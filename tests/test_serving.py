@@ -53,15 +53,22 @@ def test_summary_of_empty_tables(spark, cases, deaths):
     assert (row.total_new_cases, row.states_count, row.total_new_deaths, row.total_doses) == (0.0, 0, 0.0, None)
 
 
+def test_summary_from_the_daily_aggregate(spark, cases, deaths):
+    daily = cases.join(deaths.drop("state"), "report_date", "left")
+    split = serving.summary(daily, daily, vaccination(spark)).first()
+    assert serving.summary_from_daily(daily, vaccination(spark)).first().asDict() == split.asDict()
+
+
 def test_latest_rows_keep_ties(spark, rows):
     table = vaccination(spark, ("TX", D1, 3.0, 2.0, 0.0, 0.0), ("NY", None, 4.0, 4.0, 0.0, 0.0))
     assert rows(serving.latest_per_state(table), "state", "doses_administered") == [("CA", 20.0), ("TX", 3.0), ("TX", 7.0)]
-    assert serving.latest_totals(table).first().total_doses == 30.0
+    assert serving.vaccination_totals(table).first().total_doses == 30.0
 
 
 def test_null_dates_come_first_in_the_national_snapshot(spark):
     table = vaccination(spark, ("US", None, 1.0, 1.0, 0.0, 0.0), ("US", D3, 2.0, 2.0, 0.0, 0.0))
     assert serving.national_snapshot(table).first().total_doses == 1.0
+    assert tuple(serving.vaccination_totals(table).first()) == tuple(serving.national_snapshot(table).first())
 
 
 def test_top_states_break_ties_by_name(spark):
