@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
+from lamina.operators.views import most_cases_first, newest_first
 
 
 def query(spark: SparkSession, text: str, params: Mapping | None = None) -> DataFrame:
@@ -36,14 +37,14 @@ def is_regional(state: Column) -> Column:
 
 def case_totals(cases: DataFrame) -> DataFrame:
     return cases.agg(
-        F.coalesce(F.sum("new_cases"), F.lit(0.0)).alias("total_new_cases"),
+        F.coalesce(F.sum("new_cases"), F.lit(0)).alias("total_new_cases"),
         F.countDistinct("state").alias("states_count"),
         F.max("report_date").alias("latest_report_date"),
     )
 
 
 def death_totals(deaths: DataFrame) -> DataFrame:
-    return deaths.agg(F.coalesce(F.sum("new_deaths"), F.lit(0.0)).alias("total_new_deaths"))
+    return deaths.agg(F.coalesce(F.sum("new_deaths"), F.lit(0)).alias("total_new_deaths"))
 
 
 def national_snapshot(vaccination: DataFrame) -> DataFrame:
@@ -115,10 +116,10 @@ def summary(cases: DataFrame, deaths: DataFrame, vaccination: DataFrame) -> Data
 def summary_from_daily(daily_cases: DataFrame, vaccination: DataFrame) -> DataFrame:
     """The same figures where cases and deaths are still one daily aggregate."""
     totals = daily_cases.agg(
-        F.coalesce(F.sum("new_cases"), F.lit(0.0)).alias("total_new_cases"),
+        F.coalesce(F.sum("new_cases"), F.lit(0)).alias("total_new_cases"),
         F.countDistinct("state").alias("states_count"),
         F.max("report_date").alias("latest_report_date"),
-        F.coalesce(F.sum("new_deaths"), F.lit(0.0)).alias("total_new_deaths"),
+        F.coalesce(F.sum("new_deaths"), F.lit(0)).alias("total_new_deaths"),
     )
     return _overlaid(totals, vaccination_totals(vaccination))
 
@@ -150,26 +151,17 @@ def timeline(metric: str, cases: DataFrame, deaths: DataFrame) -> DataFrame:
 def regional_top(regional: DataFrame, limit: int = 20) -> DataFrame:
     """The regions with most cases, from the regional view."""
     limit = checked_limit("regional", limit)
-    return (
-        regional.select(
-            "region", "state", "total_cases", "total_deaths", "avg_incidence_rate", "last_report_date"
-        )
-        .orderBy(F.desc_nulls_first("total_cases"), F.asc_nulls_last("region"), F.asc_nulls_last("state"))
-        .limit(limit)
-    )
+    return most_cases_first(regional.select(
+        "region", "state", "total_cases", "total_deaths", "avg_incidence_rate", "last_report_date"
+    )).limit(limit)
 
 
 def dashboard_latest(dashboard: DataFrame, limit: int = 50) -> DataFrame:
     """The newest rows of the dashboard view."""
     limit = checked_limit("dashboard", limit)
-    return (
-        dashboard.select(
-            "report_date", "state", "new_cases", "new_deaths",
-            "doses_administered", "fully_vaccinated", "vaccination_rate",
-        )
-        .orderBy(F.desc_nulls_first("report_date"), F.asc_nulls_last("state"))
-        .limit(limit)
-    )
+    return newest_first(dashboard.select(
+        "report_date", "state", "new_cases", "new_deaths", "doses_administered", "fully_vaccinated", "vaccination_rate"
+    )).limit(limit)
 
 
 def trailing(df: DataFrame, as_of: Column, days: int = 30, date: str = "report_date") -> DataFrame:
@@ -202,7 +194,7 @@ def rate_by_state(vaccination: DataFrame) -> DataFrame:
 def recent_top_states(cases: DataFrame, recent: int = 100, top: int = 10) -> DataFrame:
     """The states with most cases among the newest ``recent`` rows."""
     return (
-        cases.orderBy(F.desc_nulls_first("report_date"), F.asc_nulls_last("state"))
+        newest_first(cases)
         .limit(recent)
         .groupBy("state")
         .agg(F.sum("new_cases").alias("new_cases"))

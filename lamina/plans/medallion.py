@@ -355,12 +355,15 @@ def gold_tables(
 
 
 def reporting_views(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    dashboard = views.dashboard(
+        tables["kpi_cases_per_day"], tables["kpi_deaths_per_day"], tables["kpi_vaccination_vs_cases"]
+    )
     return {
-        "v_kpi_dashboard": views.dashboard(
-            tables["kpi_cases_per_day"], tables["kpi_deaths_per_day"], tables["kpi_vaccination_vs_cases"]
+        "v_kpi_dashboard": views.newest_first(dashboard),
+        "v_regional_summary": views.most_cases_first(views.regional_summary(tables["kpi_incidence_by_region"])),
+        "v_temporal_trends": views.by_state_and_date(
+            views.temporal_trends(tables["kpi_temporal_evolution_by_state"])
         ),
-        "v_regional_summary": views.regional_summary(tables["kpi_incidence_by_region"]),
-        "v_temporal_trends": views.temporal_trends(tables["kpi_temporal_evolution_by_state"]),
     }
 
 
@@ -373,17 +376,24 @@ def _now() -> str:
 
 
 def main() -> None:
-    parser = argparse.ArgumentParser(description="Run steps over an existing lake and its manifest.")
+    parser = argparse.ArgumentParser(description="Run one step or all steps over the layers below a root path.")
     parser.add_argument("root", help="root path of the layers")
     parser.add_argument("--mode", choices=sorted(fixed.MODES), default="sample")
-    parser.add_argument("--step", choices=[*STEPS[1:], "all"], default="all")
+    parser.add_argument("--step", choices=[*STEPS, "all"], default="all")
+    parser.add_argument(
+        "--source", nargs=3, action="append", default=[], metavar=("DATASET", "PATH", "KEY"),
+        help="a Parquet table to extract and its unique column; may be repeated",
+    )
     parser.add_argument("--documents", help="folder of PDF files for the silver step")
     parser.add_argument("--gate", action="store_true", help="stop if an expectation fails")
     args = parser.parse_args()
     spark = build_session("lamina")
+    sources = {name: Source(spark.read.parquet(path), key) for name, path, key in args.source}
     pages = documents.decoded_pages(documents.decode_documents(spark, args.documents)) if args.documents else None
-    steps = STEPS[1:] if args.step == "all" else [args.step]
-    results = Medallion(Lake(spark, args.root), args.mode).run(steps, pages=pages, gate=args.gate)
+    # Without sources the manifest that is already in place is loaded.
+    steps = [args.step] if args.step != "all" else STEPS if sources else STEPS[1:]
+    job = Medallion(Lake(spark, args.root), args.mode)
+    results = job.run(steps, sources=sources, pages=pages, gate=args.gate)
     print(json.dumps(results, indent=2, default=str))
 
 

@@ -281,6 +281,10 @@ def _dashboard(t: Tables) -> DataFrame:
     return views.dashboard_from_daily(_daily(t), kpis.vaccination_daily(t.vaccinations()))
 
 
+def _regional(t: Tables) -> DataFrame:
+    return views.regional_summary(kpis.incidence_by_region(_daily(t)))
+
+
 def _trends(t: Tables) -> DataFrame:
     return views.temporal_trends(kpis.temporal_evolution(_daily(t)))
 
@@ -366,17 +370,17 @@ def run_metadata(t: Tables) -> DataFrame:
 
 @register
 def v_kpi_dashboard(t: Tables) -> DataFrame:
-    return rounded(_dashboard(t))
+    return rounded(views.newest_first(_dashboard(t)))
 
 
 @register
 def v_regional_summary(t: Tables) -> DataFrame:
-    return rounded(views.regional_summary(kpis.incidence_by_region(_daily(t))))
+    return rounded(views.most_cases_first(_regional(t)))
 
 
 @register
 def v_temporal_trends(t: Tables) -> DataFrame:
-    return rounded(_trends(t))
+    return rounded(views.by_state_and_date(_trends(t)))
 
 
 # Serving
@@ -435,12 +439,12 @@ def timeline_deaths(t: Tables) -> DataFrame:
 
 @register
 def regional_top(t: Tables) -> DataFrame:
-    return rounded(serving.regional_top(views.regional_summary(kpis.incidence_by_region(_daily(t))), 10))
+    return rounded(serving.regional_top(_regional(t), 10))
 
 
 @register
 def regional_sample(t: Tables) -> DataFrame:
-    return rounded(views.regional_summary(kpis.incidence_by_region(_daily(t))).limit(20))
+    return rounded(views.most_cases_first(_regional(t)).limit(20))
 
 
 @register

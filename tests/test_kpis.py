@@ -104,7 +104,7 @@ def test_both_ways_to_the_dashboard_agree(spark, rows):
     direct = views.dashboard_from_daily(daily, vaccination)
     assert joined.columns == direct.columns
     assert rows(joined) == rows(direct)
-    first = direct.first()
+    first = views.newest_first(direct).first()
     # Nulls come first in descending order, and a null date has matched nothing.
     assert (first.report_date, first.state, first.new_cases, first.new_deaths, first.vaccination_rate) == (None, "TX", 3.0, None, None)
 
@@ -118,9 +118,9 @@ def test_change_since_the_previous_value(spark):
 
 def test_regional_summary(spark):
     data = [("R", "A", 10.0, 1.0, 10.0, D1), ("R", "A", 20.0, 3.0, 20.0, D2), ("S", "B", 99.0, 0.0, 0.0, None)]
-    out = views.regional_summary(spark.createDataFrame(
+    out = views.most_cases_first(views.regional_summary(spark.createDataFrame(
         data, "region string, state string, total_cases double, total_deaths double, incidence_rate double, report_date date"
-    )).collect()
+    ))).collect()
     assert [tuple(r) for r in out] == [("S", "B", 99.0, 0.0, 0.0, None), ("R", "A", 30.0, 4.0, 15.0, D2)]
 
 
