@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -20,7 +21,7 @@ from pyspark.sql.types import StructType
 from lamina.functions import fixed
 from lamina.operators import documents, kpis, lineage, paging, quality, runlog, views, warehouse
 from lamina.operators.cleaning import clean
-from lamina.session import build_session, spread
+from lamina.session import build_session, size_session, spread
 from lamina.sources import files, manifest
 from lamina.sources.tables import Lake
 
@@ -49,7 +50,7 @@ class Medallion:
     # Without line breaks inside CSV values a file can be split among tasks.
     multi_line: bool = True
     # Tables that are worked on at the same time within a step.
-    parallel: int = 4
+    parallel: int = 6
 
     def __post_init__(self) -> None:
         if self.mode not in fixed.MODES:
@@ -284,6 +285,14 @@ class Medallion:
 
     # The whole run
 
+    def size_session(self) -> None:
+        """Fit splits and shuffle partitions to the bytes that the manifest lists, if there is one."""
+        try:
+            listed = self.spark.read.schema(fixed.MANIFEST_SCHEMA).json(self.manifest_path)
+            size_session(self.spark, listed.agg(F.sum("total_size_bytes")).first()[0] or 0)
+        except AnalysisException:
+            pass
+
     def publish(self, results: Mapping[str, dict]) -> None:
         """Log the volumes of the finished steps."""
         if "bronze" in results:
@@ -330,6 +339,8 @@ class Medallion:
         try:
             for step in STEPS:
                 if step in steps:
+                    if step != "extract":
+                        self.size_session()
                     with self.log.track(step, step):
                         results[step] = jobs[step]()
         finally:

@@ -298,6 +298,7 @@ _SQL = {
     "csv_roundtrip": "SELECT * FROM documents",
     "multi_csv_concat": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders",
     "json_array_scan": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "json_single_load": "SELECT c_custkey, c_name, c_nationkey, true AS is_local, 'json' AS bronze_format FROM customer",
     "ndjson_roundtrip": "SELECT * FROM conversations",
     "file_inventory": "SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS folder FROM orders",
     "missing_table_empty": " UNION ALL ".join(
@@ -306,6 +307,12 @@ _SQL = {
         for table, (source, _) in _GOLD.items()
     ),
     "schema_enforced_overwrite": "SELECT * FROM customer",
+    "silver_counts": " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, (SELECT count(*) FROM {raw}) AS input_rows,"
+        f" (SELECT count(*) FROM {kept}) AS output_rows,"
+        f" (SELECT count(*) FROM {raw}) - (SELECT count(*) FROM {kept}) AS rejected_rows, 'success' AS status"
+        for dataset, raw, kept in [(fixed.CASES, "cases_raw", "cases"), (fixed.RESPIRATORY_DEATHS, "resp_raw", "resp")]
+    ),
     "append_log": "SELECT format, status, count(*) AS files, sum(file_size)::BIGINT AS bytes,"
                   " max(CAST(ingestion_time AS DATE)) AS last_date FROM ingestion GROUP BY format, status",
     "manifest_scan": "SELECT ((row_number() OVER (ORDER BY position) - 1) % 1000)::INTEGER AS position, dataset_key,"
@@ -395,6 +402,10 @@ _SQL = {
           round(count(*) FILTER (WHERE success) / count(*)::DOUBLE, 4) AS success_rate, 'success' AS status
         FROM ({' UNION ALL '.join([_cases_checks('cases_raw'), _VACC_CHECKS, _RESP_CHECKS, _FLU_CHECKS])}) r
         GROUP BY dataset""",
+    "quality_totals": f"""
+        SELECT 4::BIGINT AS datasets_validated, count(*) FILTER (WHERE success) AS total_passed,
+          count(*) FILTER (WHERE NOT success) AS total_failed
+        FROM ({' UNION ALL '.join([_cases_checks('cases_raw'), _VACC_CHECKS, _RESP_CHECKS, _FLU_CHECKS])}) r""",
     "run_files": _metric("layer, format, status", "files_read", "round(sum(value), 4) AS files"),
     "run_rows": _metric("layer, dataset", "rows_inserted", "round(sum(value), 4) AS rows"),
     "run_rejects": _metric("layer, reason", "rows_rejected", "round(sum(value), 4) AS rows"),

@@ -176,6 +176,19 @@ def json_array_scan(t: Tables) -> DataFrame:
     return files.read_json_documents(t.spark, path, table.schema)
 
 
+@register
+def json_single_load(t: Tables) -> DataFrame:
+    """A JSON extract loaded outside a manifest, with lineage made from its path."""
+    path, table = scratch_path(t.spark, "json-single"), t["customer"].select("c_custkey", "c_name", "c_nationkey")
+    files.write_json_documents(paging.paginate(table, "c_custkey", PAGE_SIZE), path)
+    schemas = {"customers": table.schema}
+    loaded = Medallion(_lake(t, "json-load"), schemas=schemas).load_json(path, "customers")
+    return loaded.select(
+        *table.columns, F.startswith("_bronze_source", F.lit("local://")).alias("is_local"),
+        F.col("_bronze_format").alias("bronze_format"),
+    )
+
+
 @register
 def ndjson_roundtrip(t: Tables) -> DataFrame:
     path, table = scratch_path(t.spark, "ndjson"), t["conversations"]
@@ -236,6 +249,19 @@ def append_log(t: Tables) -> DataFrame:
     )
 
 
+@register
+def silver_counts(t: Tables) -> DataFrame:
+    """Rows before and after the cleaning of each dataset, counted in the stored tables."""
+    job = Medallion(_lake(t, "silver"), mode="full", datasets=[fixed.CASES, fixed.RESPIRATORY_DEATHS])
+    job.lake.overwrite(t.cases_raw(), "bronze", fixed.CASES)
+    job.lake.overwrite(t.respiratory_raw(), "bronze", fixed.RESPIRATORY_DEATHS)
+    counts = job.transform_silver()["transformations"][:2]
+    return t.spark.createDataFrame(
+        [(c["dataset"], c["input_rows"], c["output_rows"], c["rejected_rows"], c["status"]) for c in counts],
+        "dataset string, input_rows long, output_rows long, rejected_rows long, status string",
+    )
+
+
 # Manifest
 
 
@@ -557,15 +583,23 @@ def quality_empty(t: Tables) -> DataFrame:
     return _results(t.cases_raw().filter(F.col("tot_cases").try_cast("double") < 0), fixed.CASES)
 
 
-@register
-def quality_summary(t: Tables) -> DataFrame:
-    results = reduce(DataFrame.unionByName, [
+def _all_results(t: Tables) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
         quality.validate(t.cases_raw(), fixed.CASES),
         quality.validate(t.vaccinations(), fixed.VACCINATIONS),
         quality.validate(t.respiratory_raw(), fixed.RESPIRATORY_DEATHS),
         quality.validate(t.flu_raw(), fixed.FLU_COVERAGE),
     ])
-    return rounded(quality.dataset_summary(results))
+
+
+@register
+def quality_summary(t: Tables) -> DataFrame:
+    return rounded(quality.dataset_summary(_all_results(t)))
+
+
+@register
+def quality_totals(t: Tables) -> DataFrame:
+    return quality.run_summary(quality.dataset_summary(_all_results(t)))
 
 
 # Run log

@@ -1,5 +1,6 @@
 """Session settings and the shared folder for written intermediates."""
 
+import math
 import tempfile
 import uuid
 
@@ -7,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
+MB = 1024 * 1024
+# The driver keeps a status per map task that grows with the number of reducers, so both are bounded.
+SCAN_TASKS, SHUFFLE_TASKS = 100_000, 20_000
+SCAN_BYTES, SHUFFLE_BYTES = 128 * MB, 512 * MB
+
 
 def build_session(app_name: str = "lamina", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs are designed for; ``conf`` keys use ``__`` for dots."""
@@ -26,6 +32,18 @@ def build_session(app_name: str = "lamina", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def size_session(spark: SparkSession, input_bytes: int) -> None:
+    """Set scan splits and shuffle partitions for an input of that size; adaptive execution merges small ones.
+
+    Splits grow only for inputs that would need too many of them, and the number of
+    shuffle partitions is raised, never lowered.
+    """
+    spark.conf.set("spark.sql.files.maxPartitionBytes", max(SCAN_BYTES, math.ceil(input_bytes / SCAN_TASKS)))
+    wanted = min(SHUFFLE_TASKS, math.ceil(input_bytes / SHUFFLE_BYTES))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", wanted)
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 

@@ -158,3 +158,19 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
     written = session.write_out(spark.range(3), "test")
     assert written.count() == 3 and "FileScan" in written._jdf.queryExecution().executedPlan().toString()
+
+
+def test_splits_and_shuffles_fit_the_input(spark):
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        session.size_session(spark, 10 * session.MB)
+        assert [int(spark.conf.get(n).removesuffix("b")) for n in names] == [128 * session.MB, int(before[names[1]])]
+        session.size_session(spark, 100 * 1024**4)
+        scan, shuffle = (int(spark.conf.get(n).removesuffix("b")) for n in names)
+        assert 100 * 1024**4 / scan <= session.SCAN_TASKS and shuffle == session.SHUFFLE_TASKS
+        session.size_session(spark, 1024**4)
+        assert int(spark.conf.get(names[1])) == session.SHUFFLE_TASKS
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
