@@ -28,7 +28,7 @@ def quoted(name: str) -> Column:
 
 def state_name(col: Column) -> Column:
     """Full state name for a two-letter code in any case; other values unchanged."""
-    names = F.create_map(*[F.lit(x) for pair in fixed.STATE_NAMES.items() for x in pair])
+    names = F.expr("map(" + ", ".join(f"'{code}', '{name}'" for code, name in fixed.STATE_NAMES.items()) + ")")
     # Every key has two letters, so longer values skip the map scan.
     return F.coalesce(F.when(F.length(col) == 2, names[F.upper(col)]), col)
 

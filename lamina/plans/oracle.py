@@ -417,6 +417,14 @@ _SQL = {
     "run_bytes": _metric("layer, direction", "bytes_processed", "round(sum(value), 4) AS bytes"),
     "run_freshness": "SELECT layer, dataset, (epoch(TIMESTAMP '2024-02-01') - floor(epoch(max(ts))))::BIGINT AS age_seconds"
                      " FROM run_log GROUP BY layer, dataset",
+    "published_volumes": " UNION ALL ".join(
+        f"SELECT 'silver' AS layer, '{dataset}' AS dataset, '{metric}' AS metric, 'full' AS mode, ({count})::DOUBLE AS rows"
+        for dataset, raw, kept in [(fixed.CASES, "cases_raw", "cases"), (fixed.VACCINATIONS, "vacc_raw", "vacc")]
+        for metric, count in [
+            ("rows_inserted", f"(SELECT count(*) FROM {kept})"),
+            ("rows_rejected", f"(SELECT count(*) FROM {raw}) - (SELECT count(*) FROM {kept})"),
+        ]
+    ),
     "end_to_end": " UNION ALL ".join(
         [_rows("bronze", d, s) for d, s in _BRONZE.items()] + [_rows("silver", d, s) for d, s in _SILVER.items()]
         + [_rows("gold", k, s) for k, (s, _) in _GOLD.items()]

@@ -645,6 +645,17 @@ def run_freshness(t: Tables) -> DataFrame:
     return runlog.freshness(t.run_log(), F.lit("2024-02-01 00:00:00"))
 
 
+@register
+def published_volumes(t: Tables) -> DataFrame:
+    """Rows kept and dropped per dataset, as the run log of a cleaning step reports them."""
+    job = Medallion(_lake(t, "published"), mode="full", datasets=[fixed.CASES, fixed.VACCINATIONS])
+    job.lake.overwrite(t.cases_raw(), "bronze", fixed.CASES)
+    job.lake.overwrite(t.vaccinations_raw(), "bronze", fixed.VACCINATIONS)
+    job.run(["silver"])
+    log = job.log.read().filter(F.col("metric").isin(runlog.ROWS, runlog.REJECTS))
+    return log.groupBy("layer", "dataset", "metric", "mode").agg(F.sum("value").alias("rows"))
+
+
 # The whole run
 
 
