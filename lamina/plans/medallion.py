@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -28,6 +28,7 @@ from lamina.sources.tables import Lake
 STEPS = ["extract", "bronze", "silver", "quality", "gold", "warehouse"]
 LOG = "ingestion_log"
 REGISTRY = "document_registry"
+PAGES = "document_pages"
 DOCUMENT_TEXT = "document_text"
 RUN_METADATA = "run_metadata"
 
@@ -95,8 +96,10 @@ class Medallion:
                 files.write_json_documents(paging.paginate(rows, source.key), path)
                 count = files.read_json_documents(self.spark, path, source.table.schema).count()
             else:
-                files.write_csv(rows, path)
-                count = files.read_csv(self.spark, path).count()
+                # Counted by the tasks that write, so the files are not read again.
+                written = Observation()
+                files.write_csv(rows.observe(written, F.count(F.lit(1)).alias("rows")), path)
+                count = written.get["rows"]
             size = files.list_files(self.spark, path).agg(F.sum("length")).first()[0] or 0
             return entry | {
                 "status": "success", "dataset_key": name, "local_path": path, "record_count": count, "file_size": size,
@@ -154,6 +157,13 @@ class Medallion:
         self.lake.overwrite(table, "bronze", dataset)
         return table
 
+    def load_documents(self, path: str, decoder: Callable[[bytes], list[str]] | None = None) -> dict:
+        """Decode the files below ``path`` once and keep their pages, and the errors of those that failed."""
+        self.lake.overwrite(documents.decode_documents(self.spark, path, decoder), "bronze", PAGES)
+        failed = self.lake.read("bronze", PAGES).filter(F.col("error").isNotNull())
+        errors = [f"{r.source_file}: {r.error}" for r in failed.select("source_file", "error").limit(100).collect()]
+        return {"status": "partial" if errors else "success", "errors": errors}
+
     def ingestion_log(self) -> DataFrame:
         return self.lake.read("bronze", LOG)
 
@@ -171,8 +181,11 @@ class Medallion:
         except Exception as error:
             return {"dataset": dataset, "status": "error", "error": str(error)}
 
-    def transform_documents(self, pages: DataFrame | None) -> dict:
-        """Save the text of all documents, given their pages (source_file, page_number, text)."""
+    def transform_documents(self, pages: DataFrame | None = None) -> dict:
+        """Save the text of all documents from pages (source_file, page_number, text), by default the decoded ones."""
+        stored = self.lake.read_optional("bronze", PAGES) if pages is None else None
+        if stored is not None:
+            pages = documents.decoded_pages(stored)
         if pages is None or pages.isEmpty():
             return {"dataset": DOCUMENT_TEXT, "status": "no_pdf", "count": 0}
         records = documents.page_records(pages, self.limits["max_pages"])
@@ -395,17 +408,17 @@ def main() -> None:
         "--source", nargs=3, action="append", default=[], metavar=("DATASET", "PATH", "KEY"),
         help="a Parquet table to extract and its unique column; may be repeated",
     )
-    parser.add_argument("--documents", help="folder of PDF files for the silver step")
+    parser.add_argument("--documents", help="folder of PDF files to decode before the steps")
     parser.add_argument("--gate", action="store_true", help="stop if an expectation fails")
     args = parser.parse_args()
     spark = build_session("lamina")
     sources = {name: Source(spark.read.parquet(path), key) for name, path, key in args.source}
-    pages = documents.decoded_pages(documents.decode_documents(spark, args.documents)) if args.documents else None
     # Without sources the manifest that is already in place is loaded.
     steps = [args.step] if args.step != "all" else STEPS if sources else STEPS[1:]
     job = Medallion(Lake(spark, args.root), args.mode)
-    results = job.run(steps, sources=sources, pages=pages, gate=args.gate)
-    print(json.dumps(results, indent=2, default=str))
+    decoded = {"documents": job.load_documents(args.documents)} if args.documents else {}
+    results = job.run(steps, sources=sources, gate=args.gate)
+    print(json.dumps(decoded | results, indent=2, default=str))
 
 
 if __name__ == "__main__":

@@ -136,6 +136,35 @@ def test_single_json_file(spark, tmp_path):
     assert (row._bronze_source, row._bronze_filename, row._bronze_format) == (f"local://{path}", "one.json", "json")
 
 
+def test_documents_are_decoded_once_and_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_text("one|two")
+    (tmp_path / "in" / "b.pdf").write_text("x")
+
+    def decoder(content):
+        pages = content.decode().split("|")
+        if len(pages) < 2:
+            raise ValueError("no pages")
+        return pages
+
+    job = Medallion(Lake(spark, str(tmp_path / "lake")), datasets=[])
+    assert job.transform_documents()["status"] == "no_pdf"
+    assert job.load_documents(str(tmp_path / "in"), decoder) == {"status": "partial", "errors": ["b.pdf: no pages"]}
+    assert job.transform_documents() == {
+        "dataset": "document_text", "status": "success", "pdf_count": 1, "total_characters": 6,
+    }
+    assert job.lake.read("silver", "document_text").first().full_text == "one\n\ntwo"
+
+
+def test_extracts_list_their_rows_and_bytes(finished, spark):
+    job, results = finished
+    listed = spark.read.schema(fixed.MANIFEST_SCHEMA).json(job.manifest_path).first()
+    assert {(f.dataset_key, f.format): f.record_count for f in listed.files if f.format != "pdf"} == {
+        (fixed.CASES, "json"): 6, (fixed.CASES, "csv"): 6, (fixed.VACCINATIONS, "json"): 3, (fixed.VACCINATIONS, "csv"): 3,
+    }
+    assert listed.total_size_bytes == results["extract"]["total_size_bytes"] > 0
+
+
 def test_gate_and_arguments(spark, tmp_path):
     job = Medallion(Lake(spark, str(tmp_path)), datasets=[fixed.CASES])
     with pytest.raises(RuntimeError):
