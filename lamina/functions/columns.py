@@ -29,8 +29,9 @@ def quoted(name: str) -> Column:
 def state_name(col: Column) -> Column:
     """Full state name for a two-letter code in any case; other values unchanged."""
     names = F.expr("map(" + ", ".join(f"'{code}', '{name}'" for code, name in fixed.STATE_NAMES.items()) + ")")
+    code = F.upper(col)
     # Every key has two letters, so longer values skip the map scan.
-    return F.coalesce(F.when(F.length(col) == 2, names[F.upper(col)]), col)
+    return F.coalesce(F.when(F.length(code) == 2, names[code]), col)
 
 
 def parse_date(col: Column, data_type: T.DataType = T.StringType()) -> Column:

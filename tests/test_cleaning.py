@@ -18,6 +18,7 @@ def strings(spark, values, name="c"):
 @pytest.mark.parametrize("given_value, expected", [
     ("CA", "California"), ("ca", "California"), ("California", "California"), ("US", "US"), ("XX", "XX"),
     (" ca", " ca"), (None, None), ("", ""),
+    ("\ufb02", "Florida"),
 ])
 def test_state_names(spark, given_value, expected):
     out = cleaning.standardize_states(strings(spark, [given_value], "state"))
