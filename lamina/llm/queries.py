@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lamina.llm import quality
+from lamina.llm import quality, simhash, tokens
 
 QUERIES = {
+    "op1_tokens": tokens.op1_tokens,
+    "op3_simhash": simhash.op3_simhash,
     "op9_quality": quality.op9_quality,
 }
 
