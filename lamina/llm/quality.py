@@ -95,17 +95,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 600, sample_bytes
     many for the curve, and at most ``sample_bytes`` of each text for the dictionaries. That bounds what the driver holds.
     """
     rows = (
-        docs.select("doc_id", F.col("text").alias("_text"))
-        .where(F.col("doc_id").isNotNull() & (F.length("_text") > 0) & ~held_out())
+        docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out()).select("doc_id")
         .join(labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("_quality")), "doc_id")
-        .withColumn("_order", F.xxhash64(F.col("doc_id"), F.lit(9)))
     )
-    found = []
-    for quality in (1, 0):
-        found += [
-            (quality, r["_text"].encode())
-            for r in rows.where(F.col("_quality") == quality).orderBy("_order", "doc_id").limit(2 * sample_rows).collect()
-        ]
+    taken = {
+        r["doc_id"]: quality for quality in (1, 0)
+        for r in rows.where(F.col("_quality") == quality).orderBy(F.xxhash64(F.col("doc_id"), F.lit(9)), "doc_id").limit(2 * sample_rows).collect()
+    }
+    texts = docs.where(F.col("doc_id").isin(list(taken)) & (F.length("text") > 0)).groupBy("doc_id").agg(F.max(F.col("text").cast("binary")).alias("_text")).collect() if taken else []
+    texts = {r["doc_id"]: bytes(r["_text"]) for r in texts}
+    found = [(quality, texts[doc]) for doc, quality in taken.items()]
     shares = rows.groupBy("_quality").count().collect()
     total, good = sum(r["count"] for r in shares), sum(r["count"] for r in shares if r["_quality"] == 1)
     by = {q: [t for k, t in found if k == q] for q in (0, 1)}
