@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from lamina.llm import quality, simhash, tokens
+from lamina.llm import langid, quality, rules, simhash, tokens, windows
 
 QUERIES = {
     "op1_tokens": tokens.op1_tokens,
     "op3_simhash": simhash.op3_simhash,
+    "op5_windows": windows.op5_windows,
+    "op6_langid": langid.op6_langid,
+    "op8_rules": rules.op8_rules,
     "op9_quality": quality.op9_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_rules": rules.OP8_SQL,
+}
