@@ -57,23 +57,31 @@ def _ids(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<i8").reshape(-1))
 
 
-def repeats(docs: DataFrame, size: int, per_bucket: int = 4 * MB) -> DataFrame:
-    """doc_id and ``hashes``: the windows of each document that also start in a document with a smaller id."""
-    bits = max(8, int(np.log2(buckets_for(docs, per_bucket))))
+def bucket_bits(docs: DataFrame, per_bucket: int = 4 * MB) -> int:
+    return max(8, int(np.log2(buckets_for(docs, per_bucket))))
+
+
+def repeats(docs: DataFrame, hash_texts, bits: int, everyone: bool = False) -> DataFrame:
+    """bucket, doc_id and ``hashes`` (eight bytes each) that repeat, of ``hash_texts(texts)``, the hashes and their rows.
+
+    Returned to a document are the hashes that a document with a smaller id has too; with ``everyone`` all hashes that
+    occur twice or more, in one or several documents.
+    """
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             texts, ids = rows["text"].tolist(), rows["doc_id"].to_numpy(np.int64)
             for a, b in chunks(list(map(len, texts)), CHUNK):
                 order = a + np.argsort(ids[a:b], kind="stable")
-                h, row = hashed([texts[i] for i in order], size)
+                h, row = hash_texts([texts[i] for i in order])
                 if len(h) == 0:
                     continue
                 doc = ids[order][row]
                 by = np.argsort(h, kind="stable")  # ties stay in the order of ids
                 new = np.r_[True, h[by][1:] != h[by][:-1]]
-                least = doc[by][new][np.cumsum(new) - 1]
-                later = by[doc[by] > least]
+                group = np.cumsum(new) - 1
+                told = np.bincount(group)[group] > 1 if everyone else doc[by] > doc[by][new][group]
+                later = by[told]
                 first = np.sort(by[new])
                 for kind, places in ((0, first), (1, np.sort(later))):
                     bucket = (h[places] >> np.uint64(64 - bits)).astype(np.int64)
@@ -96,15 +104,18 @@ def repeats(docs: DataFrame, size: int, per_bucket: int = 4 * MB) -> DataFrame:
         by = np.lexsort((doc, h))
         h, doc = h[by], doc[by]
         new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, bool)
-        later = doc > doc[new][np.cumsum(new) - 1] if len(h) else new
+        group = np.cumsum(new) - 1
+        later = new if len(h) == 0 else np.bincount(group)[group] > 1 if everyone else doc > doc[new][group]
         h, doc = np.concatenate([h[later], *both[1][0]]), np.concatenate([doc[later], *both[1][1]])
         by = np.lexsort((h, doc))
         h, doc = h[by], doc[by]
+        once = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.empty(0, bool)
+        h, doc = h[once], doc[once]
         cuts = np.r_[0, np.flatnonzero(np.diff(doc)) + 1, len(doc)] if len(doc) else np.zeros(1, int)
-        return pd.DataFrame({"doc_id": doc[cuts[:-1]], "hashes": [h[x:y].tobytes() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]})
+        return pd.DataFrame({"bucket": key[0], "doc_id": doc[cuts[:-1]], "hashes": [h[x:y].tobytes() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]})
 
     found = keyed(docs).mapInPandas(dealt, "bucket long, kind int, hashes binary, ids binary")
-    return found.groupBy("bucket").applyInPandas(judged, "doc_id long, hashes binary")
+    return found.groupBy("bucket").applyInPandas(judged, "bucket long, doc_id long, hashes binary")
 
 
 def intervals(hashes: np.ndarray, repeated: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +147,7 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                     out.append((n, n - len(kept), [{"start": x, "end": y} for x, y in spans], b" ".join(kept)))
                 yield pd.DataFrame(out, columns=["n_words", "n_removed", "spans", "kept"]).assign(doc_id=rows["doc_id"].iloc[a:b].to_numpy())
 
-    found = repeats(docs, size).groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
+    found = repeats(docs, lambda texts: hashed(texts, size), bucket_bits(docs)).groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
     return keyed(docs).join(found, "doc_id", "left").mapInPandas(cut, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
 
