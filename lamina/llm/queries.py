@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lamina.llm import langid, quality, rules, simhash, tokens, windows
+from lamina.llm import langid, mixing, quality, rules, simhash, suffixes, tokens, windows
 
 QUERIES = {
     "op1_tokens": tokens.op1_tokens,
     "op3_simhash": simhash.op3_simhash,
     "op5_windows": windows.op5_windows,
     "op6_langid": langid.op6_langid,
+    "op7_suffixes": suffixes.op7_suffixes,
     "op8_rules": rules.op8_rules,
     "op9_quality": quality.op9_quality,
+    "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLES: dict[str, str] = {
