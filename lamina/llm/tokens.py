@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from lamina.llm.common import id_back, keyed, stored, table
 
 MAGIC, HEAD = b"LTK1", struct.Struct("<4sIQ")
-BLOCK_IDS, CACHED = 1 << 18, 700_000
+BLOCK_IDS, CACHED = 1 << 18, 600_000
 _SPACES = "\t-\r \x85\xa0  -     　"
 
 
@@ -86,7 +87,10 @@ def read_block(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 # ---------------------------------------------------------------- encoding
 
 class Encoder(dict):
-    """Token ids, as little-endian 32-bit bytes, by piece of text; unknown pieces are encoded by the library."""
+    """Token ids, as little-endian 32-bit bytes, by piece of text; unknown pieces are encoded by the library.
+
+    A full table becomes the old one, and what is still in use moves back from there.
+    """
 
     cut = re.compile(f" (?=[^{_SPACES}])")
     odd = re.compile(f" (?:[{_SPACES}]|$)")
@@ -106,21 +110,32 @@ class Encoder(dict):
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in printable]
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.model, self.before, self.words = self.whole.model, before, {}
+        self.model, self.before, self.old = self.whole.model, before, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED:
-            self.clear()
-        text = " " + piece
-        if self.plain.fullmatch(text):
-            parts = (p.encode().decode("latin-1").translate(self.letters) for p in self.parts(text))
-        else:
-            parts = (p for p, _ in self.before.pre_tokenize_str(text))
-        ids = np.array([t.id for p in parts for t in self.model.tokenize(p)], "<u4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            stem = piece.rstrip(".,!%&*$#|")
+            if stem == piece and stem.isalpha():  # one piece
+                ids = self._one(" " + piece)
+            elif stem.isalpha():  # letters and signs are always pieces of their own
+                ids = self[stem] + self._ids(piece[len(stem) :])
+            else:
+                ids = self._ids(" " + piece)
         if len(piece) <= 64:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
+    def _one(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]).tobytes()
+
+    def _ids(self, text: str) -> bytes:
+        parts = self.parts(text) if self.plain.fullmatch(text) else [text[a:b] for _, (a, b) in self.before.pre_tokenize_str(text)]
+        return b"".join(map(self._one, parts))
+
     def encode(self, text: str) -> bytes:
         if not self.pieces:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
