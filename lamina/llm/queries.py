@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lamina.llm import langid, mixing, pii, quality, rules, simhash, suffixes, tokens, windows
+from lamina.llm import decontam, langid, mixing, pii, quality, rules, simhash, suffixes, tokens, windows
 
 QUERIES = {
     "op1_tokens": tokens.op1_tokens,
     "op2_pii": pii.op2_pii,
     "op3_simhash": simhash.op3_simhash,
+    "op4_decontam": decontam.op4_decontam,
     "op5_windows": windows.op5_windows,
     "op6_langid": langid.op6_langid,
     "op7_suffixes": suffixes.op7_suffixes,

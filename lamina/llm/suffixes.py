@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from lamina.llm.common import MB, _BYTE, chunks, id_back, keyed, mixed, powers, stored, table
 from lamina.llm.windows import bucket_bits, repeats
 
-CHUNK, PIECE, SPREAD = 2 * MB, MB, 64
+CHUNK, PIECE, SPREAD, MERGES = 2 * MB, MB, 64, 256
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(2**24 - 1)
 
 
@@ -70,7 +71,7 @@ def runs(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         new = np.r_[True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])]
         first, last = np.flatnonzero(new), np.r_[np.flatnonzero(new)[1:] - 1, len(new) - 1]
         begin = np.r_[0, ends[:-1]][row[first]]
-        out.append([row[first], place[first] - begin, place[last] - begin, h[anchor[first]]])
+        out.append([row[first], place[first] - begin, place[last] - begin, mixed(h[anchor[first]] * _ODD)])  # the least of 64 hashes is small: mix again for even buckets
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
@@ -276,10 +277,11 @@ def removed_windows(docs: DataFrame, size: int = 100, shard_contexts: int = 20_0
             done.append(removed)
         out = _spans(*_merge_neighbours(*map(np.concatenate, zip(*done, strict=True)))).assign(merge=-1, windows=None)
         if windows and shards.get(key[0], 1) > 1:
-            h, d, p = windows
-            by = np.argsort(h)
-            part = (h[by] & np.uint64(1023)).astype(np.int64)
-            more = [{"doc_id": 0, "spans": None, "merge": int(key[0]) * 1024 + k, "windows": np.stack([h[by][part == k], d[by][part == k].view(np.uint64), p[by][part == k].view(np.uint64)]).tobytes()} for k in np.unique(part).tolist()]
+            part = (windows[0] & np.uint64(MERGES - 1)).astype(np.int64)
+            by = np.lexsort((windows[0], part))
+            cuts = np.searchsorted(part[by], np.arange(MERGES + 1)).tolist()
+            h, d, p = (x[by].view(np.uint64) for x in windows)
+            more = [{"doc_id": 0, "spans": None, "merge": int(key[0]) * MERGES + k, "windows": np.stack([h[x:y], d[x:y], p[x:y]]).tobytes()} for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y]
             out = pd.concat([out, pd.DataFrame(more)], ignore_index=True)
         return out[["doc_id", "spans", "merge", "windows"]]
 
@@ -305,9 +307,6 @@ def removed_windows(docs: DataFrame, size: int = 100, shard_contexts: int = 20_0
     return judged.where("merge < 0").select("doc_id", "spans").union(across)
 
 
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
 def remove_repeats(docs: DataFrame, size: int = 100) -> DataFrame:
     """doc_id (null: the last key), n_bytes, n_removed, the removed ``spans`` (bytes, end exclusive) and the ``kept`` bytes."""
 
