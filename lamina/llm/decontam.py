@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import MB, NO_ID, chunks, id_back, keyed, stored, table, word_hashes
 
-TERMS, RANK, PASSAGE, SHORT, SLICE, LEAST_WORDS, ANSWER = 1 << 15, 48, 32, 16, 2000, 8, 5
+TERMS, RANK, PASSAGE, SHORT, SLICE, LEAST_WORDS, ANSWER = 1 << 15, 32, 32, 16, 2000, 8, 5
 _EDGE = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SIGNS = bytes.maketrans(_EDGE + bytes(range(65, 91)), b" " * len(_EDGE) + bytes(range(97, 123)))
 
@@ -159,7 +159,7 @@ def _holds(text: np.ndarray, part: np.ndarray) -> bool:
     return part.tobytes() in text.tobytes() and any((text[i : i + len(part)] == part).all() for i in range(len(text) - len(part) + 1))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.6, similar: float = 0.8, answered: float = 0.6) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.62, similar: float = 0.8, answered: float = 0.6) -> DataFrame:
     """doc_id (null: the last key), item_id, first and last word of the place, cosine, share (of the item's words in common) and answer."""
     spark = docs.sparkSession
     corpus = documents_as_terms(docs)
@@ -211,9 +211,8 @@ def _candidates(blobs: list[bytes], words: list[tuple], sought: list[tuple], mat
     n = np.array([len(b) // 2 for b in blobs], np.int64)
     ends = np.cumsum(n)
     flat = np.frombuffer(b"".join(blobs), np.uint16)
-    total = np.zeros((len(matrix), len(flat) + 1), np.float64)
-    for d in range(len(matrix)):
-        np.cumsum(matrix[d][flat], out=total[d, 1:])
+    total = np.zeros((len(flat) + 1, len(matrix)))  # a window is the difference of two rows of running sums
+    np.cumsum(np.ascontiguousarray(matrix.T)[flat], axis=0, out=total[1:])
     found: dict[tuple[int, int], dict[int, float]] = {}
     longs = np.array([len(own) for _, own in words])
     has = np.zeros((len(words), TERMS), bool)
@@ -230,8 +229,8 @@ def _candidates(blobs: list[bytes], words: list[tuple], sought: list[tuple], mat
         last = np.minimum(first + size, ends[doc])
         for at in range(0, len(doc), 4096):
             part = slice(at, at + 4096)
-            near = _unit((total[:, last[part]] - total[:, first[part]]).T.astype(np.float32)) @ vectors.T
-            x, y = np.nonzero(near >= cosine)
+            near = _unit((total[last[part]] - total[first[part]]).astype(np.float32)) @ vectors.T
+            x, y = np.divmod(np.flatnonzero(near.ravel() >= np.float32(cosine)), len(vectors))
             # half of the shorter one's words must be words of the item: a bound that any settled pair meets
             inside = first[part][x, None] + np.arange(size)
             hits = has[owner[y, None], flat[np.minimum(inside, len(flat) - 1)]] & (inside < last[part][x, None])

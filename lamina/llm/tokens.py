@@ -9,8 +9,8 @@ A block is one row of a Parquet table ``blocks`` (so that any store Spark writes
     b"LTK1", documents u32, ids u64, doc_id i64 each, ids of each document u32, control bytes, value bytes
 
 all little-endian. ``part`` and ``seq`` order the blocks, ``part_start`` counts the ids of the part before the block, and
-the table ``ranks`` has the id of each rank. Documents are in ascending order of doc_id; rows without an id come last, rows
-with equal ids in the order of a hash of their text. Null and empty texts have only the end id. Repeated rows are kept.
+the table ``ranks`` has the id of each rank. Documents are in ascending order of doc_id (rows without an id come last, rows
+with equal ids in the order of a hash of their text) or, if asked for, in the order of the files they come from. Null and empty texts have only the end id. Repeated rows are kept.
 
 The text is cut before each single space that precedes a word, which is always a boundary of the byte-level
 pre-tokenizer, so each distinct word is encoded by the library once for a while and then found in a table of the worker.
@@ -170,9 +170,10 @@ def _blocks(ids: Iterator[tuple[int, bytes]], end: bytes) -> Iterator[dict]:
         yield {"part": part, "seq": seq, "part_start": before, "docs": docs, "texts": texts, "size": size}
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "tokens") -> tuple[DataFrame, DataFrame]:
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "tokens", in_file_order: bool = False) -> tuple[DataFrame, DataFrame]:
     """Encode every text, append ``end_id`` and write the blocks; returns the stored ``blocks`` and ``ranks``.
 
+    With ``in_file_order`` documents come in the order of the files they are read from, else by doc_id.
     The driver holds one row per rank (the size of the vocabulary at most).
     """
     small = "<u2" if end_id < 2**16 and _vocabulary(tokenizer) <= 2**16 else "<u4"
@@ -198,8 +199,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "toke
         found = np.flatnonzero(total)
         yield pd.DataFrame({"id": found, "n": total[found]})
 
-    order = keyed(docs, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    raw = stored(order.mapInPandas(encoded, "part int, seq int, part_start long, n_ids long, doc_ids binary, lengths binary, ids binary"), f"{name}-raw")
+    if in_file_order:
+        rows, order = keyed(docs, F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")), ["file", "row"]
+    else:
+        rows, order = keyed(docs, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie")), ["doc_id", "tie"]
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    raw = stored(sorted_rows.mapInPandas(encoded, "part int, seq int, part_start long, n_ids long, doc_ids binary, lengths binary, ids binary"), f"{name}-raw")
     counts = raw.select("ids").mapInPandas(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     ids = np.array([r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))], np.int64)
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
@@ -249,9 +254,9 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
-def digest(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+def digest(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, in_file_order: bool = False) -> DataFrame:
     """doc_id, start, n_tokens and the CRC of the ids of each document, as the written files have them."""
-    found = read_tokens(*write_tokens(docs, tokenizer or tokenizer_path(), end_id))
+    found = read_tokens(*write_tokens(docs, tokenizer or tokenizer_path(), end_id, in_file_order=in_file_order))
     return found.select(id_back(), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
