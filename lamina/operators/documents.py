@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 
 from lamina.functions import fixed
 
-# Pages merged in one step. It bounds the rows that one group collects.
-BLOCK = 1024
+# Pages merged in one step, which bounds the rows that one group collects, and steps before the last: enough for any INT.
+BLOCK, LEVELS = 1024, 3
 
 
 def decode_documents(
-    spark: SparkSession, path: str, decoder: Callable[[bytes], list[str]] | None = None
+    spark: SparkSession, path: str, decoder: Callable[[bytes], list[str]], pattern: str = "*"
 ) -> DataFrame:
-    """Decode files into pages (source_file, page_number, text, error), one file at a time inside tasks.
+    """Pages (source_file, page_number, text, error) of the files below ``path`` whose names match ``pattern``.
 
-    A file that fails gives one row with its error and no page; the others go on.
+    ``decoder`` turns the bytes of a file into page texts, one file at a time inside tasks. The key of a document is its
+    whole path, so files of one name in different folders stay apart. A file that fails gives one row with its error.
     """
-    decode = decoder or _pdf_pages
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["source_file"], batch["content"]):
                 try:
-                    pages = list(decode(bytes(content)))
+                    pages = list(decoder(bytes(content)))
                     yield pd.DataFrame({
                         "source_file": name, "page_number": range(1, len(pages) + 1), "text": pages, "error": None,
                     })
@@ -35,21 +35,12 @@ def decode_documents(
                     })
 
     files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
+        spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=pattern).load(path)
+        .select(F.col("path").alias("source_file"), "content")
     )
     return files.mapInPandas(run, "source_file string, page_number int, text string, error string")
 
 
-def _pdf_pages(content: bytes) -> list[str]:
-    import io
-
-    import pdfplumber
-
-    with pdfplumber.open(io.BytesIO(content)) as pdf:
-        return [page.extract_text() or "" for page in pdf.pages]
-
-
 def decoded_pages(decoded: DataFrame) -> DataFrame:
     """The pages of the files that could be decoded."""
     return decoded.filter(F.col("error").isNull()).drop("error")
@@ -69,23 +60,20 @@ def page_records(
     )
 
 
-def document_text(records: DataFrame, max_chars: int | None = fixed.FULL_TEXT_CHARS) -> DataFrame:
-    """One row per document: pages, characters, the joined text up to ``max_chars`` and a preview.
+def document_text(records: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """One row per document: pages, characters, the joined text (its first ``max_chars`` characters if given) and a preview.
 
-    Pages are joined in blocks of 1,024, then blocks of blocks, until one row per document
-    is left, so no group collects more than 1,024 rows however long a document is. Only the
-    first ``max_chars`` characters of a block can reach the result, so no more is passed on.
+    Pages are joined in blocks of 1,024, then blocks of blocks, until one row per document is left, so no group collects
+    more than 1,024 rows however long a document is. All steps follow one shuffle by document, and the number of
+    steps is fixed. Of rows with the same page number of a document the one with the smallest text counts.
     """
-    longest, widest = _page_counts(records)
-    if longest > BLOCK:
-        raise ValueError("page numbers must be unique within a document")
-    level = records.select(
+    pages = records.repartition("source_file").groupBy("source_file", "page_number").agg(F.min(F.struct("text", "char_count")).alias("page"))
+    level = pages.select(
         "source_file", F.col("page_number").alias("position"), F.lit(1).cast("long").alias("pages"),
-        F.col("char_count").cast("long").alias("characters"), _head(F.col("text"), max_chars).alias("head"),
+        F.col("page.char_count").cast("long").alias("characters"), _head(F.col("page.text"), max_chars).alias("head"),
     )
-    while widest >= BLOCK:
+    for _ in range(LEVELS):
         level = _merge(level, ["source_file", F.floor(F.col("position") / BLOCK).alias("position")], max_chars)
-        widest //= BLOCK
     level = _merge(level, ["source_file"], max_chars)
     return level.select(
         "source_file", F.col("pages").alias("total_pages"), F.col("characters").alias("total_characters"),
@@ -93,15 +81,6 @@ def document_text(records: DataFrame, max_chars: int | None = fixed.FULL_TEXT_CH
     )
 
 
-def _page_counts(records: DataFrame) -> tuple[int, int]:
-    """Rows in the fullest block and the highest page number, from the number column alone."""
-    blocks = records.groupBy("source_file", F.floor(F.col("page_number") / BLOCK)).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("page_number").alias("last")
-    )
-    found = blocks.agg(F.max("rows"), F.max("last")).first()
-    return found[0] or 0, found[1] or 0
-
-
 def _head(text: Column, max_chars: int | None) -> Column:
     return text if max_chars is None else F.substring(text, 1, max_chars)
 

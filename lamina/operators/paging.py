@@ -1,11 +1,15 @@
 """Row caps, offset pages and keyset pages over a table with a unique key."""
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
 from lamina.session import write_out
 
+MAX_PARTITIONS = 1_000_000
+
 
 def row_cap(df: DataFrame, key: str, limit: int | None) -> DataFrame:
     """The first ``limit`` rows by key; all rows if there is no limit."""
@@ -13,7 +17,8 @@ def row_cap(df: DataFrame, key: str, limit: int | None) -> DataFrame:
 
 
 def page_size(requested: int = fixed.MAX_PAGE_SIZE, remaining: int | None = None) -> int:
-    size = min(requested, fixed.MAX_PAGE_SIZE)
+    """The size that was asked for, or what is left."""
+    size = requested
     return size if remaining is None else min(size, remaining)
 
 
@@ -25,6 +30,9 @@ def with_row_index(df: DataFrame, keys: list[str], index: str = "row_index", sta
     partition always belong to the same split, also after a lost executor. Adding the
     counts of the partitions before gives the index. Ties must be equal rows.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if partitions > MAX_PARTITIONS:  # the bound of the window and the broadcast below
+        raise ValueError(f"{partitions} shuffle partitions; counts per partition are kept for {MAX_PARTITIONS} at most")
     sorted_rows = df.orderBy(*keys).withColumn("_place", F.monotonically_increasing_id())
     placed = write_out(sorted_rows, "row-index")
     # monotonically_increasing_id holds the partition above bit 33 and the row below it.
@@ -60,3 +68,19 @@ def read_after(df: DataFrame, key: str, last_key=None, size: int = fixed.MAX_PAG
     """The next page in key order after ``last_key``; the filter reaches the scan."""
     rest = df if last_key is None else df.filter(F.col(key) > last_key)
     return rest.orderBy(key).limit(page_size(size))
+
+
+def page_bounds(df: DataFrame, key: str, size: int = fixed.MAX_PAGE_SIZE) -> DataFrame:
+    """page, first_key, last_key and page_rows of every page, from one range sort of the keys alone."""
+    return page_index(paginate(df.select(key), key, size), key)
+
+
+def read_page(df: DataFrame, key: str, first_key, last_key) -> DataFrame:
+    """The rows of one page; the range filter reaches the scan, and no task gathers the page."""
+    return df.filter(F.col(key).between(F.lit(first_key), F.lit(last_key)))
+
+
+def keyset_walk(df: DataFrame, key: str, size: int = fixed.MAX_PAGE_SIZE) -> Iterator[tuple[int, DataFrame]]:
+    """Every page in key order, to the last, short one. The bounds come to the driver one by one."""
+    for r in page_bounds(df, key, size).orderBy("page").toLocalIterator():
+        yield r["page"], read_page(df, key, r["first_key"], r["last_key"])

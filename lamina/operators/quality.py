@@ -101,15 +101,26 @@ def unreadable(spark: SparkSession, dataset: str, error: str) -> DataFrame:
     return spark.createDataFrame([(dataset, None, None, None, None, None, None, error)], RESULT_SCHEMA)
 
 
-def dataset_summary(results: DataFrame) -> DataFrame:
-    """Expectations, passed, failed and rate per dataset; a dataset that could not be read has status error."""
+def dataset_summary(results: DataFrame, datasets: Sequence[str] = ()) -> DataFrame:
+    """Expectations, passed, failed and rate per dataset.
+
+    A dataset that could not be read has status error and no rate. One of ``datasets`` without any result, as after an
+    empty suite, has no expectation and a rate of 1.
+    """
+    if datasets:
+        known = results.sparkSession.createDataFrame([(d,) for d in datasets], "dataset string")
+        marked = results.withColumn("found", F.lit(True))
+        results = known.join(marked, "dataset", "full").withColumn("missing", F.col("found").isNull()).drop("found")
+    else:
+        results = results.withColumn("missing", F.lit(False))
     checked = F.col("position").isNotNull()
+    readable = F.bool_and(checked | F.col("missing"))
     passed = F.count(F.when(F.col("success"), 1))
     total = F.count(F.when(checked, 1))
     return results.groupBy("dataset").agg(
         total.alias("total_expectations"), passed.alias("passed"), (total - passed).alias("failed"),
-        F.when(total > 0, passed / F.nullif(total, F.lit(0))).otherwise(F.lit(1.0)).alias("success_rate"),
-        F.when(F.bool_and(checked), "success").otherwise("error").alias("status"),
+        F.when(readable, F.when(total > 0, passed / F.nullif(total, F.lit(0))).otherwise(F.lit(1.0))).alias("success_rate"),
+        F.when(readable, "success").otherwise("error").alias("status"),
     )
 
 

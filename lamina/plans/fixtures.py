@@ -10,13 +10,14 @@ from lamina.functions import fixed
 from lamina.operators.cleaning import clean
 from lamina.session import spread
 
-_CODES = "'ALAKAZARCACOCTDEFLGAHIIDILINIAKSKYLAMEMD'"
+# The state of a nation: the codes in the order of the full table.
+_CODE = "CASE n.n_nationkey " + " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(list(fixed.STATE_NAMES)[:20])) + " END"
 
 CASES_RAW = f"""
 SELECT o.o_orderkey AS rec_id,
   CASE WHEN n.n_nationkey >= 20 THEN n.n_name
-       WHEN o.o_orderkey % 3 = 0 THEN lower(substr({_CODES}, n.n_nationkey * 2 + 1, 2))
-       ELSE substr({_CODES}, n.n_nationkey * 2 + 1, 2) END AS state,
+       WHEN o.o_orderkey % 3 = 0 THEN lower({_CODE})
+       ELSE {_CODE} END AS state,
   CASE o.o_orderkey % 4
        WHEN 0 THEN o.ds || 'T00:00:00.000'
        WHEN 1 THEN o.ds
@@ -34,7 +35,7 @@ JOIN {{nation}} n ON c.c_nationkey = n.n_nationkey
 
 VACCINATIONS_RAW = f"""
 SELECT CASE WHEN n.n_nationkey = 24 THEN 'US' WHEN n.n_nationkey >= 20 THEN n.n_name
-            ELSE substr({_CODES}, n.n_nationkey * 2 + 1, 2) END AS location,
+            ELSE {_CODE} END AS location,
   CAST(CAST(l.l_shipdate AS DATE) AS STRING) AS date,
   CAST(CAST(l.l_quantity AS BIGINT) * 100 AS STRING) AS administered,
   CAST(CAST(l.l_quantity AS BIGINT) * 10 * l.l_linenumber AS STRING) AS series_complete_yes
@@ -43,7 +44,7 @@ FROM {{lineitem}} l JOIN {{supplier}} s ON l.l_suppkey = s.s_suppkey JOIN {{nati
 
 RESPIRATORY_RAW = f"""
 SELECT CAST(CAST(o.o_orderdate AS DATE) AS STRING) AS week_ending_date,
-  CASE WHEN n.n_nationkey >= 20 THEN n.n_name ELSE substr({_CODES}, n.n_nationkey * 2 + 1, 2) END AS jurisdiction,
+  CASE WHEN n.n_nationkey >= 20 THEN n.n_name ELSE {_CODE} END AS jurisdiction,
   o.o_orderpriority AS age_group,
   CASE WHEN o.o_orderkey % 10 = 0 THEN NULL ELSE CAST(o.o_custkey % 90 - 5 AS STRING) END AS covid_19_deaths,
   CAST(o.o_custkey % 70 AS STRING) AS pneumonia_deaths,

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from lamina.functions import fixed
 from lamina.operators import documents, kpis, lineage, paging, quality, runlog, views, warehouse
 from lamina.operators.cleaning import clean
-from lamina.session import build_session, size_session, spread
+from lamina.session import build_session, size_session
 from lamina.sources import files, manifest
 from lamina.sources.tables import Lake
 
@@ -44,9 +44,9 @@ class Source:
 @dataclass
 class Medallion:
     lake: Lake
-    mode: str = "sample"
+    mode: str = "full"
     datasets: Sequence[str] = tuple(fixed.DATASETS)
-    # Column types of the files; a dataset without an entry has them inferred, which reads it twice.
+    # Column types of the files; a dataset without an entry is read as text. Extracts made here add their own.
     schemas: Mapping[str, StructType | str] = field(default_factory=dict)
     # Without line breaks inside CSV values a file can be split among tasks.
     multi_line: bool = True
@@ -74,6 +74,9 @@ class Medallion:
         A source that fails is listed with its error; the others go on. ``more_files`` are
         entries of files that are already in place, such as documents.
         """
+        if not sources and not more_files:  # nothing to list: a manifest that is in place stays as it is
+            return {"status": "no_sources", "total_files": 0, "total_size_bytes": 0}
+        self.schemas = {name: source.table.schema for name, source in sources.items()} | dict(self.schemas)
         kinds = ["json", "csv"] if self.mode == "sample" else ["csv"]
         extracts = [(name, source, kind) for kind in kinds for name, source in sources.items()]
         entries = [*self._each(lambda e: self._extract_one(*e), extracts), *more_files]
@@ -88,18 +91,18 @@ class Medallion:
         path = self.lake.path("raw", f"{kind}/{name}")
         entry = {
             "source": f"table://{name}", "filename": f"{name}.{kind}", "ingestion_time": _now(), "format": kind,
-            "pagination": self.limits["pagination"],
+            "pagination": "offset" if kind == "json" else None,  # only JSON extracts are written by pages
         }
         try:
             rows = paging.row_cap(source.table, source.key, self.limits["max_rows"])
+            # Counted by the tasks that write, so the files are not read again.
+            written = Observation()
+            counted = (paging.paginate(rows, source.key) if kind == "json" else rows).observe(written, F.count(F.lit(1)).alias("rows"))
             if kind == "json":
-                files.write_json_documents(paging.paginate(rows, source.key), path)
-                count = files.read_json_documents(self.spark, path, source.table.schema).count()
+                files.write_json_documents(counted, path)
             else:
-                # Counted by the tasks that write, so the files are not read again.
-                written = Observation()
-                files.write_csv(rows.observe(written, F.count(F.lit(1)).alias("rows")), path)
-                count = written.get["rows"]
+                files.write_csv(counted, path)
+            count = written.get["rows"]
             size = files.list_files(self.spark, path).agg(F.sum("length")).first()[0] or 0
             return entry | {
                 "status": "success", "dataset_key": name, "local_path": path, "record_count": count, "file_size": size,
@@ -111,7 +114,10 @@ class Medallion:
 
     def load_bronze(self, manifest_path: str | None = None) -> dict:
         """Load the chosen file of every dataset, register the documents and append to the ingestion log."""
-        listed = manifest.read_manifest(self.spark, manifest_path or self.manifest_path)
+        try:
+            listed = manifest.read_manifest(self.spark, manifest_path or self.manifest_path)
+        except PySparkException as error:
+            return {"status": "error", "loaded_datasets": [], "total_files": 0, "errors": [f"manifest: {error}"]}
         chosen = [row.asDict() for row in manifest.structured_files(listed).collect()]
         found = self._each(self._load_file, chosen)
         records = [entry for entry, error in zip(chosen, found) if error is None]
@@ -120,7 +126,7 @@ class Medallion:
         registered = lineage.document_registry(listed)
         if not registered.isEmpty():
             self.lake.overwrite(registered, "bronze", REGISTRY)
-        logged = manifest.documents(listed).drop("position")
+        logged = manifest.documents(listed).drop("manifest", "position")
         if records:
             known = self.spark.createDataFrame(
                 [{c: r[c] for c in logged.columns} for r in records], fixed.MANIFEST_FILE_SCHEMA
@@ -137,15 +143,15 @@ class Medallion:
         schema = self.schemas.get(entry["dataset_key"])
         try:
             if entry["format"] == "csv":
+                own = str(entry.get("source") or "").startswith("table://")
                 table = files.read_csv(
-                    self.spark, entry["local_path"], schema, infer_schema=schema is None, multi_line=self.multi_line
+                    self.spark, entry["local_path"], schema, multi_line=self.multi_line, null_mark=files.NULL_MARK if own else None
                 )
             elif entry["format"] == "json":
                 table = files.read_json_documents(self.spark, entry["local_path"], schema)
             else:
                 return None
-            # Extracts are often one file that cannot be split; all cores shall write it.
-            self.lake.overwrite(lineage.enrich(spread(table), entry), "bronze", entry["dataset_key"])
+            self.lake.overwrite(lineage.enrich(table, entry), "bronze", entry["dataset_key"])
         except Exception as error:
             return f"{entry['local_path']}: {error}"
 
@@ -157,12 +163,11 @@ class Medallion:
         self.lake.overwrite(table, "bronze", dataset)
         return table
 
-    def load_documents(self, path: str, decoder: Callable[[bytes], list[str]] | None = None) -> dict:
-        """Decode the files below ``path`` once and keep their pages, and the errors of those that failed."""
-        self.lake.overwrite(documents.decode_documents(self.spark, path, decoder), "bronze", PAGES)
-        failed = self.lake.read("bronze", PAGES).filter(F.col("error").isNotNull())
-        errors = [f"{r.source_file}: {r.error}" for r in failed.select("source_file", "error").limit(100).collect()]
-        return {"status": "partial" if errors else "success", "errors": errors}
+    def load_documents(self, path: str, decoder: Callable[[bytes], list[str]], pattern: str = "*") -> dict:
+        """Decode the files below ``path`` once and keep their pages; the errors of those that failed are in ``errors_in``."""
+        self.lake.overwrite(documents.decode_documents(self.spark, path, decoder, pattern), "bronze", PAGES)
+        failed = self.lake.read("bronze", PAGES).filter(F.col("error").isNotNull()).count()
+        return {"status": "partial" if failed else "success", "failed": failed, "errors_in": self.lake.path("bronze", PAGES)}
 
     def ingestion_log(self) -> DataFrame:
         return self.lake.read("bronze", LOG)
@@ -212,7 +217,7 @@ class Medallion:
         path = self.lake.path("quality", "report")
         results.write.mode("overwrite").json(path)
         report = self.spark.read.schema(quality.RESULT_SCHEMA).json(path)
-        summaries = quality.dataset_summary(report)
+        summaries = quality.dataset_summary(report, self.datasets)
         found = [r.asDict() for r in summaries.orderBy("dataset").collect()]
         result = {
             "status": _status(found), "datasets_validated": len(found), "results": found,
@@ -223,7 +228,10 @@ class Medallion:
         return result
 
     def _validate(self, dataset: str) -> DataFrame:
-        table = self.lake.read_optional("silver", dataset)
+        try:
+            table = self.lake.read_optional("silver", dataset)
+        except PySparkException as error:
+            return quality.unreadable(self.spark, dataset, f"unreadable: {error}")
         if table is None:
             return quality.unreadable(self.spark, dataset, "table not found")
         return quality.validate(table, dataset)
@@ -231,9 +239,16 @@ class Medallion:
     # Gold
 
     def build_gold(self) -> dict:
-        """Write the six indicator tables; one that fails does not stop the others."""
-        cases = self.lake.read_optional("silver", fixed.CASES)
-        vaccinations = self.lake.read_optional("silver", fixed.VACCINATIONS)
+        """Write the six indicator tables; one that fails does not stop the others.
+
+        A table whose input does not exist is written empty, with the status ``no_input``. An input that exists but cannot
+        be read is an error, and all tables stay as they were.
+        """
+        try:
+            cases = self.lake.read_optional("silver", fixed.CASES)
+            vaccinations = self.lake.read_optional("silver", fixed.VACCINATIONS)
+        except PySparkException as error:
+            return {"status": "error", "kpis": [], "error": str(error)}
         # All case indicators come from this one aggregate, which is kept while they are written.
         daily = None if cases is None else kpis.daily(cases).persist()
         try:
@@ -247,7 +262,7 @@ class Medallion:
         try:
             rows = kpis.empty(self.spark, table) if build is None else kpis.stamped(build())
             self.lake.overwrite(rows, "gold", table)
-            return {"table": table, "status": "success", "rows": self.lake.count("gold", table)}
+            return {"table": table, "status": "no_input" if build is None else "success", "rows": self.lake.count("gold", table)}
         except Exception as error:
             return {"table": table, "status": "error", "error": str(error)}
 
@@ -354,8 +369,10 @@ class Medallion:
                 if step in steps:
                     if step != "extract":
                         self.size_session()
+                    start = time.monotonic()
                     with self.log.track(step, step):
                         results[step] = jobs[step]()
+                    results[step]["duration_seconds"] = time.monotonic() - start
         finally:
             self.publish(results)
         return results
@@ -392,7 +409,7 @@ def reporting_views(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _status(results: Sequence[Mapping]) -> str:
-    return "partial" if any(r.get("status") == "error" for r in results) else "success"
+    return "partial" if any(r.get("status") in ("error", "no_input") for r in results) else "success"
 
 
 def _now() -> str:
@@ -402,13 +419,12 @@ def _now() -> str:
 def main() -> None:
     parser = argparse.ArgumentParser(description="Run one step or all steps over the layers below a root path.")
     parser.add_argument("root", help="root path of the layers")
-    parser.add_argument("--mode", choices=sorted(fixed.MODES), default="sample")
+    parser.add_argument("--mode", choices=sorted(fixed.MODES), default="full")
     parser.add_argument("--step", choices=[*STEPS, "all"], default="all")
     parser.add_argument(
         "--source", nargs=3, action="append", default=[], metavar=("DATASET", "PATH", "KEY"),
         help="a Parquet table to extract and its unique column; may be repeated",
     )
-    parser.add_argument("--documents", help="folder of PDF files to decode before the steps")
     parser.add_argument("--gate", action="store_true", help="stop if an expectation fails")
     args = parser.parse_args()
     spark = build_session("lamina")
@@ -416,9 +432,8 @@ def main() -> None:
     # Without sources the manifest that is already in place is loaded.
     steps = [args.step] if args.step != "all" else STEPS if sources else STEPS[1:]
     job = Medallion(Lake(spark, args.root), args.mode)
-    decoded = {"documents": job.load_documents(args.documents)} if args.documents else {}
     results = job.run(steps, sources=sources, gate=args.gate)
-    print(json.dumps(decoded | results, indent=2, default=str))
+    print(json.dumps(results, indent=2, default=str))
 
 
 if __name__ == "__main__":

@@ -239,16 +239,30 @@ def _metric(labels: str, metric: str, value: str) -> str:
     return f"SELECT {labels}, {value} FROM run_log WHERE metric = '{metric}' GROUP BY {labels}"
 
 
-def _text(table: str, limit: str = "") -> str:
+def _text(table: str, whole: bool = False) -> str:
+    text = "string_agg(text, chr(10) || chr(10) ORDER BY page_number)"
     return f"""
 SELECT source_file, count(*)::BIGINT AS total_pages, sum(length(text))::BIGINT AS total_characters,
-  left(string_agg(text, chr(10) || chr(10) ORDER BY page_number), 10000) AS full_text
-FROM (SELECT source_file, page_number, coalesce(text, '') AS text FROM {table}{limit}) p GROUP BY source_file
+  {text if whole else f'left({text}, 10000)'} AS full_text
+FROM (SELECT source_file, page_number, coalesce(text, '') AS text FROM {table}) p GROUP BY source_file
 """
 
 
+_VALUES = {
+    "kpi_incidence_by_region": "total_cases", "kpi_cases_per_day": "new_cases", "kpi_deaths_per_day": "new_deaths",
+    "kpi_hospitalizations_by_region": "hospitalized", "kpi_vaccination_vs_cases": "doses_administered",
+    "kpi_temporal_evolution_by_state": "metric_value",
+}
+
+
 def _rows(layer: str, table: str, source: str, where: str = "") -> str:
-    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS table_rows FROM {source}{where}"
+    found = "NULL::DOUBLE AS total, NULL::DATE AS first_date, NULL::DATE AS last_date"
+    if table in _VALUES:
+        value = _VALUES[table]
+        if layer == "warehouse" and value != "metric_value":
+            value = f"round(round({value}, 6))"
+        found = f"round(sum({value})::DOUBLE, 2) AS total, min(report_date) AS first_date, max(report_date) AS last_date"
+    return f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS table_rows, {found} FROM {source}{where}"
 
 
 _GOLD = {
@@ -295,7 +309,10 @@ _SQL = {
                   f" FROM (SELECT o_orderkey, ({_pages(1000)})::BIGINT AS page FROM orders) p GROUP BY page",
     "keyset_page": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) FROM"
                    " (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1000) f) ORDER BY o_orderkey LIMIT 1000",
-    "csv_roundtrip": "SELECT * FROM documents",
+    "keyset_walk": f"SELECT o_orderkey, o_totalprice, ({_pages(5000)})::BIGINT AS page FROM orders",
+    "keyset_large_page": "SELECT page, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key, count(*) AS page_rows"
+                         f" FROM (SELECT o_orderkey, ({_pages(60_000)})::BIGINT AS page FROM orders) p GROUP BY page",
+    "csv_roundtrip": "SELECT *, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'a, \"b\"' END AS note FROM documents",
     "multi_csv_concat": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders",
     "json_array_scan": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "json_single_load": "SELECT c_custkey, c_name, c_nationkey, true AS is_local, 'json' AS bronze_format FROM customer",
@@ -323,6 +340,16 @@ _SQL = {
                     ORDER BY CASE WHEN ff = 'json' AND format = 'csv' THEN 0 ELSE 1 END, position) AS rn
           FROM (SELECT *, first_value(format) OVER (PARTITION BY dataset_key ORDER BY position) AS ff
                 FROM manifest_files WHERE format <> 'pdf' AND dataset_key <> '') a) b WHERE rn = 1""",
+    "manifest_best_format_many": """
+        SELECT dataset_key, format, file_size, filename FROM (
+          SELECT *, row_number() OVER (PARTITION BY dataset_key
+                    ORDER BY CASE WHEN ff = 'json' AND format = 'csv' THEN 0 ELSE 1 END, position) AS rn
+          FROM (SELECT *, first_value(format) OVER (PARTITION BY dataset_key ORDER BY position) AS ff
+                FROM manifest_files WHERE format <> 'pdf' AND dataset_key <> '') a) b WHERE rn = 1""",
+    "failing_source": "SELECT 'customer.csv' AS filename, 'csv' AS format, 'success' AS status, 'customer' AS dataset_key,"
+                      " count(*) AS record_count FROM customer UNION ALL SELECT 'broken.csv', 'csv', 'error', NULL, NULL",
+    "manifest_written": "SELECT 'sample' AS mode, 4::BIGINT AS total_files, true AS sizes_agree, true AS reported, (2 *"
+                        " ((SELECT least(count(*), 1000) FROM customer) + (SELECT least(count(*), 1000) FROM orders)))::BIGINT AS records",
     "manifest_totals": "SELECT count(*) AS total_files, sum(coalesce(file_size, 0))::BIGINT AS total_size_bytes FROM manifest_files",
     "kpi_incidence": "SELECT region, state, " + _round("total_cases", "total_deaths", "incidence_rate", "mortality_rate")
                      + ", report_date FROM incidence",
@@ -335,6 +362,16 @@ _SQL = {
                       " round(round(icu_patients, 6))::BIGINT AS icu_patients, report_date FROM hospital",
     "warehouse_rejects": "SELECT state, report_date, metric_name, " + _round("metric_value")
                          + ", 'report_date: null' AS reject_reason FROM temporal WHERE report_date IS NULL",
+    "reject_reasons": """
+        SELECT reject_reason, count(*) AS rejected_rows FROM (
+          SELECT concat_ws('; ', CASE WHEN c_custkey % 10 > 5 THEN 'region: longer than 100' END,
+                                 CASE WHEN c_custkey % 7 = 0 THEN 'total_cases: not a long' END) AS reject_reason FROM customer) r
+        WHERE reject_reason <> '' GROUP BY reject_reason""",
+    "warehouse_views": "SELECT report_date, state, " + ", ".join(
+        f"round(round({c}, 6))::BIGINT AS {c}" for c in
+        ["new_cases", "cumulative_cases", "new_deaths", "cumulative_deaths", "doses_administered", "fully_vaccinated"]
+    ) + " FROM dashboard WHERE report_date IS NOT NULL",
+    "gold_input_unreadable": "SELECT 'error' AS status, count(*) AS kept_rows FROM cases_day",
     "warehouse_load": """
         SELECT row_number() OVER (ORDER BY report_date, state, new_cases, cumulative_cases) AS id, *
         FROM (SELECT report_date, state, round(new_cases)::BIGINT AS new_cases,
@@ -388,8 +425,8 @@ _SQL = {
                  " length(coalesce(text, ''))::INTEGER AS char_count FROM pages_raw WHERE page_number <= 5",
     "doc_text": _text("pages_raw"),
     "doc_text_long": _text("(" + _fixture(fixtures.LONG_PAGES) + ") l"),
-    "doc_preview": "SELECT source_file, total_pages, left(full_text, 500) AS text_preview FROM ("
-                   + _text("pages_raw", " WHERE page_number <= 5") + ") t",
+    "doc_full_text": _text("pages_raw", whole=True),
+    "doc_preview": "SELECT source_file, total_pages, left(full_text, 500) AS text_preview FROM (" + _text("pages_raw", whole=True) + ") t",
     "quality_cases": _cases_checks("cases_raw"),
     "quality_vaccinations": _VACC_CHECKS,
     "quality_respiratory": _RESP_CHECKS,
@@ -402,6 +439,12 @@ _SQL = {
           round(count(*) FILTER (WHERE success) / count(*)::DOUBLE, 4) AS success_rate, 'success' AS status
         FROM ({' UNION ALL '.join([_cases_checks('cases_raw'), _VACC_CHECKS, _RESP_CHECKS, _FLU_CHECKS])}) r
         GROUP BY dataset""",
+    "quality_edge_cases": """
+        SELECT * FROM (VALUES ('no_suite', 0::BIGINT, 0::BIGINT, 0::BIGINT, 1.0::DOUBLE, 'success'),
+          ('broken_suite', 3::BIGINT, 2::BIGINT, 1::BIGINT, 0.6667::DOUBLE, 'success'),
+          ('unreadable', 0::BIGINT, 0::BIGINT, 0::BIGINT, NULL::DOUBLE, 'error'))
+          v(dataset, total_expectations, passed, failed, success_rate, status)""",
+    "quality_report": " UNION ALL ".join([_cases_checks("cases_raw"), _VACC_CHECKS]),
     "quality_totals": f"""
         SELECT 4::BIGINT AS datasets_validated, count(*) FILTER (WHERE success) AS total_passed,
           count(*) FILTER (WHERE NOT success) AS total_failed

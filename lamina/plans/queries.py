@@ -152,11 +152,27 @@ def keyset_page(t: Tables) -> DataFrame:
 # Files
 
 
+@register
+def keyset_walk(t: Tables) -> DataFrame:
+    """All rows with their page, page after page by range filters."""
+    table = t["orders"].select("o_orderkey", "o_totalprice")
+    pages = paging.keyset_walk(table, "o_orderkey", 5 * PAGE_SIZE)
+    return reduce(DataFrame.unionByName, [rows.withColumn("page", F.lit(page).cast("long")) for page, rows in pages])
+
+
+@register
+def keyset_large_page(t: Tables) -> DataFrame:
+    """A page size above any default is taken as it is."""
+    return paging.page_bounds(t["orders"], "o_orderkey", 60 * PAGE_SIZE)
+
+
 @register
 def csv_roundtrip(t: Tables) -> DataFrame:
-    path, table = scratch_path(t.spark, "csv"), t["documents"]
+    """Empty text and null stay apart."""
+    path = scratch_path(t.spark, "csv")
+    table = t["documents"].withColumn("note", F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.lit("a, \"b\"")))
     files.write_csv(table, path)
-    return files.read_csv(t.spark, path, table.schema)
+    return files.read_csv(t.spark, path, table.schema, null_mark=files.NULL_MARK)
 
 
 @register
@@ -255,7 +271,7 @@ def silver_counts(t: Tables) -> DataFrame:
     job = Medallion(_lake(t, "silver"), mode="full", datasets=[fixed.CASES, fixed.RESPIRATORY_DEATHS])
     job.lake.overwrite(t.cases_raw(), "bronze", fixed.CASES)
     job.lake.overwrite(t.respiratory_raw(), "bronze", fixed.RESPIRATORY_DEATHS)
-    counts = job.transform_silver()["transformations"][:2]
+    counts = [r for r in job.transform_silver()["transformations"] if r["dataset"] in job.datasets]
     return t.spark.createDataFrame(
         [(c["dataset"], c["input_rows"], c["output_rows"], c["rejected_rows"], c["status"]) for c in counts],
         "dataset string, input_rows long, output_rows long, rejected_rows long, status string",
@@ -287,6 +303,44 @@ def manifest_best_format(t: Tables) -> DataFrame:
     return manifest.structured_files(t.manifest_files().select("dataset_key", "position", "format", "file_size"))
 
 
+@register
+def manifest_best_format_many(t: Tables) -> DataFrame:
+    """The same choice where the entries of a dataset are spread over many manifests, whose positions all start at 0."""
+    names = [f.name for f in StructType.fromDDL(fixed.MANIFEST_FILE_SCHEMA)]
+    entries = t.manifest_files()
+    entry = F.struct(*[F.col(c) if c in entries.columns else F.lit(None).cast("string").alias(c) for c in names])
+    nested = paging.paginate(entries, "position", PAGE_SIZE).groupBy(F.lpad(F.col("page").cast("string"), 9, "0").alias("part")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", entry.alias("file")))), lambda x: x["file"]).alias("files")
+    )
+    path = scratch_path(t.spark, "many-manifests")
+    nested.write.partitionBy("part").option("ignoreNullFields", False).json(path)
+    listed = manifest.read_manifest(t.spark, path, multi_line=False)
+    return manifest.structured_files(listed).select("dataset_key", "format", "file_size", "filename")
+
+
+@register
+def failing_source(t: Tables) -> DataFrame:
+    """The manifest of an extraction in which one of two sources fails."""
+    job = Medallion(_lake(t, "failing"))
+    broken = t["nation"].select(F.raise_error(F.lit("no such page")).cast("string").alias("n_name"))
+    job.extract({"customer": Source(t["customer"], "c_custkey"), "broken": Source(broken, "n_name")})
+    listed = manifest.read_manifest(t.spark, job.manifest_path)
+    return listed.select("filename", "format", F.when(F.startswith("status", F.lit("error")), "error").otherwise(F.col("status")).alias("status"), "dataset_key", "record_count")
+
+
+@register
+def manifest_written(t: Tables) -> DataFrame:
+    """Mode, totals and records of the manifest of a sample extraction, in both formats."""
+    job = Medallion(_lake(t, "written"), mode="sample")
+    done = job.extract({"customer": Source(t["customer"], "c_custkey"), "orders": Source(t["orders"], "o_orderkey")})
+    document = t.spark.read.schema(fixed.MANIFEST_SCHEMA).json(job.manifest_path)
+    total = F.aggregate("files", F.lit(0).cast("long"), lambda a, f: a + f["file_size"])
+    return document.select(
+        "mode", "total_files", (F.col("total_size_bytes") == total).alias("sizes_agree"), (F.col("total_size_bytes") == done["total_size_bytes"]).alias("reported"),
+        F.aggregate("files", F.lit(0).cast("long"), lambda a, f: a + f["record_count"]).alias("records"),
+    )
+
+
 @register
 def manifest_totals(t: Tables) -> DataFrame:
     return manifest.totals(t.manifest_files())
@@ -364,6 +418,44 @@ def warehouse_rejects(t: Tables) -> DataFrame:
     return rounded(warehouse.rejected(rows))
 
 
+@register
+def reject_reasons(t: Tables) -> DataFrame:
+    """Text beyond its length and numbers beyond their type, by reason."""
+    rows = t["customer"].select(
+        F.expr("repeat('x', 95 + CAST(c_custkey % 10 AS INT))").alias("region"), F.lit("CA").alias("state"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(1e19)).otherwise(F.col("c_acctbal")).alias("total_cases"), F.lit(0.0).alias("total_deaths"),
+        F.lit(0.0).alias("incidence_rate"), F.lit(0.0).alias("mortality_rate"), F.lit("2024-01-01").cast("date").alias("report_date"),
+    )
+    bad = warehouse.rejected(warehouse.coerce(rows, warehouse.schema_of("kpi_incidence_by_region")))
+    return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejected_rows"))
+
+
+@register
+def warehouse_views(t: Tables) -> DataFrame:
+    """The dashboard as the warehouse serves it by name, joined from its stored tables."""
+    job = Medallion(_lake(t, "views"))
+    job.lake.overwrite(t.cases(), "silver", fixed.CASES)
+    job.lake.overwrite(t.vaccinations(), "silver", fixed.VACCINATIONS)
+    job.build_gold()
+    job.load_warehouse()
+    job.register_views()
+    return t.spark.sql(
+        "SELECT report_date, state, new_cases, cumulative_cases, new_deaths, cumulative_deaths, doses_administered, fully_vaccinated FROM v_kpi_dashboard"
+    )
+
+
+@register
+def gold_input_unreadable(t: Tables) -> DataFrame:
+    """Status of the indicators, and rows that they keep, when the folder of the cases has lost its files."""
+    job = Medallion(_lake(t, "unreadable"))
+    job.lake.overwrite(t.cases(), "silver", fixed.CASES)
+    job.build_gold()
+    # an empty partitioned table leaves a folder without any data file
+    t.cases().limit(0).write.mode("overwrite").partitionBy("state").parquet(job.lake.path("silver", fixed.CASES))
+    status = job.build_gold()["status"]
+    return job.lake.read("gold", "kpi_cases_per_day").agg(F.count(F.lit(1)).alias("kept_rows")).select(F.lit(status).alias("status"), "kept_rows")
+
+
 @register
 def warehouse_load(t: Tables) -> DataFrame:
     lake = _lake(t, "warehouse")
@@ -531,18 +623,23 @@ def doc_pages(t: Tables) -> DataFrame:
 
 @register
 def doc_text(t: Tables) -> DataFrame:
+    return documents.document_text(documents.page_records(t.pages()), fixed.FULL_TEXT_CHARS).drop("text_preview")
+
+
+@register
+def doc_full_text(t: Tables) -> DataFrame:
+    """The whole text of every document."""
     return documents.document_text(documents.page_records(t.pages())).drop("text_preview")
 
 
 @register
 def doc_text_long(t: Tables) -> DataFrame:
-    return documents.document_text(documents.page_records(t.long_pages())).drop("text_preview")
+    return documents.document_text(documents.page_records(t.long_pages()), fixed.FULL_TEXT_CHARS).drop("text_preview")
 
 
 @register
 def doc_preview(t: Tables) -> DataFrame:
-    records = documents.page_records(t.pages(), max_pages=fixed.MODES["sample"]["max_pages"])
-    return documents.document_text(records).select("source_file", "total_pages", "text_preview")
+    return documents.document_text(documents.page_records(t.pages())).select("source_file", "total_pages", "text_preview")
 
 
 # Quality
@@ -597,6 +694,29 @@ def quality_summary(t: Tables) -> DataFrame:
     return rounded(quality.dataset_summary(_all_results(t)))
 
 
+@register
+def quality_edge_cases(t: Tables) -> DataFrame:
+    """Summaries of an empty suite, of a broken and an unknown expectation, and of a table that cannot be read."""
+    results = [
+        quality.validate(t["customer"], "no_suite", []),
+        quality.validate(t["customer"], "broken_suite", [(fixed.NOT_NULL, {}), ("expect_something_new", {"column": "c_name"}), (fixed.NOT_NULL, {"column": "c_custkey"})]),
+        quality.unreadable(t.spark, "unreadable", "table not found"),
+    ]
+    summary = quality.dataset_summary(reduce(DataFrame.unionByName, results), ["no_suite", "broken_suite", "unreadable"])
+    return rounded(summary)
+
+
+@register
+def quality_report(t: Tables) -> DataFrame:
+    """The report of a quality step, read back from its file."""
+    job = Medallion(_lake(t, "report"), datasets=[fixed.CASES, fixed.VACCINATIONS])
+    job.lake.overwrite(t.cases_raw(), "silver", fixed.CASES)
+    job.lake.overwrite(t.vaccinations(), "silver", fixed.VACCINATIONS)
+    job.check_quality()
+    report = t.spark.read.schema(quality.RESULT_SCHEMA).json(job.lake.path("quality", "report"))
+    return rounded(report).fillna("", ["column_name", "note"])
+
+
 @register
 def quality_totals(t: Tables) -> DataFrame:
     return quality.run_summary(quality.dataset_summary(_all_results(t)))
@@ -661,7 +781,7 @@ def published_volumes(t: Tables) -> DataFrame:
 
 @register
 def end_to_end(t: Tables) -> DataFrame:
-    """Rows per table after a full run from raw files to the warehouse."""
+    """Rows of all tables after a full run from raw files to the warehouse, and values of those of gold and warehouse."""
     job = Medallion(_lake(t, "run"), mode="full", datasets=fixed.DATASETS)
     job.run(
         sources={
@@ -674,9 +794,17 @@ def end_to_end(t: Tables) -> DataFrame:
     )
     written = [("bronze", d) for d in fixed.DATASETS] + [("silver", d) for d in [*fixed.DATASETS, "document_text"]]
     written += [(layer, table) for layer in ("gold", "warehouse") for table in fixed.GOLD_SCHEMAS]
-    return reduce(DataFrame.unionByName, [
-        job.lake.read(layer, table).agg(F.count(F.lit(1)).alias("table_rows")).select(
-            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "table_rows"
-        )
-        for layer, table in written
-    ])
+    return reduce(DataFrame.unionByName, [_contents(job.lake.read(layer, table), layer, table) for layer, table in written])
+
+
+VALUES = {
+    "kpi_incidence_by_region": "total_cases", "kpi_cases_per_day": "new_cases", "kpi_deaths_per_day": "new_deaths",
+    "kpi_hospitalizations_by_region": "hospitalized", "kpi_vaccination_vs_cases": "doses_administered", "kpi_temporal_evolution_by_state": "metric_value",
+}
+
+
+def _contents(rows: DataFrame, layer: str, table: str) -> DataFrame:
+    value = F.round(F.sum(VALUES[table]).cast("double"), 2) if table in VALUES else F.lit(None).cast("double")
+    dates = [f("report_date") if table in VALUES else F.lit(None).cast("date") for f in (F.min, F.max)]
+    found = rows.agg(F.count(F.lit(1)).alias("table_rows"), value.alias("total"), dates[0].alias("first_date"), dates[1].alias("last_date"))
+    return found.select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "table_rows", "total", "first_date", "last_date")

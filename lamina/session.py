@@ -1,6 +1,8 @@
 """Session settings and the shared folder for written intermediates."""
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -9,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 _local_dirs: dict[str, str] = {}
 
 MB = 1024 * 1024
-# The driver keeps a status per map task that grows with the number of reducers, so both are bounded.
-SCAN_TASKS, SHUFFLE_TASKS = 100_000, 20_000
 SCAN_BYTES, SHUFFLE_BYTES = 128 * MB, 512 * MB
 
 
@@ -35,11 +35,11 @@ def build_session(app_name: str = "lamina", master: str | None = None, **conf: s
 def size_session(spark: SparkSession, input_bytes: int) -> None:
     """Set scan splits and shuffle partitions for an input of that size; adaptive execution merges small ones.
 
-    Splits grow only for inputs that would need too many of them, and the number of
-    shuffle partitions is raised, never lowered.
+    A split has SCAN_BYTES and a shuffle partition SHUFFLE_BYTES whatever the size of the input; the number of shuffle
+    partitions is raised, never lowered.
     """
-    spark.conf.set("spark.sql.files.maxPartitionBytes", max(SCAN_BYTES, math.ceil(input_bytes / SCAN_TASKS)))
-    wanted = min(SHUFFLE_TASKS, math.ceil(input_bytes / SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", SCAN_BYTES)
+    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", wanted)
 
@@ -50,13 +50,17 @@ def work_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.split("[")[0] == "local"
     if named:
+        if named.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir is {named}, a folder of one machine: name one that all executors share")
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="lamina-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 

@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Quotes inside values are doubled. Empty text and null look alike in CSV; both are read as null.
+# Quotes inside values are doubled. Files written here mark null, so that it stays apart from empty text; in files
+# from elsewhere, which are read without the mark, an empty value is null.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
+NULL_MARK = "\\N"
 
 
 def read_csv(
@@ -15,6 +17,7 @@ def read_csv(
     infer_schema: bool = False,
     sampling_ratio: float = 1.0,
     multi_line: bool = True,
+    null_mark: str | None = None,
 ) -> DataFrame:
     """CSV with a header in every file; several files are concatenated.
 
@@ -23,6 +26,8 @@ def read_csv(
     cannot be split, so large extracts should be written as many files.
     """
     reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line)
+    if null_mark is not None:
+        reader = reader.options(nullValue=null_mark, emptyValue="")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer_schema:
@@ -53,9 +58,9 @@ def list_files(spark: SparkSession, prefix: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_mark: str = NULL_MARK) -> None:
     df.write.mode(mode).options(
-        **CSV_FORMAT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        **CSV_FORMAT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, nullValue=null_mark
     ).csv(path)
 
 

@@ -7,23 +7,25 @@ from lamina.functions import fixed
 
 
 def read_manifest(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per listed file, in manifest order (``position``).
+    """One row per listed file, with the path of its manifest and its place there (``manifest``, ``position``).
 
     ``multi_line`` reads a file as one document, with or without a byte order mark;
     without it each line is a manifest.
     """
     documents = spark.read.schema(fixed.MANIFEST_SCHEMA).option("multiLine", multi_line).json(path)
-    return documents.select(F.posexplode("files").alias("position", "file")).select("position", "file.*")
+    rows = documents.select(F.col("_metadata.file_path").alias("manifest"), F.posexplode("files").alias("position", "file"))
+    return rows.select("manifest", "position", "file.*")
 
 
 def structured_files(files: DataFrame) -> DataFrame:
     """The file to load for every dataset: its first one, or its first CSV if the first one is JSON.
 
-    Documents and files without a dataset are left out. Both candidates are minima, so a
+    Several manifests follow each other in the order of their paths. Documents and files without a dataset are left out. Both candidates are minima, so a
     dataset with very many files is combined before the shuffle.
     """
     candidates = files.filter((F.col("format") != "pdf") & (F.col("dataset_key") != ""))
-    columns = ["position", *[c for c in files.columns if c not in ("position", "dataset_key")]]
+    order = [c for c in ("manifest", "position") if c in files.columns]
+    columns = [*order, *[c for c in files.columns if c not in (*order, "dataset_key")]]
     entry = F.struct(*columns)
     chosen = candidates.groupBy("dataset_key").agg(
         F.min(entry).alias("first"),

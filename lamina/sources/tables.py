@@ -28,10 +28,12 @@ class Lake:
         return self.spark.read.format(self.format).load(self.path(layer, name))
 
     def read_optional(self, layer: str, name: str) -> DataFrame | None:
-        """The table, or None where there is none."""
+        """The table, or None where there is no such path. A table that cannot be read raises."""
         try:
             return self.read(layer, name)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def count(self, layer: str, name: str) -> int:

@@ -53,15 +53,27 @@ def test_more_pages_than_one_block(spark):
     assert result(spark, pages) == text_of(pages)
 
 
-def test_preview_and_limits(spark):
+def test_the_whole_text_is_the_default(spark):
     row = documents.document_text(documents.page_records(spark.createDataFrame([("d", 1, "x" * 12_000)], PAGES))).first()
+    assert (len(row.full_text), len(row.text_preview)) == (12_000, 500)
+
+
+def test_preview_and_limits(spark):
+    row = documents.document_text(documents.page_records(spark.createDataFrame([("d", 1, "x" * 12_000)], PAGES)), 10_000).first()
     assert (len(row.full_text), len(row.text_preview), row.total_characters) == (10_000, 500, 12_000)
 
 
-def test_repeated_page_numbers_are_refused(spark):
-    pages = spark.range(2000).select(F.lit("d").alias("source_file"), F.lit(1).alias("page_number"), F.lit("x").alias("text"))
-    with pytest.raises(ValueError):
-        documents.document_text(documents.page_records(pages))
+@pytest.mark.parametrize("copies", [2, 2000])
+def test_of_repeated_page_numbers_the_smallest_text_counts(spark, copies):
+    pages = spark.range(copies).select(F.lit("d").alias("source_file"), F.lit(1).alias("page_number"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("text"))
+    row = documents.document_text(documents.page_records(pages)).first()
+    assert (row.total_pages, row.total_characters, row.full_text) == (1, 2, "x0")
+
+
+def test_one_shuffle_and_no_job_while_it_is_built(spark):
+    pages = spark.createDataFrame([("d", 1, "a")], PAGES)
+    plan = documents.document_text(documents.page_records(pages))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_no_documents(spark):
@@ -78,7 +90,14 @@ def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
             raise ValueError("no pages")
         return text.split("\f")
 
-    decoded = documents.decode_documents(spark, str(tmp_path), decoder)
-    assert [tuple(r) for r in decoded.filter("error IS NOT NULL").collect()] == [("bad.pdf", None, None, "no pages")]
+    (tmp_path / "other").mkdir()
+    (tmp_path / "other" / "good.pdf").write_text("three\f")
+    (tmp_path / "notes.txt").write_text("no document")
+
+    decoded = documents.decode_documents(spark, str(tmp_path), decoder, "*.pdf")
+    base = f"file:{tmp_path}"
+    assert [tuple(r) for r in decoded.filter("error IS NOT NULL").collect()] == [(f"{base}/bad.pdf", None, None, "no pages")]
     pages = documents.decoded_pages(decoded)
-    assert sorted(tuple(r) for r in pages.collect()) == [("good.pdf", 1, "one"), ("good.pdf", 2, "two")]
+    assert sorted(tuple(r) for r in pages.collect()) == [
+        (f"{base}/good.pdf", 1, "one"), (f"{base}/good.pdf", 2, "two"), (f"{base}/other/good.pdf", 1, "three"), (f"{base}/other/good.pdf", 2, ""),
+    ]

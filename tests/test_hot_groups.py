@@ -72,7 +72,7 @@ def test_a_document_with_a_third_of_all_pages(table, data):
     for n, k, _, s in data:
         pages[k].append((n, s))
     records = documents.page_records(table.selectExpr("k AS source_file", "n + 1 AS page_number", "s AS text"))
-    found = {r.source_file: (r.total_pages, r.total_characters, r.full_text) for r in documents.document_text(records).collect()}
+    found = {r.source_file: (r.total_pages, r.total_characters, r.full_text) for r in documents.document_text(records, 10_000).collect()}
     assert found == {
         k: (len(p), sum(len(s) for _, s in p), "\n\n".join(s for _, s in sorted(p))[:10_000]) for k, p in pages.items()
     }

@@ -27,7 +27,7 @@ def sources(spark):
 
 @pytest.fixture(scope="module")
 def finished(spark, tmp_path_factory):
-    job = Medallion(Lake(spark, str(tmp_path_factory.mktemp("lake"))), datasets=[fixed.CASES, fixed.VACCINATIONS])
+    job = Medallion(Lake(spark, str(tmp_path_factory.mktemp("lake"))), mode="sample", datasets=[fixed.CASES, fixed.VACCINATIONS])
     pages = spark.createDataFrame([("r.pdf", n, f"page {n}") for n in range(1, 9)], "source_file string, page_number int, text string")
     documents = [{"filename": "r.pdf", "format": "pdf", "file_size": 5, "local_path": "/x/r.pdf"}]
     return job, job.run(sources=sources(spark), more_files=documents, pages=pages)
@@ -149,7 +149,9 @@ def test_documents_are_decoded_once_and_kept(spark, tmp_path):
 
     job = Medallion(Lake(spark, str(tmp_path / "lake")), datasets=[])
     assert job.transform_documents()["status"] == "no_pdf"
-    assert job.load_documents(str(tmp_path / "in"), decoder) == {"status": "partial", "errors": ["b.pdf: no pages"]}
+    assert job.load_documents(str(tmp_path / "in"), decoder, "*.pdf") == {
+        "status": "partial", "failed": 1, "errors_in": job.lake.path("bronze", "document_pages"),
+    }
     assert job.transform_documents() == {
         "dataset": "document_text", "status": "success", "pdf_count": 1, "total_characters": 6,
     }
@@ -174,3 +176,52 @@ def test_gate_and_arguments(spark, tmp_path):
         job.run(["nonsense"])
     with pytest.raises(ValueError):
         Medallion(Lake(spark, str(tmp_path)), mode="huge")
+
+
+def test_full_is_the_default_and_keeps_whole_texts(spark, tmp_path):
+    job = Medallion(Lake(spark, str(tmp_path)), datasets=[])
+    assert job.mode == "full"
+    pages = spark.createDataFrame([("d", n, "x" * 4000) for n in range(1, 9)], "source_file string, page_number int, text string")
+    job.transform_documents(pages)
+    assert len(job.lake.read("silver", "document_text").first().full_text) == 8 * 4000 + 7 * 2
+
+
+def test_all_failed_documents_are_reported(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n in range(120):
+        (tmp_path / "in" / f"{n}.pdf").write_text("x")
+
+    def decoder(content):
+        raise ValueError("no pages")
+
+    job = Medallion(Lake(spark, str(tmp_path / "lake")), datasets=[])
+    found = job.load_documents(str(tmp_path / "in"), decoder)
+    assert found["failed"] == 120 == spark.read.parquet(found["errors_in"]).filter("error IS NOT NULL").count()
+
+
+def test_extract_without_sources_leaves_the_manifest(spark, tmp_path):
+    job = Medallion(Lake(spark, str(tmp_path)), datasets=[fixed.CASES])
+    job.extract(sources(spark))
+    before = spark.read.text(job.manifest_path).collect()
+    assert job.run(["extract"])["extract"]["status"] == "no_sources"
+    assert spark.read.text(job.manifest_path).collect() == before
+
+
+def test_a_missing_manifest_is_an_error(spark, tmp_path):
+    found = Medallion(Lake(spark, str(tmp_path)), datasets=[]).load_bronze()
+    assert (found["status"], found["loaded_datasets"], len(found["errors"])) == ("error", [], 1)
+
+
+def test_unreadable_cases_leave_gold_as_it_was(spark, tmp_path, finished):
+    done, _ = finished
+    job = Medallion(Lake(spark, str(tmp_path)), datasets=[fixed.CASES])
+    job.lake.overwrite(done.lake.read("silver", fixed.CASES), "silver", fixed.CASES)
+    assert job.build_gold()["status"] == "partial"  # there are no vaccinations
+    before = job.lake.count("gold", "kpi_cases_per_day")
+    job.lake.read("silver", fixed.CASES).limit(0).write.mode("overwrite").partitionBy("state").parquet(job.lake.path("silver", fixed.CASES))
+    assert job.build_gold()["status"] == "error"
+    assert job.lake.count("gold", "kpi_cases_per_day") == before > 0
+
+
+def test_steps_report_their_seconds(finished):
+    assert all(r["duration_seconds"] > 0 for r in finished[1].values())

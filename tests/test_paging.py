@@ -63,6 +63,14 @@ def test_keyset_pages_cover_the_table(table):
     assert seen == brute_force(table)
 
 
+def test_keyset_walk_has_the_short_last_page_and_no_top_k(table):
+    pages = list(paging.keyset_walk(table, "key", 300))
+    assert [page for page, _ in pages] == [0, 1, 2, 3]
+    assert [r.key for _, rows in pages for r in rows.orderBy("key").collect()] == brute_force(table)
+    assert pages[-1][1].count() == 100
+    assert all("TakeOrdered" not in rows._jdf.queryExecution().executedPlan().toString() for _, rows in pages)
+
+
 @pytest.mark.parametrize("limit, count", [(0, 0), (10, 10), (5000, 1000), (None, 1000)])
 def test_row_cap(table, limit, count):
     capped = paging.row_cap(table, "key", limit)
@@ -73,5 +81,5 @@ def test_row_cap(table, limit, count):
 
 def test_page_size():
     assert paging.page_size() == 50_000
-    assert paging.page_size(80_000) == 50_000
+    assert paging.page_size(80_000) == 80_000
     assert paging.page_size(1000, 30) == 30
