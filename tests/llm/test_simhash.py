@@ -1,0 +1,88 @@
+import collections
+
+import numpy as np
+import pytest
+import xxhash
+
+from lamina.llm import simhash
+
+
+def brute(text, size):
+    words = text.encode().lower().split()
+    shingles = [b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or ([b" ".join(words)] if words else [])
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s, 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
+
+
+def roots(n, pairs):
+    forest = simhash.Forest(n)
+    for a, b in pairs:
+        forest.join(a, b)
+    return [forest.find(i) for i in range(n)]
+
+
+def near_prints(seed, n=1500):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**64, n, dtype=np.uint64)
+    noise = np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 6), replace=False)) for _ in range(n)], np.uint64)
+    ball = np.array([int(base[0]) ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (900, 2))], np.uint64)
+    return np.unique(np.concatenate([base, base ^ noise, ball]))
+
+
+@pytest.mark.parametrize("text", ["", " \t", "One", "a b c", "The Cat sat on THE mat É é ß 😀 again the cat sat on the mat"])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text.encode(), 4) == brute(text, 4)
+
+
+@pytest.mark.parametrize("depth", [0, 3])
+def test_shards_find_all_links(depth):
+    fp = near_prints(5)
+    nodes = simhash.plant(fp[:1000], depth)
+    row, shard, home = simhash.route(fp, nodes, depth, 4)
+    assert sorted(row[home].tolist()) == list(range(len(fp)))
+    pairs = []
+    for k in range(2**depth):
+        m = shard == k
+        if m.any():
+            pairs += [(int(row[m][a]), int(row[m][b])) for a, b in simhash.link(fp[row[m]], home[m], 4)]
+    assert all(np.bitwise_count(fp[a] ^ fp[b]) <= 4 for a, b in pairs)
+    every = [(i, i + 1 + int(j)) for i in range(len(fp)) for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= 4)]
+    assert roots(len(fp), pairs) == roots(len(fp), every)
+    assert len(pairs) < 2**depth * len(fp)  # a forest per shard, not all pairs
+
+
+def test_components_of_long_chains(spark):
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 1500), (7, 7)]
+    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == dict.fromkeys(range(301), 0) | dict.fromkeys([1000, 1500, 2000], 1000)
+
+
+def test_near_duplicates_of_odd_rows(docs_of, odd_rows):
+    found = simhash.near_duplicates(docs_of(odd_rows), 4).collect()
+    assert len(found) == len(odd_rows)
+    by = collections.defaultdict(set)
+    for r in found:
+        by[r["component"]].add(None if r["doc_id"] == 2**63 - 1 else r["doc_id"])
+    assert by[1] >= {1, 2, 3, None} and by[4] >= {4, 5, None} and 7 in by[6]
+
+
+def test_one_of_each_stays(docs_of, odd_rows):
+    docs = docs_of(odd_rows).selectExpr("*", "1 AS fp", "2 AS root", "3 AS component", "4 AS _key2")
+    kept = simhash.keep_one(docs, 4)
+    assert kept.columns == docs.columns
+    groups = simhash.near_duplicates(docs, 4).select("root").distinct().count()
+    assert kept.count() == groups
+    assert {4, 6} <= {r["doc_id"] for r in kept.collect()} and 5 not in {r["doc_id"] for r in kept.collect()}
+
+
+def test_empty_table(docs_of):
+    assert simhash.near_duplicates(docs_of([(1, "a")]).limit(0)).count() == 0
+
+
+def test_documents_without_ids(docs_of):
+    docs = docs_of([(None, "a b c d e f g"), (None, "a b c d e f g"), (None, "quite another text about nothing at all")])
+    assert simhash.keep_one(docs).count() == 2
