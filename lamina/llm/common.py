@@ -34,9 +34,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: later steps reread it, also after an executor is lost."""
+    """Write to the shared folder and read back: later steps reread it, also after an executor is lost.
+
+    The shuffles behind the table are not needed any more. Spark deletes their files when the driver collects its garbage,
+    which on a quiet driver can take until the disks are full, so it is asked to.
+    """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
