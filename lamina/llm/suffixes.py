@@ -223,11 +223,11 @@ def _small_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield rows.iloc[a:b]
 
 
-def removed_windows(docs: DataFrame, size: int = 100, shard_contexts: int = 20_000) -> DataFrame:
+def removed_windows(docs: DataFrame, size: int = 100, shard_contexts: int = 30_000) -> DataFrame:
     """doc_id and spans: first and last place (pairs of 64-bit numbers) of windows that start earlier too."""
     if size <= SPREAD:
         raise ValueError(f"size must be above {SPREAD}")
-    bits = bucket_bits(docs)
+    bits = bucket_bits(docs, MB)
 
     def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         row, _, _, h = runs(texts, size)
