@@ -19,7 +19,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, those with a Jaccard similarity of 0.8 or more (5-word shingles) included."""
     return simhash.keep_one(docs, size=5, radius=4)
 
 

@@ -8,6 +8,9 @@ vantage-point tree prunes by triangle bounds until few candidates are left, whic
 a spanning forest of its links, never all pairs: a ball of n mutual neighbours costs n - 1 links. Links of all shards are
 joined into components by star contraction in Spark, each round written to the shared folder.
 
+``keep_one`` also links documents whose sets of shingles have a Jaccard similarity of 4/5 or more (``similar_sets``), since
+most of them differ in more bits than can be searched.
+
 Null and empty texts have fingerprint zero and are linked like any other. Rows with a null id take part, and their
 component has the smallest id that is not null (null if there is none). Repeated rows and ties are copies.
 """
@@ -22,9 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import NO_ID, at_hand, id_back, keyed, stored, table
+from lamina.llm.common import MB, NO_ID, at_hand, buckets_for, chunks, id_back, keyed, mixed, stored, table, window_hashes, word_hashes
 
 SAMPLE = 8192  # fingerprints that the tree of shards is fitted on
+SAMPLED, COMMON = 20_000, 200_000  # texts that show which shingles are common, and how many of these are told apart
+FEW = 32  # sets with a shingle in common that are all compared at once
 _LEAF = 1 << 15  # pairs that are compared without a further vantage point
 
 
@@ -249,9 +254,156 @@ def near_duplicates(docs: DataFrame, size: int = 5, radius: int = 4) -> DataFram
     return prints.join(firsts.join(least, "root").select("fp", "root", "component"), "fp")
 
 
+# ---------------------------------------------------------------- documents of one similarity
+
+def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+    """The distinct hashes of the shingles of each text, as in ``fingerprint``: lower-cased, the whole of a shorter text."""
+    words, row = word_hashes([t.lower() for t in texts])
+    h = window_hashes(words, size)
+    of = row[: len(h)]
+    inside = of == row[size - 1 :][: len(h)]
+    h, of = h[inside], of[inside]
+    start, cuts = np.searchsorted(row, np.arange(len(texts) + 1)), np.searchsorted(of, np.arange(len(texts) + 1))
+    out = []
+    for i in range(len(texts)):
+        short = words[start[i] : start[i + 1]]
+        out.append(np.unique(h[cuts[i] : cuts[i + 1]] if len(short) >= size or len(short) == 0 else window_hashes(short, len(short))))
+    return out
+
+
+def set_key(hashes: np.ndarray) -> int:
+    """One 64-bit hash of a set of hashes."""
+    return int(mixed(np.array([mixed(hashes).sum(dtype=np.uint64) + np.uint64(len(hashes))], np.uint64)).view(np.int64)[0])
+
+
+def _sets(rows: pd.DataFrame, size: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray], list[int]]]:
+    texts = rows["text"].tolist()
+    for a, b in chunks(list(map(len, texts)), MB):
+        sets = shingle_sets(texts[a:b], size)
+        yield rows.iloc[a:b], sets, [set_key(x) for x in sets]
+
+
+def _common(docs: DataFrame, size: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that a sample of different texts has more than once, at most COMMON, and how often."""
+
+    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for _, sets, _ in _sets(rows, size):
+                yield pd.DataFrame({"h": np.concatenate(sets).view(np.int64)})
+
+    some = docs.where(F.pmod(text_hash(), F.lit(1_000_000)) < int(1_000_000 * share)).dropDuplicates(["text"])
+    rows = keyed(some).mapInPandas(found, "h long").groupBy("h").count().where("count > 1").orderBy(F.desc("count"), "h").limit(COMMON).collect()
+    h, n = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+    by = np.argsort(h)
+    return h[by], n[by]
+
+
+def similar_sets(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Of each row doc_id, text_hash and key, a hash of its set of shingles; and the links (a, b) of keys.
+
+    All sets with a Jaccard similarity of 4/5 or more are joined by links, and no others are linked. Two such sets share one of the first
+    n - ceil(4n/5) + 1 shingles of each, in any one order of all shingles (prefix filter). The order here is rare ones
+    first, by a sample, so that lines that many documents have propose nothing unless most of the document is made of them.
+    Of a shingle in the prefix of many sets, first two of the sets meet all others; then the sets meet that this has not joined.
+    Every proposed pair is settled by the whole sets.
+    """
+    at_hand(docs.sparkSession)
+    docs = docs.select("doc_id", "text")
+
+    def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for part, _, keys in _sets(rows, size):
+                yield pd.DataFrame({"doc_id": part["doc_id"], "text_hash": part["text_hash"], "key": keys})
+
+    prints = stored(keyed(docs, text_hash().alias("text_hash")).mapInPandas(printed, "doc_id long, text_hash long, key long"), "sets")
+    common, often = _common(docs, size, min(1.0, SAMPLED / max(1, prints.count())))
+    bits = max(6, int(np.log2(buckets_for(docs, 16 * MB))))
+
+    def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for _, sets, keys in _sets(rows, size):
+                h, key, n = [], [], []
+                for k, x in dict(zip(keys, sets, strict=True)).items():
+                    if len(x) == 0:
+                        continue
+                    prefix = len(x) - (4 * len(x) + 4) // 5 + 1
+                    if len(common):
+                        at = np.minimum(np.searchsorted(common, x), len(common) - 1)
+                        x = x[np.argsort(np.where(common[at] == x, often[at], 0), kind="stable")]
+                    h.append(x[:prefix])
+                    key.append(np.full(prefix, k, np.int64))
+                    n.append(np.full(prefix, len(x), np.int64))
+                if not h:
+                    continue
+                h, key, n = map(np.concatenate, (h, key, n))
+                bucket = (mixed(h) >> np.uint64(64 - bits)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                h, key, n, bucket = h[by], key[by], n[by], bucket[by]
+                cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
+                yield pd.DataFrame([
+                    {"bucket": int(bucket[x]), "h": h[x:y].tobytes(), "key": key[x:y].tobytes(), "n": n[x:y].astype(np.int32).tobytes()}
+                    for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                ])
+
+    def listed(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        h, key, n = (np.frombuffer(b"".join(rows[c]), t) for c, t in (("h", np.int64), ("key", np.int64), ("n", np.int32)))
+        by = np.lexsort((key, h))
+        h, key, n = h[by], key[by], n[by]
+        once = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])]
+        h, key, n = h[once], key[once], n[once]
+        new = np.r_[True, h[1:] != h[:-1]]
+        group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        many = np.bincount(group)[group]
+        pivot = (many <= FEW) | (np.arange(len(h)) - first[group] < 2)
+        some = many > 1
+        return pd.DataFrame({"h": h[some], "key": key[some], "n": n[some], "large": many[some] > FEW, "pivot": pivot[some]})
+
+    places = keyed(docs).mapInPandas(dealt, "bucket long, h binary, key binary, n binary").groupBy("bucket")
+    lists = stored(places.applyInPandas(listed, "h long, key long, n int, large boolean, pivot boolean"), "lists")
+    a, b = lists.alias("a"), lists.alias("b")
+    like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
+    pairs = a.where("pivot").join(b, like & (F.col("a.key") != F.col("b.key")) & (~F.col("b.pivot") | (F.col("a.key") < F.col("b.key"))))
+    links = _settled(docs, size, pairs)
+    if lists.where("large").isEmpty():
+        return prints, links
+    classes = components(links)
+    large = lists.where("large").join(classes, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
+    large = stored(large, "lists")
+    apart = large.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
+    large = large.join(apart, "h", "left_semi")
+    pairs = large.alias("a").join(large.alias("b"), like & (F.col("a.root") < F.col("b.root")))
+    return prints, links.union(_settled(docs, size, pairs))
+
+
+def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more."""
+    pairs = stored(pairs.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct(), "pairs")
+
+    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for _, sets, keys in _sets(rows, size):
+                some = dict(zip(keys, sets, strict=True))
+                yield pd.DataFrame({"key": list(some), "hashes": [x.view(np.int64) for x in some.values()]})
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    sets = keyed(docs).mapInPandas(made, "key long, hashes array<long>").join(wanted, "key", "left_semi")
+    sets = stored(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "sets")
+    x, y = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("key").alias("b"), F.col("hashes").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
+    return stored(both.where(9 * F.col("shared") >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "similar")
+
+
 def keep_one(docs: DataFrame, size: int = 5, radius: int = 4) -> DataFrame:
-    """One document of each group, the one with the smallest id (null ids last), with its own columns; of repeated rows, one."""
-    kept = near_duplicates(docs, size, radius).groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("_least"))
+    """One document of each group, the one with the smallest id (null ids last), with its own columns; of repeated rows, one.
+
+    A group is what links join: all pairs with a Jaccard similarity of 4/5 or more, and pairs of fingerprints within ``radius``.
+    """
+    near = near_duplicates(docs, size, radius).select("text_hash", "root").distinct()
+    prints, similar = similar_sets(docs, size)
+    same = stored(prints.select("text_hash", "key").distinct().join(near, "text_hash").select("key", "root").distinct(), "same")
+    links = same.join(same.groupBy("root").agg(F.min("key").alias("least")), "root").select(F.col("key").alias("a"), F.col("least").alias("b"))
+    classes = components(links.union(similar))
+    kept = prints.join(classes, F.col("key") == F.col("node"), "left").groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct("doc_id", "text_hash")).alias("_least"))
     rows = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": text_hash()})
     found = rows.join(kept.select("_least"), (F.col("_key") == F.col("_least.doc_id")) & (F.col("_hash") == F.col("_least.text_hash")))
     return found.dropDuplicates(["_key", "_hash"]).select(*docs.columns)

@@ -1,4 +1,6 @@
 import collections
+import itertools
+import random
 
 import numpy as np
 import pytest
@@ -86,3 +88,45 @@ def test_empty_table(docs_of):
 def test_documents_without_ids(docs_of):
     docs = docs_of([(None, "a b c d e f g"), (None, "a b c d e f g"), (None, "quite another text about nothing at all")])
     assert simhash.keep_one(docs).count() == 2
+
+
+def test_similar_sets_against_all_pairs(docs_of):
+    rng = random.Random(3)
+    rows, common = [], " ".join(f"rights{i}" for i in range(30))
+    for i in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([4, 12, 60, 300]))]
+        for copy in range(4):
+            some = [f"new{rng.randrange(5000)}" if copy and rng.random() < rng.choice([0.005, 0.02, 0.04]) else w for w in words]
+            rows.append((4 * i + copy, " ".join(some) + ("" if i % 3 else " " + common)))
+    body = [f"hot{i}" for i in range(80)]  # more near copies than are compared at once, some of them only linked by others
+    for i in range(60):
+        some = list(body)
+        for at in rng.sample(range(80), 1 + i % 2):
+            some[at] = f"x{i}y{at}"
+        rows.append((1000 + i, " ".join(some)))
+    sets = {}
+    for i, t in rows:
+        words = t.split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or {tuple(words)}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    near = 0
+    for x, y in itertools.combinations(sets, 2):
+        same = len(sets[x] & sets[y])
+        if 5 * same >= 4 * len(sets[x] | sets[y]):
+            near += sets[x] != sets[y]
+            a, b = find(x), find(y)
+            parent[max(a, b)] = min(a, b)
+    assert near > 100
+    prints = {i: simhash.fingerprint(t.encode(), 5) for i, t in rows}
+    for x, y in itertools.combinations(sets, 2):
+        if (prints[x] ^ prints[y]).bit_count() <= 4:
+            a, b = find(x), find(y)
+            parent[max(a, b)] = min(a, b)
+    kept = {r["doc_id"] for r in simhash.keep_one(docs_of(rows)).collect()}
+    assert kept == {find(i) for i in sets}
