@@ -3,8 +3,9 @@
 The documents of a source, in the order of their ids, form blocks of ``block_bytes``. Block i of a source with weight w is
 released at slot floor(i / w) and due by slot ceil((i + 1) / w). Of the released blocks the one with the earliest
 deadline takes the next slot, and so, up to every slot, each source has had its share to within less than one block.
-Weights are whole numbers of slots per period (at least 1000 slots), so one period of the schedule repeats; it is worked out
-once, on numbers that depend on the sources only, and joined to the blocks. A source whose documents are used up
+Weights are whole numbers of slots per period. The period (at least 1000 slots) grows until its rounding moves no source by more than
+an eighth of a block over all its blocks. One period of the schedule, as far as there are blocks, is worked out
+once, by a heap step per slot on the driver, written in pieces if it is long, and joined to the blocks. A source whose documents are used up
 leaves its slots empty; the others go on in their order. No document is dropped: a consumer takes as long a prefix as it needs.
 
 Running sums use no window over a source: rows are range-partitioned by source and id, summed within
@@ -17,15 +18,18 @@ last. Repeated rows are documents of their own. Sources without a target weight
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.llm.common import NO_ID, stored, table
+from lamina.session import scratch_path
 
-MAX_SOURCES, PERIOD = 10_000, 1000
+PERIOD, PIECE = 1000, 40_000  # slots at least, and blocks of the schedule that are held at once
 
 
 def slots_per_period(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
@@ -43,22 +47,59 @@ def slots_per_period(weights: dict[str, float], period: int = PERIOD) -> dict[st
     return slots
 
 
-def one_period(slots: dict[str, int]) -> list[tuple[str, int, int]]:
-    """(source, block, slot) of one period: earliest deadline first among the released blocks."""
-    period = sum(slots.values())
+def fitting_slots(weights: dict[str, float], blocks: dict[str, int]) -> dict[str, int]:
+    """Whole slots for each weight, of a period so long that no source is off by more than 1/8 block when its blocks are used up."""
+    total, period = math.fsum(w for w in weights.values() if w > 0), PERIOD
+    while True:
+        slots = slots_per_period(weights, period)
+        whole = sum(slots.values())
+        if all(8 * abs(n - weights[s] / total * whole) * blocks.get(s, 0) <= n for s, n in slots.items()):
+            return slots
+        period = 2 * whole
+
+
+def dealt(slots: dict[str, int], blocks: dict[str, int]) -> Iterator[tuple[str, int, int]]:
+    """(source, block, slot) of one period, as far as the sources have blocks: earliest deadline first among the released ones."""
+    period, left = sum(slots.values()), sum(min(n, blocks.get(s, 0)) for s, n in slots.items())
     later = [(0, s, 0) for s in sorted(slots)]  # (release, source, block)
     heapq.heapify(later)
     ready: list[tuple[int, str, int]] = []
-    out = []
     for slot in range(period):
+        if left == 0:
+            return
         while later and later[0][0] <= slot:
             _, s, i = heapq.heappop(later)
             heapq.heappush(ready, (-(-(i + 1) * period // slots[s]), s, i))
         _, s, i = heapq.heappop(ready)
-        out.append((s, i, slot))
+        if i < blocks.get(s, 0):
+            left -= 1
+            yield s, i, slot
         if i + 1 < slots[s]:
             heapq.heappush(later, ((i + 1) * period // slots[s], s, i + 1))
-    return out
+
+
+def one_period(slots: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(source, block, slot) of a whole period."""
+    return list(dealt(slots, slots))
+
+
+def _rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("p")).select("p.*")
+
+
+def _plan(spark: SparkSession, entries: Iterator[tuple[str, int, int]]) -> DataFrame:
+    """source, k and at of the schedule: within the plan if it is short, else in files."""
+    schema, path = "source: string, k: long, at: long", None
+    while True:
+        part = _rows(spark, [{"source": s, "k": i, "at": t} for s, i, t in itertools.islice(entries, PIECE)], schema)
+        following = next(entries, None)
+        if path is None and following is None:
+            return F.broadcast(part)
+        path = path or scratch_path(spark, "llm-mix-plan")
+        part.coalesce(1).write.mode("append").parquet(path)
+        if following is None:
+            return spark.read.schema(part.schema).parquet(path)
+        entries = itertools.chain([following], entries)
 
 
 def _hash() -> Column:
@@ -88,24 +129,22 @@ def schedule(docs: DataFrame, weights: dict[str, float] | None = None, block_byt
         _hash().alias("text_hash"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"),
     )
     rows = _ranged(rows, "mix-sizes", "source", "doc_id", "text_hash")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
-    if len(totals) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: map them to fewer before mixing")
+    totals = {r["source"]: r["size"] for r in rows.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     if weights is None:
-        weights = {r["source"]: max(1, r["size"]) ** power for r in totals}
-    slots = slots_per_period(weights)
+        weights = {s: max(1, size) ** power for s, size in totals.items()}
+    blocks = {s: size // block_bytes + 1 for s, size in totals.items()}
+    slots = fitting_slots(weights, blocks)
     period = sum(slots.values())
-    listed = json.dumps([{"source": s, "k": i, "at": t, "n": slots[s]} for s, i, t in one_period(slots)])
-    plan = spark.range(1).select(F.explode(F.from_json(F.lit(listed), "array<struct<source: string, k: long, at: long, n: long>>")).alias("p")).select("p.*")
-    counts = plan.select("source", "n").distinct()
+    plan = _plan(spark, dealt(slots, blocks))
+    counts = _rows(spark, [{"source": s, "n": n} for s, n in slots.items()], "source: string, n: long")
 
     within = Window.partitionBy("part", "source").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     before = _before(rows.groupBy("source", "part").agg(F.sum("size").alias("size")), ["source"], "size")
     rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(before, ["source", "part"])
     rows = rows.withColumn("block", F.expr(f"(before + inside) div {block_bytes}"))
-    rows = rows.join(F.broadcast(counts), "source", "left")  # MAX_SOURCES rows at most
+    rows = rows.join(F.broadcast(counts), "source", "left")  # a row per source
     rows = rows.withColumns({"block": F.when(F.col("n").isNotNull(), F.col("block")), "k": F.col("block") % F.col("n")})
-    rows = rows.join(F.broadcast(plan.select("source", "k", "at")), ["source", "k"], "left")  # a period at most, 4 * MAX_SOURCES rows
+    rows = rows.join(plan, ["source", "k"], "left")
     rows = rows.select(
         "doc_id", "text_hash", "source", "block", F.expr(f"block * {period} div n").alias("release"),
         F.expr(f"((block + 1) * {period} + n - 1) div n").alias("deadline"), F.expr(f"block div n * {period} + at").alias("slot"),

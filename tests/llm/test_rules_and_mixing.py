@@ -79,6 +79,24 @@ def test_schedule_against_brute_force(docs_of):
     assert all(r["release"] <= r["slot"] < r["deadline"] for r in found)
 
 
+@pytest.mark.parametrize("weights", [{f"s{i}": (i + 1) ** 0.5 for i in range(17)}, {"small": 0.0003, "a": 1, "b": 2 ** 0.5}])
+def test_shares_follow_the_weights_over_many_periods(weights):
+    total, got = sum(weights.values()), collections.Counter()
+    blocks = {s: int(30_000 * w / total) for s, w in weights.items()}  # all are used up after about 30,000 slots
+    slots = mixing.fitting_slots(weights, blocks)
+    for s, i, slot in mixing.dealt(slots, blocks):
+        got[s] += 1
+        assert i == got[s] - 1 and -1.13 < i - weights[s] / total * slot and i + 1 - weights[s] / total * (slot + 1) < 1.13
+    assert +got == {s: n for s, n in blocks.items() if n}
+
+
+def test_many_sources_and_a_long_schedule(docs_of, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 4000)
+    found = mixing.schedule(docs_of([(i, "x", "en", f"s{i}") for i in range(10_001)])).collect()
+    assert sorted(r["position"] for r in found) == list(range(10_001))
+    assert len({r["slot"] for r in found}) == 10_001 and all(r["release"] <= r["slot"] < r["deadline"] for r in found)
+
+
 def test_schedule_of_odd_rows(docs_of, odd_rows):
     docs = docs_of(odd_rows).withColumns({"size": F.lit(1), "part": F.lit(2), "slot": F.lit(3), "block": F.lit(4), "n": F.lit(5)})
     found = mixing.schedule(docs, {"a": 1, "b": 2}).collect()
