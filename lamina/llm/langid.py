@@ -10,7 +10,8 @@ The language of lowest cross-entropy per letter wins. Its score is a softmax ove
 temperature is fitted on a bounded sample of labelled texts that the counts leave out (``held_rows``). ``rejected`` marks
 texts that none of the models fits: their score is below ``reject`` or their cross-entropy above nearly all of the sample.
 
-The model is broadcast; ``max_grams`` bounds its entries. Beyond that the rarest sequences are left out of it.
+The model is built on the driver from all counts and broadcast, with a number per sequence and language: it grows with the letters
+and languages of the input, and no sequence is left out.
 Texts that are null or have no letter are ``und`` with score 0, as is everything if no row has a language.
 Training ignores rows with a null id, language or text; repeated rows count each time.
 """
@@ -183,7 +184,7 @@ def _softmax(entropy: np.ndarray, temperature: float) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit(docs: DataFrame, max_grams: int = 2_000_000, held_rows: int = 2000) -> Model | None:
+def fit(docs: DataFrame, held_rows: int = 2000) -> Model | None:
     """Counts from all rows with a language that are not held out, but for a bounded sample that fits the temperature."""
     spark = at_hand(docs.sparkSession)
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
@@ -220,7 +221,7 @@ def fit(docs: DataFrame, max_grams: int = 2_000_000, held_rows: int = 2000) -> M
                 yield pd.DataFrame([{"lang": lang, "keys": part["key"].to_numpy(np.int64).tobytes(), "counts": part["n"].to_numpy(np.int64).tobytes()}])
 
     sums = rows.where(order >= share).select("lang", "text").mapInPandas(counted, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    parts = _most(sums, max_grams).mapInPandas(packed, "lang string, keys binary, counts binary").collect()
+    parts = stored(sums, "grams").mapInPandas(packed, "lang string, keys binary, counts binary").collect()
     langs = sorted({r["lang"] for r in parts})
     if not langs:
         return None
@@ -243,16 +244,6 @@ def fit(docs: DataFrame, max_grams: int = 2_000_000, held_rows: int = 2000) -> M
     return model
 
 
-def _most(sums: DataFrame, max_grams: int) -> DataFrame:
-    """The sequences with the largest counts, at most ``max_grams``: those from the smallest count on that fits."""
-    sums = stored(sums, "grams")
-    total, least = sums.count(), 1
-    while total > max_grams:
-        least *= 2
-        total = sums.where(F.col("n") >= least).count()
-    return sums.where(F.col("n") >= least)
-
-
 def identify(docs: DataFrame, model: Model | None, reject: float = 0.5) -> DataFrame:
     """``docs`` with lang_pred, score, entropy and rejected."""
     spark = at_hand(docs.sparkSession)

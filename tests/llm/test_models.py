@@ -83,6 +83,15 @@ def test_held_out_accuracy(spark, module):
     assert found.agg(F.min("score") >= 0, F.max("score") <= 1).first()[:] == (True, True)
 
 
+def test_many_sequences_leave_no_language_out(docs_of):
+    rng = np.random.default_rng(4)
+    rows = [(i, "".join(map(chr, rng.integers(0x4E00, 0x9F00, 22_000))), "big") for i in range(140)]  # over 2,000,000 different sequences
+    rows += [(1000 + i, f"ab{chr(97 + i)} cd", "small") for i in range(20)]
+    model = langid.fit(docs_of(rows))
+    assert model.langs == ["big", "small"] and len(model.keys[0]) > 2_000_000
+    assert langid.identify(docs_of([(1, "aba cd")]), model).first()["lang_pred"] == "small"
+
+
 # ---------------------------------------------------------------- quality
 
 def test_quality_of_odd_rows(docs_of, odd_rows, spark):
