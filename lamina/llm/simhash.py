@@ -363,7 +363,7 @@ def similar_sets(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
     a, b = lists.alias("a"), lists.alias("b")
     like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
     pairs = a.where("pivot").join(b, like & (F.col("a.key") != F.col("b.key")) & (~F.col("b.pivot") | (F.col("a.key") < F.col("b.key"))))
-    links = _settled(docs, size, pairs)
+    links = _settled(docs, prints, size, pairs)
     if lists.where("large").isEmpty():
         return prints, links
     classes = components(links)
@@ -372,10 +372,10 @@ def similar_sets(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
     apart = large.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
     large = large.join(apart, "h", "left_semi")
     pairs = large.alias("a").join(large.alias("b"), like & (F.col("a.root") < F.col("b.root")))
-    return prints, links.union(_settled(docs, size, pairs))
+    return prints, links.union(_settled(docs, prints, size, pairs))
 
 
-def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
+def _settled(docs: DataFrame, prints: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more."""
     pairs = stored(pairs.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct(), "pairs")
 
@@ -386,7 +386,9 @@ def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"key": list(some), "hashes": [x.view(np.int64) for x in some.values()]})
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    sets = keyed(docs).mapInPandas(made, "key long, hashes array<long>").join(wanted, "key", "left_semi")
+    wanted = prints.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("text_hash").alias("wanted"))
+    wanted = stored(wanted.select("wanted").distinct(), "wanted")  # one text per set, before any set is shuffled
+    sets = keyed(docs.join(wanted, text_hash() == F.col("wanted"), "left_semi")).mapInPandas(made, "key long, hashes array<long>")
     sets = stored(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "sets")
     x, y = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("key").alias("b"), F.col("hashes").alias("y"))
     both = pairs.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
