@@ -34,6 +34,7 @@ from lamina.llm.common import MB, at_hand, input_bytes, mixed, stored, table
 
 K, SKETCHES, TUPLE = 8, 64, 2
 BLOCK = 4096
+UNKNOWN = 2**60  # what Spark's statistics say about rows that come from no file
 
 
 def odd_factors(n: int) -> np.ndarray:
@@ -176,7 +177,9 @@ def compared(docs: DataFrame, sketches: int = SKETCHES, size: int = TUPLE) -> Da
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(input_bytes(docs) / (64 * MB)))
+    parts, size_known = int(spark.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs)
+    if size_known < UNKNOWN:
+        parts = max(parts, math.ceil(size_known / (64 * MB)))
     order = [F.desc("doc_id"), F.asc("h")]
     dealt = texts.mapInArrow(packed, "doc_id long, h long, text binary").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     found = stored(dealt.select("doc_id", "text").mapInArrow(in_order, f"{_SCHEMA}, part int, end string, text binary"), "order-minhash")

@@ -182,6 +182,12 @@ def candidates(found: DataFrame, unary: DataFrame, longest: int, least: int, sha
     return kept.unionByName(edges)
 
 
+def score(a: str, l: str, r: str) -> Column:  # noqa: E741
+    """floor(1000000 a a / (l r)) of three columns, exact for counts below 10**16."""
+    a, l, r = (f"CAST({x} AS DECIMAL(18))" for x in (a, l, r))  # noqa: E741
+    return F.expr(f"CAST((CAST(1000000 AS DECIMAL(7)) * ({a} * {a})) DIV ({l} * {r}) AS BIGINT)")
+
+
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of the ``top`` collocations of each language."""
     found = counts(docs, longest, least)
@@ -190,8 +196,7 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, share: int
     cut = cut.withColumns({"left": F.expr("substring_index(phrase, ' ', k)"), "right": F.expr("substring_index(phrase, ' ', k - words)")})
     known = found.where(F.col("n") >= least)
     cut = cut.join(known.select("lang", F.col("phrase").alias("left"), F.col("n").alias("l")), ["lang", "left"]).join(known.select("lang", F.col("phrase").alias("right"), F.col("n").alias("r")), ["lang", "right"])
-    a, l, r = (f"CAST({x} AS DECIMAL(18))" for x in "alr")
-    best = F.min(F.struct(F.expr(f"CAST((CAST(1000000 AS DECIMAL(7)) * ({a} * {a})) DIV ({l} * {r}) AS BIGINT)").alias("score"), "k", "l", "r"))
+    best = F.min(F.struct(score("a", "l", "r").alias("score"), "k", "l", "r"))
     scored = cut.groupBy("lang", "phrase", "a").agg(best.alias("cut")).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score", F.pmod(F.xxhash64("phrase"), F.lit(64)).alias("part"))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     few = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lamina.llm import decontam, langid, mixing, order_minhash, phrases, pii, quality, rules, simhash, suffixes, tokens, windows
+from lamina.llm import decontam, langid, mixing, order_minhash, phrases, pii, quality, rules, simhash, suffixes, tokens, vector_codes, windows
 
 QUERIES = {
     "op1_tokens": tokens.op1_tokens,
@@ -16,10 +16,12 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
     "op11_phrases": phrases.op11_phrases,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
     "op13_order_minhash": order_minhash.op13_order_minhash,
 }
 
 ORACLES: dict[str, str] = {
     "op8_rules": rules.OP8_SQL,
     "op11_phrases": phrases.OP11_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
 }
