@@ -16,6 +16,8 @@ from lamina.session import scratch_path
 MB = 1024 * 1024
 #: Rows without an id take part under this key and get their null back in the result.
 NO_ID = 2**63 - 1
+#: What Spark's statistics say at least about rows that come from no file.
+UNKNOWN = 2**60
 SPACE = r"[\x20\x09-\x0D]+"
 
 

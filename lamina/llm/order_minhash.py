@@ -30,11 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, at_hand, input_bytes, mixed, stored, table
+from lamina.llm.common import MB, UNKNOWN, at_hand, input_bytes, mixed, stored, table
 
 K, SKETCHES, TUPLE = 8, 64, 2
 BLOCK = 4096
-UNKNOWN = 2**60  # what Spark's statistics say about rows that come from no file
 
 
 def odd_factors(n: int) -> np.ndarray:

@@ -5,17 +5,17 @@ Edges are the runs of ``longest`` words within a piece, weighted by their occurr
 not show: the last words of a piece (one, two, ... up to ``longest - 1``) begin no longer run. The count of a shorter
 phrase is the flow through its node, the weights of the edges (or longer nodes) that begin with it plus the pieces that end with it.
 
-1. Tasks turn texts into words and runs with numpy and add up equal runs, a few megabytes of text at a time.
-2. Spark sums the runs, then the nodes, then the words: at each of these levels a row hands its count to the phrase without its last
-   word, and a frequent phrase travels on unchanged, so that the whole corpus is counted in one chain of ``longest`` shuffles, each
-   combined before it is sent. What is stored are words and frequent phrases.
+1. A task makes the graph of a few megabytes of text with numpy: equal edges are added up, and the flows of nodes and words follow from
+   them and from the ends. Sums of such graphs are the graph of the corpus, so what is dealt out is an entry per phrase and graph.
+2. Entries are dealt to buckets by a hash of the whole phrase, so a hot language, word or node spreads over all buckets; they travel
+   compressed, many to a row. A bucket compares the phrases themselves, not their hashes, and keeps words and frequent phrases.
 3. Unary paths of frequent edges are compacted by pointer doubling: where a node has as much flow as the edge before and the edge behind it, no other edge
    and no piece begins or ends there, and the edges are one path with one weight. A cycle cannot be unary, as the pieces in it end somewhere.
    Inner nodes have the weight of their path. They never stand alone as a phrase, as a longer one has all their occurrences.
 4. Candidates are cut, the parts looked up in the counts, and the lowest score taken, in exact decimal arithmetic.
 
-Memory: a task holds the runs of ``CHUNK`` bytes of text, a path is at most as long as one piece. A hot language or word costs a
-task one row per run. The first rows of a language are chosen within many hashed parts first, then among these.
+Memory: a task holds the graph of ``CHUNK`` bytes of text, a bucket the entries of about ``PER_BUCKET`` bytes of input, a path is at most as
+long as one piece. The first rows of a language are chosen within many hashed parts first, then among these.
 
 Null texts are empty and give nothing; null languages are ``und``, also together with rows that say ``und``. Repeated rows count each time. Texts of
 any length are read whole, cut between pieces. Ties are ordered to the end: score, count, then the phrase by its bytes.
@@ -31,12 +31,14 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, at_hand, stored, table
+from lamina.llm.common import MB, UNKNOWN, at_hand, buckets_for, input_bytes, mixed, stored, table
 
-CHUNK = 8 * MB
+CHUNK, PER_BUCKET = 6 * MB, 4 * MB
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 KIND = np.zeros(256, np.uint8)  # 0: in a word, 1: between words, 2: between pieces
@@ -57,37 +59,64 @@ def words_of(data: bytes) -> tuple[pa.Array, np.ndarray]:
     return words, np.cumsum(kind == 2)[start]
 
 
-def runs(data: bytes, longest: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """Phrases and how often they occur: each run of ``longest`` words, and with a blank behind it each shorter end of a piece."""
+def graph(data: bytes, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Of a text, from edges to words: the number of words, the phrases, how often they occur, and a hash of each."""
     words, piece = words_of(data)
     n = len(words)
     if n == 0:
         return
     coded = words.dictionary_encode()
     word, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
-    ends = np.r_[piece[1:] != piece[:-1], True]
-    ids, place = word, np.arange(n)  # of the runs of m words, and where they start
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names.to_pylist()], np.uint64)
+    closing = np.r_[piece[1:] != piece[:-1], True]
+    # node[m]: by place, the node of the m words that start there; first[m]: a place of each node; ends[m]: pieces that end with it
+    node, first, ends, place = [np.zeros(n, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], np.arange(n)
     for m in range(1, longest + 1):
-        closing = ends[place + m - 1] if m < longest else np.ones(len(place), bool)
-        _, first, count = np.unique(ids[closing], return_index=True, return_counts=True)
-        at = place[closing][first]
-        parts = [names.take(pa.array(word[at + i])) for i in range(m)]
-        blank = [pa.array([b""] * len(at), pa.large_binary())] if m < longest else []
-        yield pc.binary_join_element_wise(*parts, *blank, pa.scalar(b" ", pa.large_binary())), count
-        if m < longest:
-            more = ~ends[place + m - 1]
-            place = place[more]
-            dense = np.unique(ids[more], return_inverse=True)[1] if len(place) else ids[more]
-            ids = dense * len(names) + word[place + m]
-        if len(place) == 0:
-            return
-
-
-def _texts(rows: list[bytes]) -> Iterator[bytes]:
+        place = place[~closing[place + m - 2]] if m > 1 else place
+        found, at, ids = np.unique(node[-1][place] * len(names) + word[place + m - 1], return_index=True, return_inverse=True)
+        node.append(np.zeros(n, np.int64))
+        node[m][place] = ids
+        first.append(place[at])
+        last = closing[place + m - 1]
+        ends.append(np.bincount(ids[last], minlength=len(found)))
+    count = np.bincount(node[longest][place], minlength=len(first[longest])) if len(place) else np.zeros(0, np.int64)
+    for m in range(longest, 0, -1):
+        at = first[m]
+        if len(at):
+            h = np.zeros(len(at), np.uint64)
+            for i in range(m):
+                h = mixed(h + hashes[word[at + i]])
+            yield m, pc.binary_join_element_wise(*(names.take(pa.array(word[at + i])) for i in range(m)), pa.scalar(b" ", pa.large_binary())), count, h
+        flow = ends[m - 1].copy()
+        np.add.at(flow, node[m - 1][at], count)
+        count = flow
+
+
+def _blocks(phrases: pa.Array, counts: np.ndarray, cuts: list[int]) -> list[bytes]:
+    """Phrases and counts between the cuts as compressed blocks: lengths and counts byte by byte of all, then the text."""
+    pack, place = zstandard.ZstdCompressor(1), np.frombuffer(phrases.buffers()[1], np.int64)[phrases.offset : phrases.offset + len(phrases) + 1]
+    text, size, counts = memoryview(phrases.buffers()[2]), np.diff(place).astype("<i4"), counts.astype("<i8")
+    return [
+        pack.compress(b"".join([(b - a).to_bytes(8, "little"), *(x[a:b].view(np.uint8).reshape(b - a, -1).T.tobytes() for x in (size, counts)), text[place[a] : place[b]]]))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
+
+
+def _unpack(block: bytes) -> tuple[pa.Array, np.ndarray]:
+    data = zstandard.ZstdDecompressor().decompress(block)
+    n = int.from_bytes(data[:8], "little")
+    raw = np.frombuffer(data, np.uint8)
+    size = np.ascontiguousarray(raw[8 : 8 + 4 * n].reshape(4, n).T).view("<i4").reshape(-1)
+    counts = np.ascontiguousarray(raw[8 + 4 * n : 8 + 12 * n].reshape(8, n).T).view("<i8").reshape(-1)
+    place = np.r_[0, np.cumsum(size, dtype=np.int64)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(place), pa.py_buffer(data[8 + 12 * n :])]), counts
+
+
+def _texts(texts: pa.Array, rows: np.ndarray) -> Iterator[bytes]:
     """Texts put together to about CHUNK bytes, with a border between them; longer ones are cut at a border of pieces."""
     group, total = [], 0
-    for text in rows:
-        at = 0
+    for row in rows.tolist():
+        text, at = texts[row].as_py(), 0
         while True:
             found = _BORDER.search(text, at + CHUNK) if len(text) - at > CHUNK else None
             cut = found.start() if found else len(text)
@@ -103,38 +132,46 @@ def _texts(rows: list[bytes]) -> Iterator[bytes]:
         yield b"\n".join(group)
 
 
-def _phrase_words() -> Column:
-    return F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1
+COUNTS = {"lang": pa.string(), "phrase": pa.string(), "words": pa.int32(), "n": pa.int64()}
 
 
 def counts(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
     """lang, phrase, words (their number) and n, the occurrences: all words, and phrases of 2 to ``longest`` words with ``least`` or more."""
     at_hand(docs.sparkSession)
+    bits = int(np.log2(buckets_for(docs, PER_BUCKET, 8))) if input_bytes(docs) < UNKNOWN else 10
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
             for code, lang in enumerate(langs.dictionary.to_pylist()):
-                own = batch.column("text").filter(pc.equal(langs.indices, code))
-                for data in _texts(own.to_pylist()):
-                    for phrase, n in runs(data, longest):
-                        for a in range(0, len(phrase), 50_000):
-                            some = phrase.slice(a, 50_000).cast(pa.binary())
-                            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), some, pa.array(n[a : a + 50_000], pa.int64())], ["lang", "phrase", "n"])
+                for data in _texts(batch.column("text"), np.flatnonzero(langs.indices.to_numpy(zero_copy_only=False) == code)):
+                    for words, phrases, n, h in graph(data, longest):
+                        bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+                        order = np.argsort(bucket, kind="stable")
+                        phrases, n, bucket = phrases.take(pa.array(order)), n[order], bucket[order]
+                        cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)].tolist()
+                        blocks = _blocks(phrases, n, cuts)
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(bucket[cuts[:-1]]), pa.array([lang] * len(blocks), pa.string()), pa.array([words] * len(blocks), pa.int32()), pa.array(blocks, pa.binary()),
+                        ], ["bucket", "lang", "words", "block"])
+
+    def added(rows: pa.Table) -> pa.Table:
+        kinds: dict[tuple, list] = {}
+        for lang, words, block in zip(*(rows.column(c).to_pylist() for c in ("lang", "words", "block")), strict=True):
+            kinds.setdefault((lang, words), []).append(_unpack(block))
+        out = []
+        for (lang, words), parts in kinds.items():
+            coded = pa.concat_arrays([p for p, _ in parts]).dictionary_encode()
+            total = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(total, coded.indices.to_numpy(zero_copy_only=False), np.concatenate([n for _, n in parts]))
+            keep = np.flatnonzero((total >= least) | (words == 1))
+            phrase = coded.dictionary.take(pa.array(keep)).cast(pa.binary()).cast(pa.string())
+            out.append(pa.Table.from_arrays([pa.array([lang] * len(keep), pa.string()), phrase, pa.array([words] * len(keep), pa.int32()), pa.array(total[keep])], list(COUNTS)))
+        return pa.concat_tables(out)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    found = texts.mapInArrow(counted, "lang string, phrase binary, n long").select("lang", F.col("phrase").cast("string").alias("phrase"), "n")
-    found = found.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    for words in range(longest, 1, -1):
-        # a frequent phrase stays, and any phrase of this many words (or the end of a piece) counts for what is left without its last word
-        whole = ~F.endswith("phrase", F.lit(" "))
-        full = whole & (F.lit(True) if words == longest else _phrase_words() >= words)
-        shorter = F.substring("phrase", F.lit(1), F.length("phrase") - F.length(F.substring_index("phrase", " ", -1)) - 1)
-        give = (_phrase_words() == words) if words < longest else F.lit(True)
-        found = found.select("lang", "n", F.explode(F.array_compact(F.array(
-            F.when(full & (F.col("n") >= least) | ~give, F.col("phrase")), F.when(give, shorter),
-        ))).alias("phrase")).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return stored(found.select("lang", "phrase", _phrase_words().cast("int").alias("words"), "n"), "phrase-counts")
+    blocks = texts.mapInArrow(dealt, "bucket long, lang string, words int, block binary")
+    return stored(blocks.groupBy("bucket").applyInArrow(added, "lang string, phrase string, words int, n long"), "phrase-counts")
 
 
 def _first(phrase: str, words: int) -> Column:
