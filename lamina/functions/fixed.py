@@ -140,7 +140,7 @@ REGISTRY_DEFAULTS = {
 MANIFEST_FILE_SCHEMA = (
     "source STRING, filename STRING, ingestion_time STRING, file_size BIGINT, format STRING, status STRING, "
     "dataset_key STRING, record_count BIGINT, local_path STRING, object_name STRING, pagination STRING, "
-    "category STRING"
+    "category STRING, content_hash STRING"
 )
 MANIFEST_SCHEMA = (
     "extraction_time STRING, mode STRING, total_files BIGINT, total_size_bytes BIGINT, "

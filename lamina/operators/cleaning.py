@@ -95,14 +95,24 @@ def _sortable(col: Column, data_type: T.DataType) -> Column:
     return col if _orderable(data_type) else col.cast("string")
 
 
-def clean(df: DataFrame, dataset: str) -> DataFrame:
-    """The whole cleaning of one dataset. The order of the steps is part of the result."""
+STAMPS = ["_silver_processed_at", "_silver_dataset"]
+
+
+def prepared(df: DataFrame) -> DataFrame:
+    """The cleaning of single rows, before duplicates are removed. The order of the steps is part of the result."""
     return (
         df.transform(standardize_states)
         .transform(parse_dates)
         .transform(cast_numbers)
         .transform(fill_nulls)
         .transform(clamp_negatives)
-        .transform(deduplicate, fixed.DEDUP_KEYS.get(dataset))
-        .withColumns({"_silver_processed_at": F.current_timestamp(), "_silver_dataset": F.lit(dataset)})
     )
+
+
+def stamped(df: DataFrame, dataset: str) -> DataFrame:
+    return df.withColumns(dict(zip(STAMPS, [F.current_timestamp(), F.lit(dataset)], strict=True)))
+
+
+def clean(df: DataFrame, dataset: str) -> DataFrame:
+    """The whole cleaning of one dataset."""
+    return stamped(deduplicate(prepared(df), fixed.DEDUP_KEYS.get(dataset)), dataset)

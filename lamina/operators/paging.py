@@ -1,11 +1,12 @@
-"""Row caps, offset pages and keyset pages over a table with a unique key."""
+"""Row caps, offset pages and keyset pages; keyset pages also over compound keys with ties and nulls."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions import fixed
+from lamina.operators import keyset
 from lamina.session import write_out
 
 MAX_PARTITIONS = 1_000_000
@@ -70,9 +71,21 @@ def read_after(df: DataFrame, key: str, last_key=None, size: int = fixed.MAX_PAG
     return rest.orderBy(key).limit(page_size(size))
 
 
-def page_bounds(df: DataFrame, key: str, size: int = fixed.MAX_PAGE_SIZE) -> DataFrame:
-    """page, first_key, last_key and page_rows of every page, from one range sort of the keys alone."""
-    return page_index(paginate(df.select(key), key, size), key)
+def page_bounds(df: DataFrame, key: str | Sequence[str], size: int = fixed.MAX_PAGE_SIZE) -> DataFrame:
+    """page, first_key, last_key and page_rows of every page, from one range sort of the keys alone.
+
+    A compound key is a struct. Rows with the same key stay in one page, the one in which the first of them falls, so a
+    page can be longer than ``size`` and the numbers of the pages that it fills are left out.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    indexed = with_row_index(df.select(*keys), keys, "_index")
+    alike = indexed.groupBy(keyset.key_struct(keys).alias("_key")).agg(F.min("_index").alias("_index"), F.count(F.lit(1)).alias("_rows"))
+    pages = alike.groupBy(F.floor(F.col("_index") / page_size(size)).alias("page")).agg(
+        F.min("_key").alias("first_key"), F.max("_key").alias("last_key"), F.sum("_rows").alias("page_rows")
+    )
+    if not isinstance(key, str):
+        return pages
+    return pages.withColumns({c: F.col(f"{c}.k0") for c in ("first_key", "last_key")})
 
 
 def read_page(df: DataFrame, key: str, first_key, last_key) -> DataFrame:
@@ -80,7 +93,11 @@ def read_page(df: DataFrame, key: str, first_key, last_key) -> DataFrame:
     return df.filter(F.col(key).between(F.lit(first_key), F.lit(last_key)))
 
 
-def keyset_walk(df: DataFrame, key: str, size: int = fixed.MAX_PAGE_SIZE) -> Iterator[tuple[int, DataFrame]]:
-    """Every page in key order, to the last, short one. The bounds come to the driver one by one."""
-    for r in page_bounds(df, key, size).orderBy("page").toLocalIterator():
-        yield r["page"], read_page(df, key, r["first_key"], r["last_key"])
+def keyset_walk(df: DataFrame, key: str | Sequence[str], size: int = fixed.MAX_PAGE_SIZE) -> Iterator[tuple[int, DataFrame]]:
+    """Every page in key order, to the last, short one; each row is in exactly one. The bounds come to the driver one by one."""
+    keys = [key] if isinstance(key, str) else list(key)
+    ends = page_bounds(df, keys, size).select("page", keyset.struct_text(df, keys, "last_key").alias("last")).orderBy("page")
+    after = None
+    for r in ends.toLocalIterator():
+        yield r["page"], df.filter(keyset.between(df, keys, after, r["last"]))
+        after = r["last"]

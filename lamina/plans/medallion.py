@@ -21,8 +21,9 @@ from pyspark.sql.types import StructType
 from lamina.functions import fixed
 from lamina.operators import documents, kpis, lineage, paging, quality, runlog, views, warehouse
 from lamina.operators.cleaning import clean
+from lamina.plans import increments
 from lamina.session import build_session, size_session
-from lamina.sources import files, manifest
+from lamina.sources import extracts, files, manifest
 from lamina.sources.tables import Lake
 
 STEPS = ["extract", "bronze", "silver", "quality", "gold", "warehouse"]
@@ -31,14 +32,16 @@ REGISTRY = "document_registry"
 PAGES = "document_pages"
 DOCUMENT_TEXT = "document_text"
 RUN_METADATA = "run_metadata"
+REJECTS = "bronze_rejects"
 
 
 @dataclass(frozen=True)
 class Source:
-    """A table to extract and the unique column that orders its pages."""
+    """A table to extract, the column that orders its pages and those that break its ties."""
 
     table: DataFrame
     key: str
+    ties: Sequence[str] = ()
 
 
 @dataclass
@@ -52,6 +55,11 @@ class Medallion:
     multi_line: bool = True
     # Tables that are worked on at the same time within a step.
     parallel: int = 6
+    # Bronze loads only files that are new or changed, silver only rewrites the buckets of their rows.
+    incremental: bool = False
+    # Rows of a page of a full extract, and buckets of a silver table; both are kept as long as the tables.
+    page_rows: int = extracts.PAGE_ROWS
+    silver_buckets: int = 64
 
     def __post_init__(self) -> None:
         if self.mode not in fixed.MODES:
@@ -68,9 +76,12 @@ class Medallion:
 
     # Extraction
 
-    def extract(self, sources: Mapping[str, Source], more_files: Sequence[dict] = ()) -> dict:
+    def extract(self, sources: Mapping[str, Source], more_files: Sequence[dict] = (), fresh: bool = False) -> dict:
         """Write every source as CSV (in sample mode also as JSON pages) and list the files in the manifest.
 
+        In full mode a source is written in keyset pages and an extract that is in place is continued: only pages that are missing or have
+        other rows now are written. ``fresh`` starts anew.
+
         A source that fails is listed with its error; the others go on. ``more_files`` are
         entries of files that are already in place, such as documents.
         """
@@ -78,8 +89,8 @@ class Medallion:
             return {"status": "no_sources", "total_files": 0, "total_size_bytes": 0}
         self.schemas = {name: source.table.schema for name, source in sources.items()} | dict(self.schemas)
         kinds = ["json", "csv"] if self.mode == "sample" else ["csv"]
-        extracts = [(name, source, kind) for kind in kinds for name, source in sources.items()]
-        entries = [*self._each(lambda e: self._extract_one(*e), extracts), *more_files]
+        wanted = [(name, source, kind) for kind in kinds for name, source in sources.items()]
+        entries = [*self._each(lambda e: self._extract_one(*e, fresh), wanted), *more_files]
         manifest.write_manifest(self.spark, self.manifest_path, entries, self.mode, _now())
         failed = [e for e in entries if str(e.get("status", "")).startswith("error")]
         return {
@@ -87,8 +98,10 @@ class Medallion:
             "total_size_bytes": sum(e.get("file_size") or 0 for e in entries),
         }
 
-    def _extract_one(self, name: str, source: Source, kind: str) -> dict:
+    def _extract_one(self, name: str, source: Source, kind: str, fresh: bool) -> dict:
         path = self.lake.path("raw", f"{kind}/{name}")
+        if self.limits["pagination"] == "keyset":
+            return self._extract_pages(name, source, path, fresh)
         entry = {
             "source": f"table://{name}", "filename": f"{name}.{kind}", "ingestion_time": _now(), "format": kind,
             "pagination": "offset" if kind == "json" else None,  # only JSON extracts are written by pages
@@ -110,6 +123,19 @@ class Medallion:
         except Exception as error:
             return entry | {"status": f"error: {error}", "file_size": 0}
 
+    def _extract_pages(self, name: str, source: Source, path: str, fresh: bool) -> dict:
+        entry = {"source": f"table://{name}", "filename": f"{name}.csv", "ingestion_time": _now(), "format": "csv", "pagination": "keyset"}
+        pages = extracts.KeysetExtract(self.spark, path, [source.key, *source.ties], self.page_rows)
+        try:
+            pages.run(source.table, fresh)
+            marks = pages.marks()
+            return entry | {
+                "status": "success", "dataset_key": name, "local_path": path, "record_count": sum(m["rows"] for m in marks),
+                "file_size": sum(m["bytes"] for m in marks),
+            }
+        except Exception as error:  # finished pages stay, and the next run goes on after them
+            return entry | {"status": f"error: {error}", "file_size": 0}
+
     # Bronze
 
     def load_bronze(self, manifest_path: str | None = None) -> dict:
@@ -119,41 +145,63 @@ class Medallion:
         except PySparkException as error:
             return {"status": "error", "loaded_datasets": [], "total_files": 0, "errors": [f"manifest: {error}"]}
         chosen = [row.asDict() for row in manifest.structured_files(listed).collect()]
-        found = self._each(self._load_file, chosen)
-        records = [entry for entry, error in zip(chosen, found) if error is None]
-        loaded = [entry["dataset_key"] for entry in records if entry["format"] in ("json", "csv")]
-        errors = [error for error in found if error is not None]
+        log = self.lake.read_optional("bronze", LOG) if self.incremental else None
+        found = self._each(lambda entry: self._load_entry(entry, log), chosen)
+        records = [file for result in found for file in result.get("files", ())]
+        loaded = [entry["dataset_key"] for entry, r in zip(chosen, found, strict=True) if "error" not in r and entry["format"] in ("json", "csv")]
+        errors = [r["error"] for r in found if "error" in r]
         registered = lineage.document_registry(listed)
         if not registered.isEmpty():
             self.lake.overwrite(registered, "bronze", REGISTRY)
         logged = manifest.documents(listed).drop("manifest", "position")
         if records:
             known = self.spark.createDataFrame(
-                [{c: r[c] for c in logged.columns} for r in records], fixed.MANIFEST_FILE_SCHEMA
+                [{c: r.get(c) for c in logged.columns} for r in records], fixed.MANIFEST_FILE_SCHEMA
             )
             logged = logged.unionByName(known)
-        self.lake.append(lineage.ingestion_records(logged), "bronze", LOG)
+        self.lake.append(lineage.load_records(logged), "bronze", LOG)
         return {
-            "status": "partial" if errors else "success", "loaded_datasets": sorted(loaded),
+            "status": "partial" if errors else "success", "loaded_datasets": sorted(loaded), "loaded_files": len(records),
+            "rejected": {e["dataset_key"]: r["rejected"] for e, r in zip(chosen, found, strict=True) if r.get("rejected")},
             "total_files": listed.count(), "errors": errors,
         }
 
-    def _load_file(self, entry: dict) -> str | None:
-        """Load one listed file and return its error, if there is one; other formats are only logged."""
-        schema = self.schemas.get(entry["dataset_key"])
+    def _load_entry(self, entry: dict, log: DataFrame | None) -> dict:
+        """Load the files of one entry, or those that are new or changed; records that do not fit go to the rejects of the dataset.
+
+        Returns the loaded ``files`` and the number ``rejected``, or the ``error``. Other formats are only logged.
+        """
+        dataset = entry["dataset_key"]
+        schema = self.schemas.get(dataset)
         try:
+            if entry["format"] not in ("csv", "json"):
+                return {"files": [entry]}
+            load = increments.BronzeLoad(self.lake, entry, log) if self.incremental else None
+            wanted = load.missing if load else increments.entry_files(self.lake, entry)
+            if not wanted:
+                return {"files": []}
+            paths = [f["local_path"] for f in wanted]
             if entry["format"] == "csv":
                 own = str(entry.get("source") or "").startswith("table://")
-                table = files.read_csv(
-                    self.spark, entry["local_path"], schema, multi_line=self.multi_line, null_mark=files.NULL_MARK if own else None
-                )
-            elif entry["format"] == "json":
-                table = files.read_json_documents(self.spark, entry["local_path"], schema)
+                routed = files.route_csv(self.spark, paths, schema, self.multi_line, files.NULL_MARK if own else None)
             else:
-                return None
-            self.lake.overwrite(lineage.enrich(table, entry), "bronze", entry["dataset_key"])
+                routed = files.route_json(self.spark, paths, schema)
+            seen = Observation()
+            routed = files.Routed(routed.rows.observe(seen, F.count(files.CORRUPT).alias("bad"), F.count(F.lit(1)).alias("all")))
+            if load:
+                load.write(routed)
+            else:
+                self.lake.overwrite(lineage.enrich(routed.good.drop(files.FILE), entry), "bronze", dataset)
+            rejected = seen.get["bad"]
+            rejects = routed.bad.withColumn("dataset_key", F.lit(dataset)).withColumn("rejected_at", F.current_timestamp())
+            if rejected or self.lake.read_optional(REJECTS, dataset) is not None:  # a clean load of clean files needs no second scan
+                if load and not load.whole:
+                    self.lake.append(rejects, REJECTS, dataset)
+                else:
+                    self.lake.overwrite(rejects, REJECTS, dataset)
+            return {"files": wanted, "rejected": rejected}
         except Exception as error:
-            return f"{entry['local_path']}: {error}"
+            return {"error": f"{entry['local_path']}: {error}"}
 
     def load_json(self, path: str, dataset: str) -> DataFrame:
         """Load one JSON file outside a manifest, with lineage made from its path."""
@@ -177,7 +225,10 @@ class Medallion:
     def transform_dataset(self, dataset: str) -> dict:
         """Clean one bronze table. Row counts come from the stored tables, so the plan runs once."""
         try:
-            self.lake.overwrite_enforced(clean(self.lake.read("bronze", dataset), dataset), "silver", dataset)
+            if self.incremental:
+                increments.merge_silver(self.lake, dataset, self.lake.read("bronze", LOG), self.silver_buckets)
+            else:
+                self.lake.overwrite_enforced(clean(self.lake.read("bronze", dataset), dataset), "silver", dataset)
             before, after = self.lake.count("bronze", dataset), self.lake.count("silver", dataset)
             return {
                 "dataset": dataset, "status": "success",

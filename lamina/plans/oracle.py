@@ -279,7 +279,40 @@ _SILVER = {
     "document_text": "(SELECT DISTINCT source_file FROM pages_raw) d",
 }
 
+_DAYS = "SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS day, o_custkey, o_totalprice FROM orders"
+
+
+def _filled(order: str, size: int, rows: str = "orders") -> str:
+    """Rows with the page of a keyset extract whose late rows (keys that end in 7) came when its pages were there already."""
+    return f"""
+        SELECT *, CASE WHEN late AND before = total THEN (total + {size - 1}) // {size} + 1 ELSE before // {size} + 1 END AS page, total FROM (
+          SELECT *, o_orderkey % 10 = 7 AS late, count(*) FILTER (WHERE o_orderkey % 10 <> 7) OVER () AS total,
+            coalesce(count(*) FILTER (WHERE o_orderkey % 10 <> 7) OVER (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM {rows}) x"""
+
+
 _SQL = {
+    "keyset_ties": f"SELECT day, o_orderkey, (rank() OVER (ORDER BY day NULLS FIRST) - 1) // 2000 AS page FROM ({_DAYS}) d",
+    "keyset_resumed": f"""
+        SELECT page::BIGINT AS page, count(*) AS page_rows, sum(o_orderkey)::BIGINT AS keys,
+          (1 + CAST(bool_or(late) AND page <= (max(total) + 1999) // 2000 AS INTEGER))::BIGINT AS times_written
+        FROM ({_filled('day NULLS FIRST, o_orderkey', 2000, f'({_DAYS}) d')}) f GROUP BY page""",
+    "incremental_bronze": " UNION ALL ".join(
+        f"SELECT {load}::INTEGER AS load, {read} AS files_read, {rows} AS table_rows, {keys}::BIGINT AS keys, {rows} AS different FROM ({_filled('o_orderkey', 1000)}) f"
+        for load, read, rows, keys in [
+            (1, "(max(total) + 999) // 1000", "max(total)", "(sum(o_orderkey) FILTER (WHERE NOT late))"),
+            (2, "count(DISTINCT page) FILTER (WHERE late)", "count(*)", "sum(o_orderkey)"), (3, "0::BIGINT", "count(*)", "sum(o_orderkey)"),
+        ]
+    ),
+    "incremental_silver": f"SELECT *, '{fixed.CASES}' AS silver_dataset FROM cases",
+    "malformed_records": """
+        SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
+          WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record
+        FROM customer""",
+    "malformed_json": """
+        SELECT c_custkey % 7 <> 3 AS fits, c_custkey, c_name, CASE WHEN c_custkey % 7 <> 3 THEN c_nationkey END AS c_nationkey,
+          CASE WHEN c_custkey % 7 = 3 THEN '{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","c_nationkey":"none"}' END AS record
+        FROM customer""",
     "clean_state": "SELECT r.rec_id, r.state, coalesce(s.name, r.state) AS state_normalized"
                    " FROM cases_raw r LEFT JOIN state_names s ON upper(r.state) = s.code",
     "clean_dates": f"SELECT rec_id, end_date, {_date('end_date')} AS end_date_parsed FROM cases_raw",

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -11,8 +11,9 @@ from lamina.functions import fixed
 from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, serving, views, warehouse
 from lamina.plans.fixtures import Tables, rounded
 from lamina.plans.medallion import Medallion, Source, gold_tables
-from lamina.session import scratch_path, spread
+from lamina.session import scratch_path, spread, write_out
 from lamina.sources import files, manifest
+from lamina.sources.extracts import KeysetExtract
 from lamina.sources.tables import Lake, SchemaMismatch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +167,98 @@ def keyset_large_page(t: Tables) -> DataFrame:
     return paging.page_bounds(t["orders"], "o_orderkey", 60 * PAGE_SIZE)
 
 
+def _days(t: Tables) -> DataFrame:
+    """Orders by day, of which some are unknown and most are shared."""
+    day = F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate").cast("date")).alias("day")
+    return t["orders"].select("o_orderkey", day, "o_custkey", "o_totalprice")
+
+
+@register
+def keyset_ties(t: Tables) -> DataFrame:
+    """All rows with their page where the key has ties and nulls: equal keys stay together."""
+    pages = paging.keyset_walk(_days(t).select("day", "o_orderkey"), ["day"], 2 * PAGE_SIZE)
+    return reduce(DataFrame.unionByName, [rows.withColumn("page", F.lit(page).cast("long")) for page, rows in pages])
+
+
+def _late(t: Tables) -> Column:
+    """Orders that come in later."""
+    return F.col("o_orderkey") % 10 == 7
+
+
+@register
+def keyset_resumed(t: Tables) -> DataFrame:
+    """Rows of the pages of an extract that broke off, went on, and was run again after rows had come in everywhere; and how often each page was written."""
+    table, kept = _days(t), ~_late(t)
+    extract = KeysetExtract(t.spark, scratch_path(t.spark, "resumed"), ["day", "o_orderkey"], 2 * PAGE_SIZE)
+    known = table.filter(kept)
+    limit = known.filter("day IS NOT NULL").agg(F.max("day")).first()[0]
+    broken = known.withColumn("o_totalprice", F.when(F.col("day") < F.lit(limit), F.col("o_totalprice")).otherwise(F.when(F.col("day").isNull(), F.col("o_totalprice")).otherwise(F.raise_error(F.lit("gone")).cast("double"))))
+    try:
+        extract.run(broken)
+    except Exception:
+        pass  # the last day cannot be read; the pages before it are finished
+    written = [m["page"] for m in extract.marks()] + extract.run(known) + extract.run(table) + extract.run(table)
+    times = t.spark.createDataFrame([(p, written.count(p)) for p in set(written)], "page long, times_written long")
+    rows = files.route_csv(t.spark, [extract.page_path(m["page"]) for m in extract.marks()], table.schema, null_mark=files.NULL_MARK).good
+    page = F.regexp_extract(files.FILE, "page=([0-9]+)", 1).cast("long")
+    return rows.groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("page_rows"), F.sum("o_orderkey").alias("keys")).join(times, "page", "full")
+
+
+@register
+def incremental_bronze(t: Tables) -> DataFrame:
+    """Files that each of three loads reads, and the table after it: new rows change some files, the third load finds nothing new."""
+    job = Medallion(_lake(t, "increments"), incremental=True, page_rows=PAGE_SIZE, datasets=["orders"])
+    table, found = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice"), []
+    for load, rows in enumerate([table.filter(~_late(t)), table, table], 1):
+        job.extract({"orders": Source(rows, "o_orderkey")})
+        done = job.load_bronze()
+        stored = job.lake.read("bronze", "orders").agg(F.count(F.lit(1)).alias("table_rows"), F.sum("o_orderkey").alias("keys"), F.countDistinct("o_orderkey").alias("different"))
+        found.append(write_out(stored.select(F.lit(load).alias("load"), F.lit(done["loaded_files"]).cast("long").alias("files_read"), "*"), "load"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _three_loads(t: Tables, job: Medallion) -> None:
+    """Cases that arrive in three parts, by record, each with its own extraction and load."""
+    last = t["orders"].agg(F.max("o_orderkey")).first()[0]
+    for part in (1, 2, 3):
+        job.extract({fixed.CASES: Source(t.cases_raw().filter(F.col("rec_id") <= last * part // 3), "rec_id")})
+        job.load_bronze()
+        job.transform_dataset(fixed.CASES)
+
+
+@register
+def incremental_silver(t: Tables) -> DataFrame:
+    """Cleaned cases after three loads, each merged with the stored rows of the buckets it touches."""
+    job = Medallion(_lake(t, "merged"), incremental=True, page_rows=2 * PAGE_SIZE, datasets=[fixed.CASES], silver_buckets=8)
+    _three_loads(t, job)
+    return _cleaned(job.lake.read("silver", fixed.CASES).select(*t.cases().columns))
+
+
+@register
+def malformed_records(t: Tables) -> DataFrame:
+    """Records of a CSV file after its load: those in the table, and the text of those that do not fit, in the rejects."""
+    job, path = Medallion(_lake(t, "malformed"), schemas={"customer": "c_custkey long, c_name string, c_nationkey int"}, datasets=["customer"]), scratch_path(t.spark, "malformed-csv")
+    line = F.expr("""CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
+        WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || ',"' || c_name || ', ""the"" 4th",4' ELSE c_custkey || ',' || c_name || ',' || c_nationkey END""")
+    header = t.spark.createDataFrame([("c_custkey,c_name,c_nationkey",)], "value string")
+    header.union(t["customer"].select(line)).coalesce(1).write.text(path)
+    job.extract({}, [{"source": "file", "filename": "customer.csv", "format": "csv", "dataset_key": "customer", "local_path": path, "file_size": 1}])
+    job.load_bronze()
+    good = job.lake.read("bronze", "customer").select(F.lit(True).alias("fits"), F.concat_ws("|", "c_custkey", "c_name", "c_nationkey").alias("record"))
+    return good.unionByName(job.lake.read("bronze_rejects", "customer").select(F.lit(False).alias("fits"), "record"))
+
+
+@register
+def malformed_json(t: Tables) -> DataFrame:
+    """The same for JSON documents of 1,000 records each: one record that does not fit leaves the others of its document."""
+    path = scratch_path(t.spark, "malformed-json")
+    record = F.when(F.col("c_custkey") % 7 == 3, F.to_json(F.struct("c_custkey", "c_name", F.lit("none").alias("c_nationkey")))).otherwise(F.to_json(F.struct("c_custkey", "c_name", "c_nationkey")))
+    paged = paging.paginate(t["customer"], "c_custkey", PAGE_SIZE).groupBy("page").agg(F.array_join(F.collect_list(record), ",\n").alias("records"))
+    paged.select("page", F.concat(F.lit("["), "records", F.lit("]"))).write.partitionBy("page").text(path)
+    routed = files.route_json(t.spark, path, "c_custkey long, c_name string, c_nationkey int")
+    return routed.rows.select(F.col(files.CORRUPT).isNull().alias("fits"), "c_custkey", "c_name", "c_nationkey", F.col(files.CORRUPT).alias("record"))
+
+
 @register
 def csv_roundtrip(t: Tables) -> DataFrame:
     """Empty text and null stay apart."""

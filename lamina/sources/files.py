@@ -1,13 +1,18 @@
 """File scans and file sinks."""
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Quotes inside values are doubled. Files written here mark null, so that it stays apart from empty text; in files
 # from elsewhere, which are read without the mark, an empty value is null.
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 NULL_MARK = "\\N"
+# The text of a record that does not fit, and the file of every record.
+CORRUPT, FILE = "_corrupt_record", "_file_path"
 
 
 def read_csv(
@@ -47,6 +52,64 @@ def read_ndjson(spark: SparkSession, paths: str | list[str], schema: StructType
     return (reader.schema(schema) if schema is not None else reader).json(paths)
 
 
+@dataclass(frozen=True)
+class Routed:
+    """Records of files with the text of those that do not fit their schema, from one scan."""
+
+    rows: DataFrame
+
+    @property
+    def good(self) -> DataFrame:
+        """Records that fit; FILE is the file of each."""
+        return self.rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+    @property
+    def bad(self) -> DataFrame:
+        """path and record (its text) of those that do not."""
+        return self.rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(FILE).alias("path"), F.col(CORRUPT).alias("record"))
+
+
+def _with_corrupt(schema: StructType | str) -> StructType:
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return StructType([*[f for f in kind if f.name != CORRUPT], StructField(CORRUPT, StringType())])
+
+
+def route_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None, multi_line: bool = True, null_mark: str | None = None
+) -> Routed:
+    """CSV whose records with too few or too many values, or with values that are not of their column's type, are kept apart.
+
+    Without ``schema`` all columns of the header are text.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    kind = read_csv(spark, paths, multi_line=multi_line).schema if schema is None else schema
+    reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup=True)
+    if null_mark is not None:
+        reader = reader.options(nullValue=null_mark, emptyValue="")
+    rows = reader.schema(_with_corrupt(kind)).csv(paths).withColumn(FILE, F.col("_metadata.file_path"))
+    # Values are judged only where their column is read. The hash, of which nothing is kept, has all of them read by every query.
+    others = [F.col(f"`{c}`") for c in rows.columns if c not in (CORRUPT, FILE)]
+    return Routed(rows.withColumn(CORRUPT, F.concat(F.col(CORRUPT), F.substring(F.xxhash64(*others).cast("string"), 1, 0))))
+
+
+def route_json(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str | None = None) -> Routed:
+    """JSON documents, each an array of records or one record; records that do not fit are kept apart, the others of their document stay.
+
+    A document that is no JSON is one bad record. Without ``schema`` it is inferred, in another pass.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    kind = read_json_documents(spark, paths).schema if schema is None else schema
+    documents = spark.read.options(wholetext=True, recursiveFileLookup=True).text(paths).withColumn(FILE, F.col("_metadata.file_path"))
+    whole = F.regexp_replace("value", "^\\uFEFF", "")
+    array = F.when(F.startswith(F.ltrim(F.regexp_replace(whole, r"^\s+", "")), F.lit("{")), F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
+    elements = documents.select(FILE, F.explode(F.coalesce(F.from_json(array, "array<string>"), F.array(F.col("value")))).alias("element"))
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = elements.select(FILE, F.from_json(F.coalesce("element", F.lit("null")), _with_corrupt(kind), options).alias("r"), "element")
+    corrupt = F.when(F.col("r").isNull(), F.coalesce("element", F.lit("null"))).otherwise(F.col(f"r.{CORRUPT}"))
+    names = [f.name for f in _with_corrupt(kind).fields[:-1]]
+    return Routed(parsed.select(*[F.col("r").getField(n).alias(n) for n in names], corrupt.alias(CORRUPT), FILE))
+
+
 def list_files(spark: SparkSession, prefix: str) -> DataFrame:
     """Path, size and time of every file below ``prefix``; the contents are not read.
 

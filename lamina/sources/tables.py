@@ -1,5 +1,6 @@
 """Layered tables under one root path: reads, optional reads, overwrites and appends."""
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -40,9 +41,14 @@ class Lake:
         """Rows of a stored table. Parquet answers this from its footers."""
         return self.read(layer, name).count()
 
-    def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
-        """Replace rows and schema."""
-        df.write.format(self.format).mode("overwrite").option("overwriteSchema", "true").save(self.path(layer, name))
+    def overwrite(self, df: DataFrame, layer: str, name: str, by: Sequence[str] = ()) -> None:
+        """Replace rows and schema; ``by`` are the partition columns."""
+        writer = df.write.format(self.format).mode("overwrite").options(overwriteSchema="true", partitionOverwriteMode="static")
+        (writer.partitionBy(*by) if by else writer).save(self.path(layer, name))
+
+    def replace_partitions(self, df: DataFrame, layer: str, name: str, by: Sequence[str]) -> None:
+        """Replace the partitions that ``df`` has rows of and leave the others as they are."""
+        df.write.format(self.format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).save(self.path(layer, name))
 
     def overwrite_enforced(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace the rows, and refuse columns that differ from those of the stored table."""
