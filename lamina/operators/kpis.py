@@ -13,6 +13,12 @@ from lamina.functions.columns import first_present, number, percent, quoted
 
 KEY = ["state", "report_date"]
 
+# How the daily measures of parts of the data merge.
+DAILY_KINDS = {
+    "new_cases": "sum", "cumulative_cases": "max", "new_deaths": "sum", "cumulative_deaths": "max", "summed_cases": "sum", "summed_deaths": "sum",
+}
+VACCINATION_KINDS = {"doses_administered": "max", "fully_vaccinated": "max"}
+
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
     """The typed empty indicator table, used where an input table is missing."""
@@ -30,11 +36,14 @@ def _case_keys(cases: DataFrame) -> list[Column]:
     ]
 
 
-def daily(cases: DataFrame) -> DataFrame:
-    """Every case measure per state and date, in one aggregation; the case indicators derive from it."""
+def daily(cases: DataFrame, *parts: str) -> DataFrame:
+    """Every case measure per state and date, in one aggregation; the case indicators derive from it.
+
+    With ``parts``, columns that divide the table, they are states per part, which merge by DAILY_KINDS.
+    """
     new_cases, tot_cases = number(F.col("new_cases")), number(F.col("tot_cases"))
     new_deaths, tot_deaths = number(F.col("new_deaths")), number(F.col("tot_deaths"))
-    return cases.groupBy(*_case_keys(cases)).agg(
+    return cases.groupBy(*map(quoted, parts), *_case_keys(cases)).agg(
         F.sum(new_cases).alias("new_cases"),
         F.max(tot_cases).alias("cumulative_cases"),
         F.sum(new_deaths).alias("new_deaths"),
@@ -88,9 +97,10 @@ def hospitalizations_by_region(
     )
 
 
-def vaccination_daily(vaccinations: DataFrame) -> DataFrame:
-    """Highest dose counts per state and date."""
+def vaccination_daily(vaccinations: DataFrame, *parts: str) -> DataFrame:
+    """Highest dose counts per state and date; with ``parts`` as in :func:`daily`."""
     return vaccinations.groupBy(
+        *map(quoted, parts),
         quoted(first_present(vaccinations, "location_normalized", "location")).alias("state"),
         quoted(first_present(vaccinations, "date_parsed", "date")).alias("report_date"),
     ).agg(

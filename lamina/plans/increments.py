@@ -5,6 +5,7 @@ in the ingestion log (bronze) and in a log of its own (silver); a step compares,
 partitions it touches and then appends to its log. A run that stops between the two does the same work again.
 """
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +13,16 @@ from pyspark.sql import functions as F
 
 from lamina.functions import fixed
 from lamina.functions.columns import quoted
-from lamina.operators import cleaning, lineage
+from lamina.operators import cleaning, kpis, lineage, states
 from lamina.sources import files
 from lamina.sources.extracts import KeysetExtract
 from lamina.sources.tables import Lake
 
 #: Partition columns of bronze and silver tables.
 FILE_ID, BUCKET = "_bronze_file", "_silver_bucket"
-SILVER_LOADS = "silver_loads"
+SILVER_LOADS, STATE_LOADS, STATES = "silver_loads", "state_loads", "gold_states"
+#: The daily states of a silver table: how they are made and how they merge.
+DAILY_STATES = {fixed.CASES: (kpis.daily, kpis.DAILY_KINDS), fixed.VACCINATIONS: (kpis.vaccination_daily, kpis.VACCINATION_KINDS)}
 LOADED = "dataset_key STRING, local_path STRING, file_size BIGINT, content_hash STRING"
 
 
@@ -122,9 +125,34 @@ def merge_silver(lake: Lake, dataset: str, bronze_log: DataFrame, buckets: int)
         lake.overwrite(kept, "silver", dataset, [BUCKET])
     else:
         lake.replace_partitions(kept, "silver", dataset, [BUCKET])
-    lake.append(fresh.select(*_names(LOADED)).withColumn("loaded_at", F.current_timestamp()), "runs", SILVER_LOADS)
+    ended = {"loaded_at": F.current_timestamp(), "load_id": F.lit(uuid.uuid4().hex), "touched": F.lit(touched).cast("array<int>")}
+    lake.append(lake.spark.createDataFrame([tuple(r[c] for c in _names(LOADED)) for r in changed], LOADED).withColumns(ended), "runs", SILVER_LOADS)
     return {"touched": touched, "read_files": len(changed)}
 
 
+def daily_states(lake: Lake, dataset: str) -> DataFrame | None:
+    """The daily aggregate of a silver table, merged from states per bucket; None without the table.
+
+    Only buckets that silver loads have touched since their states were made are read from silver.
+    """
+    loads = lake.read_optional("runs", SILVER_LOADS)
+    if loads is None or lake.read_optional("silver", dataset) is None:
+        return None
+    make, kinds = DAILY_STATES[dataset]
+    own = loads.filter(F.col("dataset_key") == dataset).select("load_id", "touched").distinct()
+    done = lake.read_optional("runs", STATE_LOADS)
+    pending = own if done is None else own.join(done.select("load_id"), "load_id", "left_anti")
+    found = pending.collect()  # one row per load
+    if found:
+        silver = lake.read("silver", dataset)
+        if any(r["touched"] is None for r in found) or lake.read_optional(STATES, dataset) is None:
+            lake.overwrite(make(silver, BUCKET), STATES, dataset, [BUCKET])
+        else:
+            touched = sorted({b for r in found for b in r["touched"]})
+            lake.replace_partitions(make(silver.filter(F.col(BUCKET).isin(*touched)), BUCKET), STATES, dataset, [BUCKET])
+        lake.append(lake.spark.createDataFrame([(r["load_id"],) for r in found], "load_id string"), "runs", STATE_LOADS)
+    return states.merge(lake.read(STATES, dataset), kpis.KEY, kinds)
+
+
 def _names(ddl: str) -> Sequence[str]:
     return [f.split()[0] for f in ddl.split(", ")]

@@ -296,14 +296,19 @@ class Medallion:
         be read is an error, and all tables stay as they were.
         """
         try:
-            cases = self.lake.read_optional("silver", fixed.CASES)
-            vaccinations = self.lake.read_optional("silver", fixed.VACCINATIONS)
+            if self.incremental:  # from the states of all buckets, of which only those that loads have touched are made again
+                daily, vaccination = (increments.daily_states(self.lake, d) for d in (fixed.CASES, fixed.VACCINATIONS))
+            else:
+                cases = self.lake.read_optional("silver", fixed.CASES)
+                vaccinations = self.lake.read_optional("silver", fixed.VACCINATIONS)
+                daily = None if cases is None else kpis.daily(cases)
+                vaccination = None if vaccinations is None else kpis.vaccination_daily(vaccinations)
         except PySparkException as error:
             return {"status": "error", "kpis": [], "error": str(error)}
         # All case indicators come from this one aggregate, which is kept while they are written.
-        daily = None if cases is None else kpis.daily(cases).persist()
+        daily = None if daily is None else daily.persist()
         try:
-            results = self._each(lambda b: self._write_gold(*b), gold_tables(daily, vaccinations).items())
+            results = self._each(lambda b: self._write_gold(*b), gold_tables(daily, None, vaccination).items())
         finally:
             if daily is not None:
                 daily.unpersist()
@@ -430,16 +435,18 @@ class Medallion:
 
 
 def gold_tables(
-    daily: DataFrame | None, vaccinations: DataFrame | None
+    daily: DataFrame | None, vaccinations: DataFrame | None, vaccination_daily: DataFrame | None = None
 ) -> dict[str, Callable[[], DataFrame] | None]:
-    """How to build each indicator table; None where an input is missing."""
-    have_cases, have_both = daily is not None, daily is not None and vaccinations is not None
+    """How to build each indicator table, from vaccinations or their daily aggregate; None where an input is missing."""
+    if vaccination_daily is None and vaccinations is not None:
+        vaccination_daily = kpis.vaccination_daily(vaccinations)
+    have_cases, have_both = daily is not None, daily is not None and vaccination_daily is not None
     builders: dict[str, Callable[[], DataFrame]] = {
         "kpi_incidence_by_region": lambda: kpis.incidence_by_region(daily),
         "kpi_cases_per_day": lambda: kpis.cases_per_day(daily),
         "kpi_deaths_per_day": lambda: kpis.deaths_per_day(daily),
         "kpi_hospitalizations_by_region": lambda: kpis.hospitalizations_by_region(daily),
-        "kpi_vaccination_vs_cases": lambda: kpis.vaccination_vs_cases(kpis.vaccination_daily(vaccinations), daily),
+        "kpi_vaccination_vs_cases": lambda: kpis.vaccination_vs_cases(vaccination_daily, daily),
         "kpi_temporal_evolution_by_state": lambda: kpis.temporal_evolution(daily),
     }
     needs_both = {"kpi_vaccination_vs_cases"}

@@ -305,6 +305,7 @@ _SQL = {
         ]
     ),
     "incremental_silver": f"SELECT *, '{fixed.CASES}' AS silver_dataset FROM cases",
+    "incremental_dashboard": f"SELECT {_DASH} FROM dashboard",
     "malformed_records": """
         SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
           WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record

@@ -99,7 +99,7 @@ def route_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     kind = read_json_documents(spark, paths).schema if schema is None else schema
-    documents = spark.read.options(wholetext=True, recursiveFileLookup=True).text(paths).withColumn(FILE, F.col("_metadata.file_path"))
+    documents = spark.read.text(paths, wholetext=True, recursiveFileLookup=True).withColumn(FILE, F.col("_metadata.file_path"))
     whole = F.regexp_replace("value", "^\\uFEFF", "")
     array = F.when(F.startswith(F.ltrim(F.regexp_replace(whole, r"^\s+", "")), F.lit("{")), F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
     elements = documents.select(FILE, F.explode(F.coalesce(F.from_json(array, "array<string>"), F.array(F.col("value")))).alias("element"))
