@@ -4,6 +4,8 @@ Everything but the de-duplication is a projection, so one cleaned table costs
 one scan and one shuffle.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,28 +60,30 @@ def _clamped(col: Column, data_type: T.DataType) -> Column:
     return col
 
 
-def deduplicate(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def deduplicate(df: DataFrame, keys: list[str] | None = None, carry: str | None = None) -> DataFrame:
     """One row per key: the smallest of its rows, comparing the other columns from left to right.
 
     Without ``keys`` whole rows are compared; keys that are given but absent leave
     the table as it is. The minimum is combined before the shuffle, so a key that
-    holds a large share of the rows still sends one row per task.
+    holds a large share of the rows still sends one row per task. ``carry`` is a struct of numbers
+    that takes no part and is added up, over the rows that go as well.
     """
+    sums = [F.struct(*[F.sum(F.col(f"{carry}.{f.name}")).alias(f.name) for f in df.schema[carry].dataType]).alias(carry)] if carry else []
     if not keys:
-        return df.dropDuplicates()
+        return df.groupBy(*[quoted(c) for c in df.columns if c != carry]).agg(*sums) if carry else df.dropDuplicates()
     present = [c for c in keys if c in df.columns]
     if not present:
         return df
-    rest = [f for f in df.schema if f.name not in present]
+    rest = [f for f in df.schema if f.name not in present and f.name != carry]
     if not rest:
-        return df.dropDuplicates(present)
+        return df.groupBy(*map(quoted, present)).agg(*sums) if carry else df.dropDuplicates(present)
     row = F.struct(*[quoted(f.name) for f in rest])
     order = F.struct(*[_sortable(quoted(f.name), f.dataType) for f in rest])
     kept = F.min(row) if all(_orderable(f.dataType) for f in rest) else F.min_by(row, order)
     return (
         df.groupBy(*[quoted(c) for c in present])
-        .agg(kept.alias("_kept"))
-        .select(*[quoted(c) if c in present else F.col("_kept").getField(c).alias(c) for c in df.columns])
+        .agg(kept.alias("_kept"), *sums)
+        .select(*[quoted(c) if c in present or c == carry else F.col("_kept").getField(c).alias(c) for c in df.columns])
     )
 
 
@@ -95,6 +99,27 @@ def _sortable(col: Column, data_type: T.DataType) -> Column:
     return col if _orderable(data_type) else col.cast("string")
 
 
+#: What the cleaning does to the values of a row, by the reason; the struct counts the row itself as well.
+DEFECTS, REASONS = "_defects", ["date not parsed", "number not cast", "negative", "missing"]
+
+
+def defects(df: DataFrame) -> Column:
+    """A struct with the number of values of the raw row that the cleaning replaces, by reason, and ``rows``, which is 1.
+
+    Missing values are those that are null before any step; a negative number counts where it is set to 0.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    counts = [c for c in columns_like(df, fixed.NUMERIC_KEYWORDS) if not isinstance(kinds[c], T.DateType)]
+    flags = {
+        "date not parsed": [quoted(c).isNotNull() & parse_date(quoted(c), kinds[c]).isNull() for c in columns_like(df, fixed.DATE_KEYWORDS)],
+        "number not cast": [quoted(c).isNotNull() & to_double(quoted(c), kinds[c]).isNull() for c in counts],
+        "negative": [F.coalesce(to_double(quoted(c), kinds[c]) < 0, F.lit(False)) for c in columns_like(df, fixed.NON_NEGATIVE_KEYWORDS) if c in counts],
+        "missing": [quoted(c).isNull() for c in df.columns if isinstance(kinds[c], (*FILLED_TYPES, T.StringType))],
+    }
+    added = {name: reduce(lambda a, b: a + b, [f.cast("long") for f in flags[name]], F.lit(0).cast("long")) for name in REASONS}
+    return F.struct(F.lit(1).cast("long").alias("rows"), *[added[name].alias(name) for name in REASONS])
+
+
 STAMPS = ["_silver_processed_at", "_silver_dataset"]
 
 

@@ -19,6 +19,7 @@ SCHEMA = (
 )
 LABELS = ["layer", "job_name", "dataset", "format", "status", "direction", "reason", "error_type"]
 FILES, ROWS, REJECTS = "files_read", "rows_inserted", "rows_rejected"
+VALUES = "values_replaced"
 DURATION, ERRORS, BYTES, FRESHNESS = "job_duration", "errors", "bytes_processed", "freshness"
 
 
@@ -42,6 +43,10 @@ def rows_rejected(log: DataFrame) -> DataFrame:
     return _sum(log, REJECTS, ["layer", "reason"], "rows")
 
 
+def values_replaced(log: DataFrame) -> DataFrame:
+    return _sum(log, VALUES, ["layer", "dataset", "reason"], "values")
+
+
 def errors(log: DataFrame, by: list[str] | None = None) -> DataFrame:
     return _sum(log, ERRORS, by or ["layer"], "errors")
 

@@ -69,6 +69,12 @@ def rejected(coerced: DataFrame) -> DataFrame:
     return coerced.filter(F.col(REASON).isNotNull())
 
 
+def reason_counts(rejects: DataFrame) -> dict[str, int]:
+    """Rows by reason; a row with several reasons counts for each. There are a few reasons per column."""
+    each = rejects.select(F.explode(F.split(REASON, "; ")).alias("reason")).groupBy("reason").count()
+    return {r["reason"]: r["count"] for r in each.collect()}
+
+
 def with_ids(rows: DataFrame) -> DataFrame:
     """Serial ids from 1 in the order of all columns, as after a truncate with restarted identity."""
     indexed = with_row_index(rows, rows.columns, "id", start=1)

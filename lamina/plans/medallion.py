@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lamina.functions import fixed
-from lamina.operators import documents, kpis, lineage, paging, quality, runlog, views, warehouse
-from lamina.operators.cleaning import clean
+from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, views, warehouse
 from lamina.plans import increments
 from lamina.session import build_session, size_session
 from lamina.sources import extracts, files, manifest
@@ -116,7 +115,7 @@ class Medallion:
             else:
                 files.write_csv(counted, path)
             count = written.get["rows"]
-            size = files.list_files(self.spark, path).agg(F.sum("length")).first()[0] or 0
+            size = files.folder_bytes(self.spark, path)
             return entry | {
                 "status": "success", "dataset_key": name, "local_path": path, "record_count": count, "file_size": size,
             }
@@ -223,16 +222,27 @@ class Medallion:
     # Silver
 
     def transform_dataset(self, dataset: str) -> dict:
-        """Clean one bronze table. Row counts come from the stored tables, so the plan runs once."""
+        """Clean one bronze table; what happens to its rows and values is counted by the tasks that write.
+
+        The counts go along with the rows through the shuffle and are added up in the last stage, so a task that runs twice counts once.
+        """
         try:
             if self.incremental:
                 increments.merge_silver(self.lake, dataset, self.lake.read("bronze", LOG), self.silver_buckets)
+                before, after = self.lake.count("bronze", dataset), self.lake.count("silver", dataset)
+                replaced = {}
             else:
-                self.lake.overwrite_enforced(clean(self.lake.read("bronze", dataset), dataset), "silver", dataset)
-            before, after = self.lake.count("bronze", dataset), self.lake.count("silver", dataset)
+                raw, seen = self.lake.read("bronze", dataset), Observation()
+                rows = cleaning.prepared(raw.withColumn(cleaning.DEFECTS, cleaning.defects(raw)))
+                kept = cleaning.deduplicate(rows, fixed.DEDUP_KEYS.get(dataset), carry=cleaning.DEFECTS)
+                sums = [F.coalesce(F.sum(F.col(f"{cleaning.DEFECTS}.`{c}`")), F.lit(0)).alias(c) for c in ("rows", *cleaning.REASONS)]
+                counted = cleaning.stamped(kept, dataset).observe(seen, F.count(F.lit(1)).alias("kept"), *sums)
+                self.lake.overwrite_enforced(counted.drop(cleaning.DEFECTS), "silver", dataset)
+                found = seen.get
+                before, after, replaced = found["rows"], found["kept"], {c: found[c] for c in cleaning.REASONS}
             return {
-                "dataset": dataset, "status": "success",
-                "input_rows": before, "output_rows": after, "rejected_rows": before - after,
+                "dataset": dataset, "status": "success", "input_rows": before, "output_rows": after, "rejected_rows": before - after,
+                "reasons": {"duplicate": before - after}, "replaced_values": replaced, "bytes": files.folder_bytes(self.spark, self.lake.path("silver", dataset)),
             }
         except Exception as error:
             return {"dataset": dataset, "status": "error", "error": str(error)}
@@ -318,7 +328,10 @@ class Medallion:
         try:
             rows = kpis.empty(self.spark, table) if build is None else kpis.stamped(build())
             self.lake.overwrite(rows, "gold", table)
-            return {"table": table, "status": "no_input" if build is None else "success", "rows": self.lake.count("gold", table)}
+            return {
+                "table": table, "status": "no_input" if build is None else "success", "rows": self.lake.count("gold", table),
+                "bytes": files.folder_bytes(self.spark, self.lake.path("gold", table)),
+            }
         except Exception as error:
             return {"table": table, "status": "error", "error": str(error)}
 
@@ -330,9 +343,11 @@ class Medallion:
             coerced = warehouse.coerce(self.lake.read("gold", table), warehouse.schema_of(table))
             self.lake.overwrite(warehouse.with_ids(warehouse.accepted(coerced)), "warehouse", table)
             self.lake.overwrite(warehouse.rejected(coerced), "warehouse_rejects", table)
+            rejected = self.lake.count("warehouse_rejects", table)
             return {
-                "table": table, "status": "success", "rows": self.lake.count("warehouse", table),
-                "rejected": self.lake.count("warehouse_rejects", table),
+                "table": table, "status": "success", "rows": self.lake.count("warehouse", table), "rejected": rejected,
+                "reasons": warehouse.reason_counts(self.lake.read("warehouse_rejects", table)) if rejected else {},
+                "bytes": files.folder_bytes(self.spark, self.lake.path("warehouse", table)),
             }
         except Exception as error:
             return {"table": table, "status": "error", "error": str(error)}
@@ -377,6 +392,9 @@ class Medallion:
         except AnalysisException:
             pass
 
+    def _log_bytes(self, layer: str, dataset: str, size: int) -> None:
+        self.log.add(runlog.BYTES, size, layer=layer, dataset=dataset, direction="write")
+
     def publish(self, results: Mapping[str, dict]) -> None:
         """Log the volumes of the finished steps."""
         if "bronze" in results:
@@ -384,15 +402,27 @@ class Medallion:
                 runlog.FILES, results["bronze"]["total_files"], layer="bronze", format="mixed",
                 status=results["bronze"]["status"],
             )
+            for dataset, rows in results["bronze"].get("rejected", {}).items():
+                self.log.add(runlog.REJECTS, rows, layer="bronze", dataset=dataset, reason="malformed")
+            for dataset in results["bronze"]["loaded_datasets"]:
+                self._log_bytes("bronze", dataset, files.folder_bytes(self.spark, self.lake.path("bronze", dataset)))
         for r in results.get("silver", {}).get("transformations", []):
             if "output_rows" in r:
                 self.log.add(runlog.ROWS, r["output_rows"], layer="silver", dataset=r["dataset"])
-                self.log.add(
-                    runlog.REJECTS, r["rejected_rows"], layer="silver", dataset=r["dataset"], reason="quality"
-                )
+                for reason, rows in r["reasons"].items():
+                    self.log.add(runlog.REJECTS, rows, layer="silver", dataset=r["dataset"], reason=reason)
+                for reason, values in r["replaced_values"].items():
+                    self.log.add(runlog.VALUES, values, layer="silver", dataset=r["dataset"], reason=reason)
+                self._log_bytes("silver", r["dataset"], r["bytes"])
+        for r in results.get("gold", {}).get("kpis", []):
+            if "bytes" in r:
+                self._log_bytes("gold", r["table"], r["bytes"])
         for r in results.get("warehouse", {}).get("tables", []):
             if "rows" in r:
                 self.log.add(runlog.ROWS, r["rows"], layer="gold", dataset=r["table"])
+                for reason, rows in r["reasons"].items():
+                    self.log.add(runlog.REJECTS, rows, layer="warehouse", dataset=r["table"], reason=reason)
+                self._log_bytes("warehouse", r["table"], r["bytes"])
         if "extract" in results:
             self.log.add(
                 runlog.BYTES, results["extract"]["total_size_bytes"], layer="bronze", direction="read"

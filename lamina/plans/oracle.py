@@ -306,6 +306,30 @@ _SQL = {
     ),
     "incremental_silver": f"SELECT *, '{fixed.CASES}' AS silver_dataset FROM cases",
     "incremental_dashboard": f"SELECT {_DASH} FROM dashboard",
+    "published_reasons": " UNION ALL ".join(
+        f"SELECT 'silver' AS layer, '{dataset}' AS dataset, '{reason}' AS reason, ({' + '.join(f'count(*) FILTER (WHERE {c})' for c in tests)})::DOUBLE AS values FROM {raw}"
+        for dataset, raw, dates, counts, every in [
+            (fixed.CASES, "cases_raw", ["end_date"], ["new_cases", "tot_cases", "new_deaths", "tot_deaths"], ["rec_id", "state", "end_date", "new_cases", "tot_cases", "new_deaths", "tot_deaths"]),
+            (fixed.RESPIRATORY_DEATHS, "resp_raw", ["week_ending_date"], ["covid_19_deaths", "pneumonia_deaths", "influenza_deaths"],
+             ["week_ending_date", "jurisdiction", "age_group", "covid_19_deaths", "pneumonia_deaths", "influenza_deaths"]),
+        ]
+        for reason, tests in [
+            ("date not parsed", [f"{c} IS NOT NULL AND {_date(c)} IS NULL" for c in dates]),
+            ("number not cast", [f"{c} IS NOT NULL AND try_cast({c} AS DOUBLE) IS NULL" for c in counts]),
+            ("negative", [f"try_cast({c} AS DOUBLE) < 0" for c in counts]), ("missing", [f"{c} IS NULL" for c in every]),
+        ]
+    ),
+    "published_bytes": "SELECT * FROM (VALUES ('bronze', 'read', true), ('bronze', 'write', true), ('silver', 'write', true), ('gold', 'write', true), ('warehouse', 'write', true)) v(layer, direction, agrees)",
+    "published_durations": """
+        SELECT * FROM (VALUES ('silver', 'silver', 2::BIGINT, NULL::VARCHAR, NULL::DOUBLE, true), ('quality', 'quality', 1, 'RuntimeError', 1.0, true))
+          v(layer, job_name, jobs, error_type, errors, timed)""",
+    "doc_decoded": """
+        SELECT conv_id, CASE WHEN conv_id % 5 = 2 THEN 0 ELSE count(*) END AS pages, CASE WHEN conv_id % 5 <> 2 THEN sum(length(text))::BIGINT END AS characters,
+          CASE WHEN conv_id % 5 = 2 THEN 'not a text file' END AS error
+        FROM conversations GROUP BY conv_id""",
+    "file_lengths": """
+        SELECT CAST(folder AS VARCHAR) AS folder, CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE o_custkey % 50 END + 1 AS length, 1::BIGINT AS listed
+        FROM (SELECT o_custkey % 40 AS folder, min(o_custkey) AS o_custkey FROM orders GROUP BY 1) f UNION ALL SELECT 'nothing', 0, 1""",
     "malformed_records": """
         SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
           WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record

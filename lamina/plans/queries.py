@@ -330,6 +330,18 @@ def file_inventory(t: Tables) -> DataFrame:
     return listed.select(F.element_at(F.split("path", "/"), -2).alias("folder")).distinct()
 
 
+@register
+def file_lengths(t: Tables) -> DataFrame:
+    """Folder and length of every file, empty ones included."""
+    path = scratch_path(t.spark, "lengths")
+    text = F.when(F.col("o_custkey") % 4 == 0, F.lit(None)).otherwise(F.repeat(F.lit("x"), (F.col("o_custkey") % 50).cast("int")))
+    folder = t["orders"].groupBy((F.col("o_custkey") % 40).alias("folder")).agg(F.min("o_custkey").alias("o_custkey")).select("folder", text.alias("value"))
+    folder.select("folder", F.coalesce("value", F.lit(""))).write.partitionBy("folder").option("lineSep", "|").text(path)
+    t.spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/folder=nothing")
+    listed = files.list_files(t.spark, path)
+    return listed.select(F.regexp_extract("path", "folder=([^/]+)/", 1).alias("folder"), "length").groupBy("folder").agg(F.sum("length").alias("length"), F.count(F.lit(1)).alias("listed"))
+
+
 # Tables
 
 
@@ -747,6 +759,27 @@ def doc_text_long(t: Tables) -> DataFrame:
     return documents.document_text(documents.page_records(t.long_pages()), fixed.FULL_TEXT_CHARS).drop("text_preview")
 
 
+@register
+def doc_decoded(t: Tables) -> DataFrame:
+    """Conversations written as text files of a page per line and decoded again; one kind of file cannot be decoded."""
+    path = scratch_path(t.spark, "decoded")
+    turns = t["conversations"].select("conv_id", F.struct("turn", F.translate("text", "\n\r", "  ").alias("line")).alias("turn"))
+    whole = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("turn")), lambda x: x["line"]), "\n").alias("text"))
+    broken = F.when(F.col("conv_id") % 5 == 2, F.lit("\u0000")).otherwise(F.lit(""))
+    whole.select("conv_id", F.concat(broken, "text").alias("text")).write.partitionBy("conv_id").text(path)
+
+    def decoder(content: bytes) -> list[str]:
+        if content.startswith(b"\0"):
+            raise ValueError("not a text file")
+        return content.decode().removesuffix("\n").split("\n")
+
+    job = Medallion(_lake(t, "documents"), datasets=[])
+    job.load_documents(path, decoder, "*.txt")
+    decoded = job.lake.read("bronze", "document_pages")
+    conv = F.regexp_extract("source_file", "conv_id=([0-9]+)", 1).cast("long").alias("conv_id")
+    return decoded.groupBy(conv).agg(F.count("page_number").alias("pages"), F.sum(F.length("text")).cast("long").alias("characters"), F.max("error").alias("error"))
+
+
 @register
 def doc_preview(t: Tables) -> DataFrame:
     return documents.document_text(documents.page_records(t.pages())).select("source_file", "total_pages", "text_preview")
@@ -886,6 +919,45 @@ def published_volumes(t: Tables) -> DataFrame:
     return log.groupBy("layer", "dataset", "metric", "mode").agg(F.sum("value").alias("rows"))
 
 
+@register
+def published_reasons(t: Tables) -> DataFrame:
+    """What a cleaning step did to the values of two datasets, by reason, as its run log has it."""
+    job = Medallion(_lake(t, "reasons"), mode="full", datasets=[fixed.CASES, fixed.RESPIRATORY_DEATHS])
+    job.lake.overwrite(t.cases_raw(), "bronze", fixed.CASES)
+    job.lake.overwrite(t.respiratory_raw(), "bronze", fixed.RESPIRATORY_DEATHS)
+    job.run(["silver"])
+    return runlog.values_replaced(job.log.read())
+
+
+@register
+def published_bytes(t: Tables) -> DataFrame:
+    """Layers and directions whose bytes a whole run logs, and whether they agree with the files."""
+    job = Medallion(_lake(t, "bytes"), mode="full", datasets=[fixed.CASES])
+    job.run(sources={fixed.CASES: Source(t.cases_raw(), "rec_id")})
+    log = runlog.bytes_processed(job.log.read())
+    held = t.spark.createDataFrame([(layer, float(sum(files.folder_bytes(t.spark, job.lake.path(layer, n)) for n in names))) for layer, names in {
+        "bronze": [fixed.CASES], "silver": [fixed.CASES], "gold": list(fixed.GOLD_SCHEMAS), "warehouse": list(fixed.GOLD_SCHEMAS),
+    }.items()], "layer string, held double")
+    written = log.join(held, "layer").filter("direction = 'write'").select("layer", "direction", (F.col("bytes") == F.col("held")).alias("agrees"))
+    return written.unionByName(log.filter("direction = 'read'").select("layer", "direction", (F.col("bytes") > 0).alias("agrees")))
+
+
+@register
+def published_durations(t: Tables) -> DataFrame:
+    """Steps of two runs with their durations and errors, one of which fails in the quality gate."""
+    job = Medallion(_lake(t, "durations"), mode="full", datasets=[fixed.CASES, fixed.VACCINATIONS])
+    job.lake.overwrite(t.cases_raw(), "bronze", fixed.CASES)
+    job.run(["silver"])
+    try:
+        job.run(["silver", "quality", "gold"], gate=True)
+    except RuntimeError:
+        pass  # there are no vaccinations, and the gate stops the run
+    log = job.log.read()
+    steps = runlog.duration_histogram(log).filter("le = '+Inf'").drop("le")
+    return steps.join(runlog.errors(log, ["layer", "job_name", "error_type"]), ["layer", "job_name"], "left").join(
+        runlog.mean_duration(log).select("layer", "job_name", (F.col("mean_seconds") > 0).alias("timed")), ["layer", "job_name"])
+
+
 # The whole run
 
 

@@ -106,6 +106,6 @@ class KeysetExtract:
         rows = table.filter(keyset.between(table, self.keys, after, last))
         seen = Observation()  # on the tasks that write, so each row counts once however often a task runs
         files.write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows"), rows_hash(table.columns).alias("hash")), self.page_path(page))
-        size = files.list_files(self.spark, self.page_path(page)).agg(F.sum("length")).first()[0] or 0
+        size = files.folder_bytes(self.spark, self.page_path(page))
         mark = (page, list(last), seen.get["rows"], size, seen.get["hash"], datetime.now(timezone.utc).isoformat())
         self.spark.createDataFrame([mark], MARK).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(f"{self.marks_path}/page={page:08d}")

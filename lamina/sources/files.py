@@ -1,7 +1,9 @@
 """File scans and file sinks."""
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,12 +115,22 @@ def route_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
 def list_files(spark: SparkSession, prefix: str) -> DataFrame:
     """Path, size and time of every file below ``prefix``; the contents are not read.
 
-    Files of zero length are left out, as in every Spark scan.
+    Spark's scans leave out files of length zero. They are in the scan's own list of names, and come from there, without a time.
     """
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
-        .select("path", "length", "modificationTime")
-    )
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(prefix)
+    listed = scan.select("path", "length", "modificationTime")
+    names = sorted({re.sub("^file:/+", "file:/", unquote(f)) for f in scan.inputFiles()})  # names of files
+    if not names:
+        return listed
+    empty = spark.createDataFrame([(n,) for n in names], "path string").join(listed, "path", "left_anti")
+    return listed.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(None).cast("timestamp").alias("modificationTime")))
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path, from the file system; 0 if there is no such path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(place).getLength() if system.exists(place) else 0
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_mark: str = NULL_MARK) -> None:
