@@ -169,6 +169,20 @@ def trailing(df: DataFrame, as_of: Column, days: int = 30, date: str = "report_d
     return df.filter(F.col(date) >= F.date_sub(as_of, days))
 
 
+MONTH = "report_month"
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    """Add the first day of the month, by which tables of indicators are partitioned, and bring each month together."""
+    return df.withColumn(MONTH, F.trunc("report_date", "month")).repartition(MONTH)
+
+
+def recent(table: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
+    """As :func:`trailing`, of a table that is partitioned by month: no other months are read."""
+    since = F.date_sub(as_of, days)
+    return trailing(table.filter(F.col(MONTH) >= F.trunc(since, "month")), as_of, days).drop(MONTH)
+
+
 def metric_trend(trends: DataFrame, state: str, metric_name: str) -> DataFrame:
     return trends.filter((F.col("state") == state) & (F.col("metric_name") == metric_name))
 

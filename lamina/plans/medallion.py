@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lamina.functions import fixed
-from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, views, warehouse
+from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, serving, views, warehouse
 from lamina.plans import increments
 from lamina.session import build_session, size_session
 from lamina.sources import extracts, files, manifest
@@ -56,6 +56,8 @@ class Medallion:
     parallel: int = 6
     # Bronze loads only files that are new or changed, silver only rewrites the buckets of their rows.
     incremental: bool = False
+    # Gold and warehouse tables are partitioned by month, so that a query of some days reads a month or two.
+    by_month: bool = False
     # Rows of a page of a full extract, and buckets of a silver table; both are kept as long as the tables.
     page_rows: int = extracts.PAGE_ROWS
     silver_buckets: int = 64
@@ -327,7 +329,7 @@ class Medallion:
     def _write_gold(self, table: str, build: Callable[[], DataFrame] | None) -> dict:
         try:
             rows = kpis.empty(self.spark, table) if build is None else kpis.stamped(build())
-            self.lake.overwrite(rows, "gold", table)
+            self._write_indicator(rows, "gold", table)
             return {
                 "table": table, "status": "no_input" if build is None else "success", "rows": self.lake.count("gold", table),
                 "bytes": files.folder_bytes(self.spark, self.lake.path("gold", table)),
@@ -335,13 +337,19 @@ class Medallion:
         except Exception as error:
             return {"table": table, "status": "error", "error": str(error)}
 
+    def _write_indicator(self, rows: DataFrame, layer: str, table: str) -> None:
+        if self.by_month:
+            self.lake.overwrite(serving.with_month(rows), layer, table, [serving.MONTH])
+        else:
+            self.lake.overwrite(rows, layer, table)
+
     # Warehouse
 
     def load_table(self, table: str) -> dict:
         """Load one typed table with ids; rows that break its rules go to the rejects of that table."""
         try:
             coerced = warehouse.coerce(self.lake.read("gold", table), warehouse.schema_of(table))
-            self.lake.overwrite(warehouse.with_ids(warehouse.accepted(coerced)), "warehouse", table)
+            self._write_indicator(warehouse.with_ids(warehouse.accepted(coerced)), "warehouse", table)
             self.lake.overwrite(warehouse.rejected(coerced), "warehouse_rejects", table)
             rejected = self.lake.count("warehouse_rejects", table)
             return {
@@ -382,6 +390,15 @@ class Medallion:
         for name, view in reporting_views(tables).items():
             view.createOrReplaceTempView(name)
 
+    def last_days(self, days: int = 30, layer: str = "warehouse") -> DataFrame:
+        """The dashboard of the last days with cases, from tables partitioned by month: only the months of these days are read."""
+        names = ["kpi_cases_per_day", "kpi_deaths_per_day", "kpi_vaccination_vs_cases"]
+        cases, deaths, vaccination = (self.lake.read(layer, name) for name in names)
+        newest = self.lake.newest(layer, names[0], serving.MONTH)
+        as_of = None if newest is None else cases.filter(F.col(serving.MONTH) == newest).agg(F.max("report_date")).first()[0]
+        found = [serving.recent(t, F.lit(as_of).cast("date"), days) for t in (cases, deaths, vaccination)]
+        return views.newest_first(views.dashboard(*found))
+
     # The whole run
 
     def size_session(self) -> None:

@@ -706,6 +706,16 @@ def last_30_days(t: Tables) -> DataFrame:
     return rounded(serving.trailing(dashboard, as_of, 30).orderBy(F.desc_nulls_first("report_date")))
 
 
+@register
+def last_30_days_stored(t: Tables) -> DataFrame:
+    """The same from gold tables partitioned by month, of which the last months are read."""
+    job = Medallion(_lake(t, "months"), by_month=True)
+    job.lake.overwrite(t.cases(), "silver", fixed.CASES)
+    job.lake.overwrite(t.vaccinations(), "silver", fixed.VACCINATIONS)
+    job.build_gold()
+    return rounded(job.last_days(30, "gold"))
+
+
 @register
 def state_metric_trend(t: Tables) -> DataFrame:
     return rounded(serving.metric_trend(_trends(t), "California", "new_cases"))

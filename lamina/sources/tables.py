@@ -1,5 +1,6 @@
 """Layered tables under one root path: reads, optional reads, overwrites and appends."""
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -7,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from lamina.sources.files import folder_bytes
+
 LAYERS = ["bronze", "silver", "gold", "warehouse"]
 
 
@@ -37,14 +40,27 @@ class Lake:
                 raise
             return None
 
+    def newest(self, layer: str, name: str, by: str) -> str | None:
+        """The largest value of a partition column, from the names of the table's files; no file is opened."""
+        found = [re.search(rf"/{re.escape(by)}=([^/]+)/", f) for f in self.read(layer, name).inputFiles()]
+        return max((m[1] for m in found if m and m[1] != "__HIVE_DEFAULT_PARTITION__"), default=None)
+
     def count(self, layer: str, name: str) -> int:
         """Rows of a stored table. Parquet answers this from its footers."""
         return self.read(layer, name).count()
 
     def overwrite(self, df: DataFrame, layer: str, name: str, by: Sequence[str] = ()) -> None:
-        """Replace rows and schema; ``by`` are the partition columns."""
-        writer = df.write.format(self.format).mode("overwrite").options(overwriteSchema="true", partitionOverwriteMode="static")
-        (writer.partitionBy(*by) if by else writer).save(self.path(layer, name))
+        """Replace rows and schema; ``by`` are the partition columns.
+
+        A partitioned table without rows has no file and thus no schema, so it gets one file without partitions.
+        """
+        def save(rows: DataFrame, by: Sequence[str]) -> None:
+            writer = rows.write.format(self.format).mode("overwrite").options(overwriteSchema="true", partitionOverwriteMode="static")
+            (writer.partitionBy(*by) if by else writer).save(self.path(layer, name))
+
+        save(df, by)
+        if by and not folder_bytes(self.spark, self.path(layer, name)):
+            save(self.spark.createDataFrame([], df.schema), ())
 
     def replace_partitions(self, df: DataFrame, layer: str, name: str, by: Sequence[str]) -> None:
         """Replace the partitions that ``df`` has rows of and leave the others as they are."""
