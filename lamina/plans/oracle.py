@@ -331,6 +331,8 @@ _SQL = {
         SELECT CAST(folder AS VARCHAR) AS folder, CASE WHEN o_custkey % 4 = 0 THEN 0 ELSE o_custkey % 50 END + 1 AS length, 1::BIGINT AS listed
         FROM (SELECT o_custkey % 40 AS folder, min(o_custkey) AS o_custkey FROM orders GROUP BY 1) f UNION ALL SELECT 'nothing', 0, 1""",
     "last_30_days_stored": f"SELECT {_DASH} FROM dashboard WHERE report_date >= (SELECT max(report_date) FROM cases_day) - 30",
+    "csv_split_scan": "SELECT doc_id, lang, CASE doc_id % 3 WHEN 0 THEN 'say \"' || substr(text, 1, 300) || '\"' || chr(10) || chr(10) WHEN 1 THEN '\"' || chr(10) || substr(text, 1, 5) END AS note, n_chars FROM documents",
+    "json_split_scan": "SELECT conv_id, role, '}]\"{' || substr(text, 1, 80) AS said, turn AS number FROM conversations",
     "malformed_records": """
         SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
           WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record

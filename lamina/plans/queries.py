@@ -1,6 +1,7 @@
 """The registered queries: each takes (spark, folder of test tables) and returns a DataFrame."""
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from lamina.operators import cleaning, documents, kpis, lineage, paging, quality
 from lamina.plans.fixtures import Tables, rounded
 from lamina.plans.medallion import Medallion, Source, gold_tables
 from lamina.session import scratch_path, spread, write_out
-from lamina.sources import files, manifest
+from lamina.sources import files, manifest, split
 from lamina.sources.extracts import KeysetExtract
 from lamina.sources.tables import Lake, SchemaMismatch
 
@@ -302,6 +303,42 @@ def json_array_scan(t: Tables) -> DataFrame:
     return files.read_json_documents(t.spark, path, table.schema)
 
 
+@contextmanager
+def _small_blocks(spark: SparkSession, size: str):
+    """Scans inside cut files into small blocks, as if the files were large."""
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "0"}
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+@register
+def csv_split_scan(t: Tables) -> DataFrame:
+    """One CSV file with line breaks and doubled quotes in its values, read by many tasks."""
+    path = scratch_path(t.spark, "csv-split")
+    note = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('say "'), F.substring("text", 1, 300), F.lit('"\n\n'))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('"\n'), F.substring("text", 1, 5)))
+    table = t["documents"].select("doc_id", "lang", note.alias("note"), "n_chars")
+    files.write_csv(table.coalesce(1), path)
+    with _small_blocks(t.spark, "64k"):
+        return write_out(split.scan_csv(t.spark, path, table.schema, files.NULL_MARK).good.drop(files.FILE), "csv-split-rows")
+
+
+@register
+def json_split_scan(t: Tables) -> DataFrame:
+    """One JSON array of all records, nested and with braces in their text, read by many tasks."""
+    path = scratch_path(t.spark, "json-split")
+    table = t["conversations"].select("conv_id", F.struct("role", F.concat(F.lit('}]"{'), F.substring("text", 1, 80)).alias("said")).alias("turn"), F.array("turn").alias("turns"))
+    table.groupBy().agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct(*table.columns))), ",\n"), F.lit("]"))).write.text(path)
+    with _small_blocks(t.spark, "16k"):
+        found = write_out(split.scan_json(t.spark, path, table.schema).good, "json-split-rows")
+    return found.select("conv_id", "turn.role", "turn.said", F.col("turns")[0].alias("number"))
+
+
 @register
 def json_single_load(t: Tables) -> DataFrame:
     """A JSON extract loaded outside a manifest, with lineage made from its path."""

@@ -71,7 +71,7 @@ class Routed:
         return self.rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(FILE).alias("path"), F.col(CORRUPT).alias("record"))
 
 
-def _with_corrupt(schema: StructType | str) -> StructType:
+def with_corrupt(schema: StructType | str) -> StructType:
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     return StructType([*[f for f in kind if f.name != CORRUPT], StructField(CORRUPT, StringType())])
 
@@ -88,7 +88,7 @@ def route_csv(
     reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup=True)
     if null_mark is not None:
         reader = reader.options(nullValue=null_mark, emptyValue="")
-    rows = reader.schema(_with_corrupt(kind)).csv(paths).withColumn(FILE, F.col("_metadata.file_path"))
+    rows = reader.schema(with_corrupt(kind)).csv(paths).withColumn(FILE, F.col("_metadata.file_path"))
     # Values are judged only where their column is read. The hash, of which nothing is kept, has all of them read by every query.
     others = [F.col(f"`{c}`") for c in rows.columns if c not in (CORRUPT, FILE)]
     return Routed(rows.withColumn(CORRUPT, F.concat(F.col(CORRUPT), F.substring(F.xxhash64(*others).cast("string"), 1, 0))))
@@ -105,11 +105,15 @@ def route_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     whole = F.regexp_replace("value", "^\\uFEFF", "")
     array = F.when(F.startswith(F.ltrim(F.regexp_replace(whole, r"^\s+", "")), F.lit("{")), F.concat(F.lit("["), whole, F.lit("]"))).otherwise(whole)
     elements = documents.select(FILE, F.explode(F.coalesce(F.from_json(array, "array<string>"), F.array(F.col("value")))).alias("element"))
-    options = {"columnNameOfCorruptRecord": CORRUPT}
-    parsed = elements.select(FILE, F.from_json(F.coalesce("element", F.lit("null")), _with_corrupt(kind), options).alias("r"), "element")
-    corrupt = F.when(F.col("r").isNull(), F.coalesce("element", F.lit("null"))).otherwise(F.col(f"r.{CORRUPT}"))
-    names = [f.name for f in _with_corrupt(kind).fields[:-1]]
-    return Routed(parsed.select(*[F.col("r").getField(n).alias(n) for n in names], corrupt.alias(CORRUPT), FILE))
+    return Routed(parsed_elements(elements, with_corrupt(kind)))
+
+
+def parsed_elements(elements: DataFrame, kind: StructType) -> DataFrame:
+    """The columns of ``kind`` from the text in ``element``; text that does not fit is in CORRUPT."""
+    text = F.coalesce("element", F.lit("null"))
+    parsed = elements.select(FILE, F.from_json(text, kind, {"columnNameOfCorruptRecord": CORRUPT}).alias("r"), text.alias("text"))
+    corrupt = F.when(F.col("r").isNull(), F.col("text")).otherwise(F.col(f"r.{CORRUPT}"))
+    return parsed.select(*[F.col("r").getField(f.name).alias(f.name) for f in kind.fields[:-1]], corrupt.alias(CORRUPT), FILE)
 
 
 def list_files(spark: SparkSession, prefix: str) -> DataFrame:
