@@ -1,9 +1,9 @@
 """Expectation suites, each compiled into one aggregation over the table."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +96,66 @@ def validate(df: DataFrame, dataset: str, suite: Suite | None = None) -> DataFra
     )
 
 
+VERDICT = "_verdict"
+
+
+def row_rules(df: DataFrame, suite: Suite) -> dict[int, Column]:
+    """The expectations that judge single rows, by position: what a row has to be. Columns that are missing judge no row."""
+    found = {}
+    for position, (expectation, args) in enumerate(suite):
+        column = args.get("column")
+        if column in df.columns and expectation == fixed.NOT_NULL:
+            found[position] = F.coalesce(_not_null(df, column), F.lit(False))
+        elif column in df.columns and expectation == fixed.BETWEEN:
+            found[position] = F.coalesce(_between(df, column, args.get("min_value", float("-inf")), args.get("max_value", float("inf"))), F.lit(False))
+    if len(found) > 63:
+        raise ValueError(f"{len(found)} row rules do not fit into one number")
+    return found
+
+
+def with_verdict(df: DataFrame, dataset: str, suite: Suite | None = None) -> DataFrame:
+    """Add VERDICT: bit ``i`` is set if the row breaks the ``i``-th rule of the suite that judges rows; 0 is a good row."""
+    rules = row_rules(df, suite_for(dataset) if suite is None else suite)
+    bits = [F.when(good, F.lit(0)).otherwise(F.lit(1 << i)).cast("long") for i, good in enumerate(rules.values())]
+    return df.withColumn(VERDICT, reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long")))
+
+
+def broken_rules(df: DataFrame, dataset: str, suite: Suite | None = None, verdict: str = VERDICT) -> Column:
+    """The rules that a verdict stands for, as an array of texts."""
+    suite = suite_for(dataset) if suite is None else suite
+    names = [f"{suite[p][1]['column']}: {suite[p][0]}" for p in row_rules(df, suite)]
+    return F.array_compact(F.array(*[F.when(F.col(verdict).bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(names)]).cast("array<string>"))
+
+
+def validate_and_route(df: DataFrame, dataset: str, write: Callable[[DataFrame], None], suite: Suite | None = None) -> DataFrame:
+    """The report of :func:`validate`, from the one pass in which ``write`` stores the rows that break a rule.
+
+    The rates are counted on the verdicts of all rows by the tasks that write, before good rows are left out.
+    """
+    suite = suite_for(dataset) if suite is None else suite
+    rules, seen = row_rules(df, suite), Observation()
+    judged = with_verdict(df, dataset, suite)
+    good = [F.count_if(F.col(VERDICT).bitwiseAND(F.lit(1 << i)) == 0).alias(f"good{p}") for i, p in enumerate(rules)]
+    judged = judged.observe(seen, F.count(F.lit(1)).alias("rows"), *good)
+    write(judged.filter(F.col(VERDICT) != 0).withColumn("broken_rules", broken_rules(judged, dataset, suite)))
+    counted, results = seen.get, []
+    for position, (expectation, args) in enumerate(suite):
+        observed, threshold, success, note = None, None, False, None
+        if expectation == fixed.ROW_COUNT:
+            observed = float(counted["rows"])
+            success = args.get("min_value", 0) <= observed <= args.get("max_value", float("inf"))
+        elif expectation == fixed.COLUMN_EXISTS:
+            success = args["column"] in df.columns
+        elif position in rules:
+            threshold = float(args.get("mostly", 1.0))
+            observed = counted[f"good{position}"] / counted["rows"] if counted["rows"] else None
+            success = observed is not None and observed >= threshold
+        elif expectation not in (fixed.NOT_NULL, fixed.BETWEEN):
+            success, note = True, f"Unhandled expectation: {expectation}"
+        results.append((dataset, position, expectation, args.get("column"), observed, threshold, success, note))
+    return df.sparkSession.createDataFrame(results, RESULT_SCHEMA)
+
+
 def unreadable(spark: SparkSession, dataset: str, error: str) -> DataFrame:
     """The result of a table that cannot be read: no expectation, only the error."""
     return spark.createDataFrame([(dataset, None, None, None, None, None, None, error)], RESULT_SCHEMA)

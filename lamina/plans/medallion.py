@@ -58,6 +58,8 @@ class Medallion:
     incremental: bool = False
     # Gold and warehouse tables are partitioned by month, so that a query of some days reads a month or two.
     by_month: bool = False
+    # The quality step stores rows that break a rule in quarantine/, in the same pass that makes the report.
+    quarantine: bool = False
     # Rows of a page of a full extract, and buckets of a silver table; both are kept as long as the tables.
     page_rows: int = extracts.PAGE_ROWS
     silver_buckets: int = 64
@@ -297,6 +299,8 @@ class Medallion:
             return quality.unreadable(self.spark, dataset, f"unreadable: {error}")
         if table is None:
             return quality.unreadable(self.spark, dataset, "table not found")
+        if self.quarantine:
+            return quality.validate_and_route(table, dataset, lambda bad: self.lake.overwrite(bad, "quarantine", dataset))
         return quality.validate(table, dataset)
 
     # Gold

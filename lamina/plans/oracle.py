@@ -333,6 +333,17 @@ _SQL = {
     "last_30_days_stored": f"SELECT {_DASH} FROM dashboard WHERE report_date >= (SELECT max(report_date) FROM cases_day) - 30",
     "csv_split_scan": "SELECT doc_id, lang, CASE doc_id % 3 WHEN 0 THEN 'say \"' || substr(text, 1, 300) || '\"' || chr(10) || chr(10) WHEN 1 THEN '\"' || chr(10) || substr(text, 1, 5) END AS note, n_chars FROM documents",
     "json_split_scan": "SELECT conv_id, role, '}]\"{' || substr(text, 1, 80) AS said, turn AS number FROM conversations",
+    "quality_routed": " UNION ALL ".join([_cases_checks("cases_raw"), _FLU_CHECKS]),
+    "quality_quarantine": f"""
+        SELECT *, count(*) AS times FROM (
+          SELECT '{fixed.CASES}' AS dataset, CAST(rec_id AS VARCHAR) AS row, CAST(s + 2 * c + 4 * d AS BIGINT) AS verdict, concat_ws(', ', CASE WHEN s = 1 THEN 'state: {fixed.NOT_NULL}' END,
+            CASE WHEN c = 1 THEN 'new_cases: {fixed.BETWEEN}' END, CASE WHEN d = 1 THEN 'new_deaths: {fixed.BETWEEN}' END) AS rules
+          FROM (SELECT rec_id, CASE WHEN state IS NULL THEN 1 ELSE 0 END AS s, CASE WHEN try_cast(new_cases AS DOUBLE) >= 0 THEN 0 ELSE 1 END AS c,
+              CASE WHEN try_cast(new_deaths AS DOUBLE) >= 0 THEN 0 ELSE 1 END AS d FROM cases_raw) m WHERE s + c + d > 0
+          UNION ALL
+          SELECT '{fixed.FLU_COVERAGE}', concat_ws('|', year_season, month, geography, dimension, coverage_estimate), 1, 'coverage_estimate: {fixed.BETWEEN}'
+          FROM flu_raw WHERE coalesce(NOT (try_cast(coverage_estimate AS DOUBLE) BETWEEN 0 AND 100), true)
+        ) q GROUP BY ALL""",
     "malformed_records": """
         SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
           WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record

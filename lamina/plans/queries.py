@@ -907,6 +907,29 @@ def quality_report(t: Tables) -> DataFrame:
     return rounded(report).fillna("", ["column_name", "note"])
 
 
+def _routed(t: Tables) -> tuple[Lake, DataFrame]:
+    lake = _lake(t, "quarantine")
+    reports = [quality.validate_and_route(rows, name, lambda bad, name=name: lake.overwrite(bad, "quarantine", name))
+               for name, rows in ((fixed.CASES, t.cases_raw()), (fixed.FLU_COVERAGE, t.flu_raw()))]
+    return lake, reduce(DataFrame.unionByName, reports)
+
+
+@register
+def quality_routed(t: Tables) -> DataFrame:
+    """The report of two suites, from the pass that stores the rows that break a rule."""
+    return rounded(_routed(t)[1]).fillna("", ["column_name", "note"])
+
+
+@register
+def quality_quarantine(t: Tables) -> DataFrame:
+    """The rows that break rules of the two suites, with the rules."""
+    lake, _ = _routed(t)
+    rules = F.array_join("broken_rules", ", ").alias("rules")
+    cases = lake.read("quarantine", fixed.CASES).select(F.lit(fixed.CASES).alias("dataset"), F.col("rec_id").cast("string").alias("row"), quality.VERDICT, rules)
+    flu = lake.read("quarantine", fixed.FLU_COVERAGE).select(F.lit(fixed.FLU_COVERAGE), F.concat_ws("|", "year_season", "month", "geography", "dimension", "coverage_estimate"), quality.VERDICT, rules)
+    return cases.union(flu).withColumnRenamed(quality.VERDICT, "verdict").groupBy("dataset", "row", "verdict", "rules").agg(F.count(F.lit(1)).alias("times"))
+
+
 @register
 def quality_totals(t: Tables) -> DataFrame:
     return quality.run_summary(quality.dataset_summary(_all_results(t)))

@@ -82,3 +82,29 @@ def test_summaries(spark):
         "gone": (0, 0, 0, None, "error"),
     }
     assert tuple(quality.run_summary(summary).first()) == (3, 7, 2)
+
+
+ODD = [(None, "5"), ("CA", "-1"), ("CA", "x"), ("TX", None), ("TX", "3"), (None, "NaN"), ("NY", "7")]
+SUITE = [
+    (fixed.ROW_COUNT, {"min_value": 1}), (fixed.NOT_NULL, {"column": "state", "mostly": 0.7}), (fixed.COLUMN_EXISTS, {"column": "n"}),
+    (fixed.BETWEEN, {"column": "n", "min_value": 0, "max_value": 6}), (fixed.NOT_NULL, {"column": "gone"}), ("expect_something_new", {"column": "n"}),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_verdicts_and_report_of_one_pass(spark, rows):
+    df, stored = spark.createDataFrame(rows, "state string, n string"), []
+    report = quality.validate_and_route(df, "d", lambda bad: stored.extend(bad.collect()), SUITE)
+    columns = ["position", "observed", "success", "threshold", "note", "column_name"]
+    assert sorted(map(str, report.select(columns).collect())) == sorted(map(str, quality.validate(df, "d", SUITE).select(columns).collect()))
+    if rows:
+        assert sorted((r["state"] or "", r["n"] or "", r[quality.VERDICT], len(r["broken_rules"])) for r in stored) == [
+            ("", "5", 1, 1), ("", "NaN", 3, 2), ("CA", "-1", 2, 1), ("CA", "x", 2, 1), ("NY", "7", 2, 1), ("TX", "", 2, 1)]
+        verdicts = [r[quality.VERDICT] for r in quality.with_verdict(df, "d", SUITE).collect()]
+        rate = {r["position"]: r["observed"] for r in report.collect()}
+        assert rate[1] == sum(v & 1 == 0 for v in verdicts) / 7 and rate[3] == sum(v & 2 == 0 for v in verdicts) / 7
+
+
+def test_more_rules_than_bits(spark):
+    with pytest.raises(ValueError):
+        quality.row_rules(spark.range(1), [(fixed.NOT_NULL, {"column": "id"})] * 64)
