@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.columns import percent
+from lamina.operators.ranged import with_previous
 
 
 def dashboard(cases: DataFrame, deaths: DataFrame, vaccination: DataFrame) -> DataFrame:
@@ -52,12 +53,16 @@ def regional_summary(incidence: DataFrame) -> DataFrame:
     )
 
 
-def temporal_trends(temporal: DataFrame) -> DataFrame:
+def temporal_trends(temporal: DataFrame, ranged: bool = False) -> DataFrame:
     """Each metric with its previous value and the change since then.
 
     The input has one row per state, metric and date, so a window partition is no
-    longer than the number of dates.
+    longer than the number of dates. Where that is not so, as for measurements by the second, ``ranged``
+    spreads a group over many tasks.
     """
+    if ranged:
+        found = with_previous(temporal, ["state", "metric_name"], [F.asc_nulls_last("report_date")], "metric_value", "previous_value")
+        return found.select("state", "report_date", "metric_name", "metric_value", "previous_value").withColumn("change", F.col("metric_value") - F.col("previous_value"))
     by_date = Window.partitionBy("state", "metric_name").orderBy(F.asc_nulls_last("report_date"))
     previous = F.lag("metric_value").over(by_date)
     return temporal.select(

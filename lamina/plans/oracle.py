@@ -344,6 +344,8 @@ _SQL = {
           SELECT '{fixed.FLU_COVERAGE}', concat_ws('|', year_season, month, geography, dimension, coverage_estimate), 1, 'coverage_estimate: {fixed.BETWEEN}'
           FROM flu_raw WHERE coalesce(NOT (try_cast(coverage_estimate AS DOUBLE) BETWEEN 0 AND 100), true)
         ) q GROUP BY ALL""",
+    "v_temporal_trends_ranged": f"SELECT {_TREND} FROM trends",
+    "event_gaps": "SELECT event_type, event_id, lag(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous_event FROM events",
     "malformed_records": """
         SELECT c_custkey % 10 NOT IN (1, 2, 3) AS fits, CASE c_custkey % 10 WHEN 1 THEN 'x' || c_custkey || ',' || c_name || ',1' WHEN 2 THEN c_custkey || ',' || c_name
           WHEN 3 THEN c_custkey || ',' || c_name || ',1,2' WHEN 4 THEN c_custkey || '|' || c_name || ', "the" 4th|4' ELSE c_custkey || '|' || c_name || '|' || c_nationkey END AS record

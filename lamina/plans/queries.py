@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lamina.functions import fixed
-from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, runlog, serving, views, warehouse
+from lamina.operators import cleaning, documents, kpis, lineage, paging, quality, ranged, runlog, serving, views, warehouse
 from lamina.plans.fixtures import Tables, rounded
 from lamina.plans.medallion import Medallion, Source, gold_tables
 from lamina.session import scratch_path, spread, write_out
@@ -660,6 +660,20 @@ def v_temporal_trends(t: Tables) -> DataFrame:
     return rounded(views.by_state_and_date(_trends(t)))
 
 
+@register
+def v_temporal_trends_ranged(t: Tables) -> DataFrame:
+    """The same without a window over whole groups."""
+    return rounded(views.temporal_trends(kpis.temporal_evolution(_daily(t)), ranged=True))
+
+
+@register
+def event_gaps(t: Tables) -> DataFrame:
+    """The previous event of each type, of which there are a few with very many events each."""
+    events = t["events"].select("event_type", "event_id", "ts")
+    found = ranged.with_previous(events, ["event_type"], [F.asc("ts"), F.asc("event_id")], "event_id", "previous_event")
+    return found.select("event_type", "event_id", "previous_event")
+
+
 # Serving
 
 
