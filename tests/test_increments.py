@@ -45,11 +45,11 @@ def test_every_row_is_in_one_page(spark, keys, size):
 
 def test_bounds_of_all_types(spark):
     df = spark.sql("""SELECT CAST(i AS TINYINT) a, i / 3 AS b, CAST(i / 7 AS DECIMAL(20, 9)) c, timestamp_micros(1600000000000000 + i) d, date_add(DATE '2020-01-01', i) e,
-        to_binary(hex(i)) f, timestamp_ntz '2020-01-01 00:00:00.123456' + make_dt_interval(i) g, CAST(i / 3 AS FLOAT) h, i % 2 = 0 AS j FROM (SELECT CAST(id AS INT) i FROM range(12))""")
+        to_binary(hex(i)) f, timestamp_ntz '2020-01-01 00:00:00.123456' + make_dt_interval(i) g, CAST(i / 3 AS FLOAT) h, i % 2 = 0 AS j FROM (SELECT CAST(id AS INT) i FROM range(4))""")
     for c in df.columns:
         for r in df.select(c, keyset.as_text(F.col(c), df.schema[c].dataType).alias("t")).collect():
             same = df.filter(F.col(c) == keyset.from_text(r["t"], df.schema[c].dataType)).count()
-            assert same == df.filter(keyset.between(df, [c], None, [r["t"]]) & ~keyset.below(df, [c], [r["t"]], False)).count() == (6 if c == "j" else 1)
+            assert same == df.filter(keyset.between(df, [c], None, [r["t"]]) & ~keyset.below(df, [c], [r["t"]], False)).count() == (2 if c == "j" else 1)
     with pytest.raises(TypeError):
         keyset.as_text(F.array(F.lit(1)), spark.sql("SELECT array(1) AS x").schema["x"].dataType)
 
