@@ -102,7 +102,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         before = self.whole.pre_tokenizer
         # only a pre-tokenizer known to cut before each such space can be given pieces
         self.pieces = "ByteLevel" in repr(before) and self.whole.normalizer is None
@@ -137,7 +137,7 @@ class Encoder(dict):
         return b"".join(map(self._one, parts))
 
     def encode(self, text: str) -> bytes:
-        if not self.pieces:
+        if not self.pieces or any(a in text for a in self.added):  # the library finds its added tokens before it cuts
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         rest = text.split(" ") if not self.odd.search(text) else self.cut.split(text)
         first = np.array(self.whole.encode(rest[0], add_special_tokens=False).ids, "<u4").tobytes() if rest[0] else b""

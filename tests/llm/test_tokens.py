@@ -15,7 +15,6 @@ PIECES = ["a", "Word", "'s", "'ll", " ", "  ", "\n", "\t", "1", "23", ".", "!",
 def whole():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
     return t
 
 
@@ -24,7 +23,6 @@ def whole():
 def test_pieces_are_encoded_as_the_whole_text(text):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokens.tokenizer_path()) if not hasattr(test_pieces_are_encoded_as_the_whole_text, "t") else test_pieces_are_encoded_as_the_whole_text.t
-    t.encode_special_tokens = True
     test_pieces_are_encoded_as_the_whole_text.t = t
     assert np.frombuffer(tokens.encoder(tokens.tokenizer_path()).encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
@@ -39,6 +37,12 @@ def test_coding_round_trip(values):
     assert (doc_ids.tolist(), lengths.tolist(), found.tolist()) == ([7], [len(values)], values)
 
 
+def test_added_tokens_are_those_of_the_library(whole):
+    text = "one <|endoftext|> two"
+    assert np.frombuffer(tokens.encoder(tokens.tokenizer_path()).encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert 50256 in whole.encode(text, add_special_tokens=False).ids
+
+
 def test_a_small_table_forgets_but_stays_right(whole, monkeypatch):
     monkeypatch.setattr(tokens, "CACHED", 3)
     text = "The quick brown fox, the slow dog. The quick brown fox!"
