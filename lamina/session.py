@@ -2,6 +2,7 @@
 
 import atexit
 import math
+import os
 import shutil
 import tempfile
 import uuid
@@ -64,6 +65,14 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it; other machines have it installed or by --py-files."""
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
     return f"{work_dir(spark)}/lamina/{name}-{uuid.uuid4().hex}"

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lamina.session import share_package
 from lamina.sources import files
 
 #: The state of a block: quotes that are open (0 or 1), and the depth it adds if none, or one, is open at its start.
@@ -27,6 +28,7 @@ STATE = ["quotes", "depth", "depth_open"]
 
 
 def _pieces(spark: SparkSession, paths: Sequence[str], end: str) -> DataFrame:
+    share_package(spark)
     text = spark.read.text(list(paths), lineSep=end, recursiveFileLookup=True)
     return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
