@@ -1,13 +1,14 @@
 """Quality rules: numbers of a document's own text, and lines that many documents of a host share.
 
 Lines are normalised (white space runs to one space, A-Z to lower case, ends trimmed) and hashed together with the host
-(``source``). A line is above the limit if more than ``line_limit`` distinct texts of the host hold it; copies of a text
-count once, so that a text does not make its own lines common. Lines above the limit are removed, and a document is
-rejected if too little is left. Everything is DataFrame functions: counts combine before their shuffle, only hashes and
+(``source``). A line is above the limit if more than ``line_limit`` distinct documents of the host hold it: rows that share an id
+are one document, rows without an id are one per text, and copies of a text under several ids are several documents, so near and exact
+copies are best removed before. Lines above the limit are removed, and a document is rejected if too little is left. Everything is DataFrame functions: counts combine before their shuffle, only hashes and
 small numbers are shuffled, and the set of common lines is joined, not broadcast by request.
 
 Null and empty texts have no words and fail the base rule. A null source is a host of its own, the empty one. Rows are told apart by
-a hash of id, source and text; repeated rows share one verdict, and null ids are allowed.
+a hash of id, source and text; repeated rows share one verdict, and null ids are allowed. Very long texts are one row like others.
+Other columns, whatever their names, are not looked at; ``apply_rules`` returns them as they were. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -70,19 +71,19 @@ def _rid() -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """rid, text_hash, pos, line (a hash of host and normalised line) and n, its words, for every line with a word."""
+    """rid, doc (the id, or a hash of the text), pos, line (a hash of host and normalised line) and n, its words, for every line with a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
-        _rid().alias("rid"), F.xxhash64(text).alias("text_hash"), F.coalesce(F.col("source"), F.lit("")).alias("host"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"),
+        _rid().alias("rid"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)).alias("doc"), F.coalesce(F.col("source"), F.lit("")).alias("host"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"),
     )
     rows = rows.withColumn("plain", F.trim(F.regexp_replace(F.translate("raw", UPPER, LOWER), SPACE, " "))).where("plain <> ''")
     n = F.length("plain") - F.length(F.translate("plain", " ", "")) + 1
-    return rows.select("rid", "text_hash", "pos", F.xxhash64("host", "plain").alias("line"), n.cast("long").alias("n"))
+    return rows.select("rid", "doc", "pos", F.xxhash64("host", "plain").alias("line"), n.cast("long").alias("n"))
 
 
 def common_lines(lines: DataFrame, line_limit: int) -> DataFrame:
-    """The lines that more than ``line_limit`` distinct texts of their host hold."""
-    return lines.groupBy("line").agg(F.countDistinct("text_hash").alias("texts")).where(F.col("texts") > line_limit).select("line")
+    """The lines that more than ``line_limit`` distinct documents of their host hold."""
+    return lines.groupBy("line").agg(F.countDistinct("doc").alias("docs")).where(F.col("docs") > line_limit).select("line")
 
 
 def removed_lines(docs: DataFrame, line_limit: int = 10) -> DataFrame:
@@ -123,11 +124,11 @@ words AS (SELECT r, doc_id, t, host, list_filter(string_split_regex(t, '[\x20\x0
 places AS (SELECT r, unnest(range(0, len(w) - 4)) AS i, w FROM words WHERE len(w) >= 5),
 windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i + 1 : i + 5], ' ')) AS n FROM places),
 covered AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM windows WHERE n > 1) GROUP BY r),
-raw AS (SELECT r, host, t, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM rows),
+raw AS (SELECT r, doc_id, host, t, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM rows),
 lines AS (SELECT *, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS plain FROM raw),
 full_lines AS (SELECT * FROM lines WHERE plain <> ''),
 dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY r),
-common AS (SELECT host, plain FROM full_lines GROUP BY host, plain HAVING count(DISTINCT t) > 10),
+common AS (SELECT host, plain FROM full_lines GROUP BY host, plain HAVING count(DISTINCT coalesce('d' || doc_id, 't' || t)) > 10),
 removed AS (SELECT r, sum(len(string_split(plain, ' '))) AS n FROM full_lines SEMI JOIN common USING (host, plain) GROUP BY r),
 numbers AS (
   SELECT words.doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,

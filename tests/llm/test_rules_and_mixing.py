@@ -42,10 +42,13 @@ def test_common_lines_go_and_depleted_documents_too(docs_of):
     rows = [(i, f"{unique(i, 30)}\n{notice}", "en", "h") for i in range(12)]
     rows += [(100, f"{notice}\n{notice.lower()}\nsmall rest here", "en", "h")]  # almost nothing but the notice
     rows += [(200 + i, f"{unique(i + 50, 30)}\n{notice}", "en", "other") for i in range(5)]  # below the limit of its host
-    rows += [(300 + i, unique(999, 30), "en", "h") for i in range(40)]  # copies of one text are one text
+    rows += [(300 + i, unique(999, 30), "en", "h") for i in range(10)]  # copies under ten ids are at the limit
+    rows += [(400 + i, unique(998, 30), "en", "h") for i in range(11)]  # and under eleven above it
+    rows += [(500, unique(997, 30), "en", "h")] * 40  # repeated rows of one id are one document
+    rows += [(None, unique(996, 30), "en", "h")] * 40  # and so are those of one text without an id
     docs = docs_of(rows)
     kept = {r["doc_id"]: r["kept"] for r in rules.verdicts(docs).collect()}
-    assert [i for i, k in kept.items() if not k] == [100]
+    assert sorted(i for i, k in kept.items() if not k) == [100, *range(400, 411)]
     clean = {r["doc_id"]: r["text"] for r in rules.apply_rules(docs).collect()}
     assert set(clean) == {i for i, k in kept.items() if k}
     assert all("RESERVED" not in clean[i] for i in range(12)) and all("RESERVED" in clean[200 + i] for i in range(5))
