@@ -2,8 +2,8 @@
 
 Texts are lower-cased, everything but letters becomes one space, and the counts of all four-letter sequences of all
 training texts are summed in Spark, first per task. From them come the discounts, continuation counts and back-off
-weights of the interpolated model, for all languages at once: a sorted array of the hashes (four 16-bit code units, so
-exact in the basic plane) of all sequences, and beside it their log-probabilities in each language. A text is looked up
+weights of the interpolated model, for all languages at once: a sorted array of the keys (four UTF-16 units, so exact; a letter
+beyond the basic plane is two units) of all sequences, and beside it their log-probabilities in each language. A text is looked up
 once by binary search; sequences that no language knows back off to sorted arrays of three, two and one letters.
 
 The language of lowest cross-entropy per letter wins. Its score is a softmax over minus the cross-entropies, whose
@@ -41,7 +41,7 @@ def letters() -> np.ndarray:
 
 
 def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """16-bit units of the normalised texts, each after a space, and the place where each text starts."""
+    """UTF-16 units of the normalised texts, each after a space, and the place where each text starts."""
     points = [np.frombuffer((" " + t.lower()).encode("utf-32-le", "surrogatepass"), "<u4") for t in texts]
     start = np.cumsum([0, *map(len, points)])[:-1] if points else np.empty(0, np.int64)
     c = np.concatenate(points) if points else np.empty(0, np.uint32)
@@ -51,7 +51,13 @@ def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     first[start] = True
     keep = word | first | np.r_[True, word[:-1]]  # a run of others leaves one space, and each text keeps its first
     place = np.cumsum(keep) - keep
-    return np.where(word, c, SPACE_UNIT)[keep].astype(np.uint16), place[start]
+    units, place = np.where(word, c, SPACE_UNIT)[keep], place[start]
+    wide = units > 0xFFFF
+    if wide.any():
+        place = place + (np.cumsum(wide) - wide)[place]
+        low = 0xDC00 + (units[wide] & 0x3FF)
+        units = np.insert(np.where(wide, 0xD7C0 + (units >> 10), units), np.flatnonzero(wide) + 1, low)
+    return units.astype(np.uint16), place
 
 
 def grams(u: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

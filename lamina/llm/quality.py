@@ -2,13 +2,15 @@
 
 A text is cut into short pieces, and each is compressed with the dictionary of either class. The difference of the two
 sizes over the raw size says which class it resembles. Short pieces matter: a long one soon becomes its own dictionary.
-Beside it stands the size of larger blocks without a dictionary, which shows repetition. A logistic curve over these
-numbers, fitted on labelled rows that the dictionaries have not seen, gives the score.
+A logistic curve over the difference (of the whole text, and of the pieces at either end), fitted on labelled rows that the
+dictionaries have not seen, gives the score.
 
 Dictionaries and curve are fitted on a bounded sample of labelled rows (``sample_rows`` per class and use); scoring
 reads every text whole. Null and empty texts have no bytes to compare: they get the score of ``EMPTY_SCORE``. Rows with
-null ids can be scored but are never learned from. Repeated rows are scored alike. With fewer than two classes of
-labels every score is the share of label 1 (or 0.5 without any labels).
+null ids can be scored but are never learned from. Repeated rows are scored alike. With fewer than two labelled rows of
+either class (one for the dictionary, one for the curve) nothing can be learned: every score is the share of label 1 (or 0.5 without
+any labels), and ``keep_good`` keeps all documents. Very long texts are scored piece by piece. A column called ``score`` is
+replaced by ``score`` and left alone by ``keep_good``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import at_hand, held_out, table
 
-PIECE, BLOCK, EMPTY_SCORE = 384, 16_384, 0.0
+PIECE, EMPTY_SCORE = 384, 0.0
 
 
 @dataclass
@@ -38,11 +40,10 @@ class Model:
 
 
 class Sizes:
-    """Compressed sizes of pieces with either dictionary, and of blocks without one."""
+    """Compressed sizes of pieces with either dictionary."""
 
     def __init__(self, good: bytes, bad: bytes):
         self.by = [zstandard.ZstdCompressor(level=3, dict_data=self._dict(d), write_content_size=False, write_checksum=False, write_dict_id=False) for d in (good, bad)]
-        self.plain = zstandard.ZstdCompressor(level=3)
 
     @staticmethod
     def _dict(data: bytes) -> zstandard.ZstdCompressionDict:
@@ -51,7 +52,7 @@ class Sizes:
         return made
 
     def features(self, text: bytes) -> list[float]:
-        """Mean and extremes over pieces of the normalised difference, the mean sizes, and the share of repetition."""
+        """The normalised difference of the whole text, and the least and the greatest of its pieces."""
         view = memoryview(text)
         good, bad = self.by
         raw, g, b = [], [], []
@@ -62,11 +63,10 @@ class Sizes:
             b.append(len(bad.compress(piece)))
         raw, g, b = (np.array(x, float) for x in (raw, g, b))
         each = (b - g) / raw
-        whole = sum(len(self.plain.compress(view[at : at + BLOCK])) for at in range(0, len(text), BLOCK)) / len(text)
         weight = raw / raw.sum()
         long = raw >= PIECE / 2
         ends = each[long] if long.any() else each
-        return [float((each * weight).sum()), float(ends.min()), float(ends.max()), g.sum() / raw.sum(), b.sum() / raw.sum(), whole, float(np.log1p(len(text)))]
+        return [float((each * weight).sum()), float(ends.min()), float(ends.max())]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -92,7 +92,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 600, sample_bytes
     """Learn from labelled rows that are not held out.
 
     Of each class the rows with the smallest hashes of their ids are taken: ``sample_rows`` for the dictionaries and as
-    many for the curve, and at most ``sample_bytes`` of each text for the dictionaries. That bounds what the driver holds.
+    many for the curve; of a text for the dictionaries at most ``sample_bytes`` count, in pieces spread over the whole text.
     """
     rows = (
         docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0) & ~held_out()).select("doc_id")
@@ -108,11 +108,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 600, sample_bytes
     shares = rows.groupBy("_quality").count().collect()
     total, good = sum(r["count"] for r in shares), sum(r["count"] for r in shares if r["_quality"] == 1)
     by = {q: [t for k, t in found if k == q] for q in (0, 1)}
-    if min(map(len, by.values())) < 16:
+    if min(map(len, by.values())) < 2:
         return Model(b"", b"", [], [], [], good / total if total else 0.5)
     dicts = {}
     for q, texts in by.items():
-        pieces = [t[:sample_bytes][at : at + PIECE] for t in texts[::2] for at in range(0, min(len(t), sample_bytes), PIECE)]
+        pieces = [t[at : at + PIECE] for t in texts[::2] for at in range(0, len(t), PIECE * max(1, -(-len(t) // sample_bytes)))]
         try:
             dicts[q] = zstandard.train_dictionary(dict_bytes, pieces, level=3).as_bytes()
         except zstandard.ZstdError:  # too little text to train on: the text itself serves
@@ -150,8 +150,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns."""
-    scored = score(docs, fit(docs, labels), name="_score")
+    """The documents that the classifier does not reject, with their own columns; all of them if nothing could be learned."""
+    model = fit(docs, labels)
+    if model.constant is not None:
+        return docs
+    scored = score(docs, model, name="_score")
     return scored.where(F.col("_score") >= threshold).select(*docs.columns)
 
 

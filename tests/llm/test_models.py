@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from lamina.llm import decontam, langid, quality
@@ -54,6 +55,16 @@ def test_probabilities_follow_the_definition():
         assert total.sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_letters_beyond_the_basic_plane(docs_of):
+    wide = "".join(chr(0x20000 + i) for i in range(40))
+    units, start = langid.units(["a", f"b{wide[:2]} c", wide])
+    assert units.tobytes().decode("utf-16-le") == f" a b{wide[:2]} c {wide}" and start.tolist() == [0, 2, 10]
+    rows = [(i, wide[i % 30 : i % 30 + 10] if i % 2 else "abc bad cab", ("han", "latin")[i % 2 == 0]) for i in range(200)]
+    model = langid.fit(docs_of(rows))
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs_of([(1, "\U00020020"), (2, wide), (3, "\U00020061"), (4, "bad")]), model).collect()}
+    assert found.pop(3) != "und" and found == {1: "han", 2: "han", 4: "latin"}
+
+
 def test_languages_of_odd_rows(docs_of, odd_rows):
     words = {"xx": "alpha beta gamma delta", "yy": "uno dos tres cuatro"}
     rows = [(i, " ".join(random.Random(i).choices(words[lang].split(), k=30)), lang) for i in range(100, 300) for lang in [("xx", "yy")[i % 2]]]
@@ -101,6 +112,7 @@ def test_quality_of_odd_rows(docs_of, odd_rows, spark):
     assert model.constant is not None and 0 <= model.constant <= 1
     assert quality.score(docs, model).count() == len(odd_rows)
     assert quality.fit(docs.limit(0), few.limit(0)).constant == 0.5
+    assert quality.keep_good(docs, few).count() == len(odd_rows)  # nothing was learned, so nothing is rejected
     draw = random.Random(1)
     rows = [(i, " ".join(draw.choices("lorem ipsum dolor sit amet".split() if i % 2 else "##$$ %%&& @@!! ZZZ".split(), k=200))) for i in range(400)]
     labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
@@ -110,6 +122,25 @@ def test_quality_of_odd_rows(docs_of, odd_rows, spark):
     assert scored[1001] == scored[1002] == quality.EMPTY_SCORE
     kept = quality.keep_good(docs_of(rows), labels)
     assert kept.columns == ["doc_id", "text", "lang", "source"] and kept.count() >= 190
+    small = [(i, t) for i, t in rows if i < 24]  # a dozen labels of each class, some of them held out
+    left = {r["doc_id"] for r in quality.keep_good(docs_of(small), labels.where("doc_id < 24")).collect()}
+    assert {i for i, _ in small if i % 2} == left
+    assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_quality_compares_sizes(docs_of):
+    sizes = quality.Sizes(b"lorem ipsum dolor sit amet " * 20, b"##$$ %%&& @@!! ZZZ " * 20)
+    text = b"lorem ipsum ##$$ dolor amet " * 60
+    each = []
+    for at in range(0, len(text), quality.PIECE):
+        piece = text[at : at + quality.PIECE]
+        by = [len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False).compress(piece))
+              for d in (b"lorem ipsum dolor sit amet " * 20, b"##$$ %%&& @@!! ZZZ " * 20)]
+        each.append((by[1] - by[0], len(piece)))
+    found = sizes.features(text)
+    assert found[0] == pytest.approx(sum(d for d, _ in each) / len(text))
+    long = [d / n for d, n in each if n >= quality.PIECE / 2]
+    assert found[1:] == pytest.approx([min(long), max(long)])
 
 
 # ---------------------------------------------------------------- benchmark leaks
