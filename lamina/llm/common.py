@@ -44,7 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = df.sparkSession.read.schema(df.schema).parquet(path)
+    read.scratch = path
+    return read
+
+
+def unstore(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read again, as what was built on them is stored itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -1,10 +1,11 @@
 """Near-duplicates by SimHash fingerprints, linked exactly through vantage-point trees.
 
-Fingerprints of whole texts are reduced to the distinct ones, so copies cost nothing further. A vantage-point tree over
-a bounded sample cuts the space of fingerprints into shards by Hamming distance; its nodes (a fingerprint and a radius
-each) are all that is broadcast. Each fingerprint has one home shard and is a guest in the shards whose boundary lies
-within the search radius, on one side of each boundary only, so that each pair meets in one place. Within a shard a second
-vantage-point tree prunes by triangle bounds until few candidates are left, which are compared exactly. A shard sends on
+Fingerprints of whole texts are reduced to the distinct ones, so copies cost nothing further. Of radius + c blocks of bits, two
+fingerprints within the radius agree in c at least (``block_masks``). So for each choice of c blocks a vantage-point tree over a bounded
+sample cuts the space of these bits into shards by Hamming distance. In it the search radius is 0, so that no fingerprint has to be a guest
+beyond a boundary, and each goes to one shard per choice: what is shuffled grows like the input. The trees' nodes
+(a value and a radius each) are all that is sent along with the tasks. Within a shard, fingerprints that agree in the blocks meet; a second
+vantage-point tree over all their bits prunes by triangle bounds until few candidates are left, which are compared exactly. A shard sends on
 a spanning forest of its links, never all pairs: a ball of n mutual neighbours costs n - 1 links. Links of all shards are
 joined into components by star contraction in Spark, each round written to the shared folder.
 
@@ -12,11 +13,14 @@ joined into components by star contraction in Spark, each round written to the s
 most of them differ in more bits than can be searched.
 
 Null and empty texts have fingerprint zero and are linked like any other. Rows with a null id take part, and their
-component has the smallest id that is not null (null if there is none). Repeated rows and ties are copies.
+component has the smallest id that is not null (null if there is none). Repeated rows and ties are copies. Very long texts are hashed
+whole, in parts. Other columns, whatever their names, are not looked at and are returned by ``keep_one``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, NO_ID, at_hand, buckets_for, chunks, id_back, keyed, mixed, stored, table, window_hashes, word_hashes
+from lamina.llm.common import MB, NO_ID, at_hand, buckets_for, chunks, id_back, keyed, mixed, stored, table, unstore, window_hashes, word_hashes
 
 SAMPLE = 8192  # fingerprints that the tree of shards is fitted on
 SAMPLED, COMMON = 20_000, 200_000  # texts that show which shingles are common, and how many of these are told apart
-FEW = 32  # sets with a shingle in common that are all compared at once
+DEEPEST = 9  # levels of a tree of shards; further shards are told apart by a hash of the blocks
+SMALL = 64  # fingerprints with blocks in common that are compared without a tree
 _LEAF = 1 << 15  # pairs that are compared without a further vantage point
 
 
@@ -195,6 +200,38 @@ def _halves(a: np.ndarray, b: np.ndarray | None) -> list:
     return [(a, b[:h]), (a, b[h:])]
 
 
+def block_masks(n: int, radius: int) -> list[int]:
+    """Choices of bits: two fingerprints at ``radius`` or fewer differing bits agree in all bits of one of them at least.
+
+    ``radius`` bits spoil as many blocks at most, so of radius + c blocks c are the same. More blocks mean more choices and fewer
+    fingerprints that agree by chance; the cheapest number for ``n`` fingerprints is taken.
+    """
+    def cost(c: int) -> float:
+        return math.comb(radius + c, c) * (1 + n / 2 ** (64 * c / (radius + c)) / SMALL)
+
+    c = min(range(1, max(1, min(6, 64 - radius)) + 1), key=cost)
+    edges = [64 * i // (radius + c) for i in range(radius + c + 1)]
+    blocks = [2**b - 2**a for a, b in itertools.pairwise(edges)]
+    return [sum(some) for some in itertools.combinations(blocks, c)]
+
+
+def link_agreeing(fp: np.ndarray, mask: int, r: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join all fingerprints at ``r`` or fewer differing bits that agree in the bits of the mask."""
+    fp = fp[np.argsort(fp & np.uint64(mask), kind="stable")]
+    same, forest, links = fp & np.uint64(mask), Forest(len(fp)), []
+    first = np.flatnonzero(np.r_[True, same[1:] != same[:-1]])
+    size = np.diff(np.r_[first, len(fp)])
+    small = np.repeat(size <= SMALL, size)
+    for step in range(1, min(SMALL, int(size.max()))):
+        near = small[step:] & (same[step:] == same[:-step]) & (_distance(fp[step:], fp[:-step]) <= r)
+        for i in np.flatnonzero(near).tolist():
+            forest.join(i, i + step)
+    for at, n in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        links += [(at + a, at + b) for a, b in link(fp[at : at + n], np.ones(n, bool), r)]
+    pairs = np.array(forest.links + links, np.int64).reshape(-1, 2)
+    return fp[pairs[:, 0]], fp[pairs[:, 1]]
+
+
 # ---------------------------------------------------------------- components
 
 def components(edges: DataFrame) -> DataFrame:
@@ -213,6 +250,7 @@ def components(edges: DataFrame) -> DataFrame:
         ).select("e.*").where("a <> b").distinct()
         new = stored(small, "links")
         moved = new.join(edges, ["a", "b"], "left_anti").isEmpty() and edges.join(new, ["a", "b"], "left_anti").isEmpty()
+        unstore(edges)
         edges = new
         if moved:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
@@ -223,25 +261,29 @@ def fingerprint_classes(prints: DataFrame, radius: int = 4, shard_rows: int = 25
     at_hand(prints.sparkSession)
     distinct = stored(prints.select("fp").distinct(), "prints")
     n = distinct.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n) / shard_rows))))
+    masks, shards = block_masks(n, radius), max(1, -(-n // shard_rows))
+    depth = min(DEEPEST, math.ceil(math.log2(shards)))
+    parts = -(-shards // 2**depth)
     sample = np.array([r["fp"] for r in distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], np.int64).view(np.uint64) if depth else np.empty(0, np.uint64)
-    nodes = plant(sample, depth)
+    trees = [plant(sample & np.uint64(mask), depth) for mask in masks]
 
     def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             fp = rows["fp"].to_numpy(np.int64)
-            for at in range(0, len(fp), 20_000):
-                part = fp[at : at + 20_000]
-                row, shard, home = route(part.view(np.uint64), nodes, depth, radius)
-                yield pd.DataFrame({"shard": shard, "fp": part[row], "home": home})
+            for choice, (mask, nodes) in enumerate(zip(masks, trees, strict=True)):
+                same = fp.view(np.uint64) & np.uint64(mask)
+                row, shard, _ = route(same, nodes, depth, 0)
+                shard = shard * parts + (mixed(same[row]) % np.uint64(parts)).astype(np.int64)
+                yield pd.DataFrame({"choice": choice, "shard": shard, "fp": fp[row]})
 
     def linked(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        fp = rows["fp"].to_numpy(np.int64)
-        pairs = np.array(link(fp.view(np.uint64), rows["home"].to_numpy(bool), radius), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": fp[pairs[:, 0]], "b": fp[pairs[:, 1]]})
+        a, b = link_agreeing(rows["fp"].to_numpy(np.int64).view(np.uint64), masks[key[0]], radius)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    placed = distinct.mapInPandas(routed, "shard long, fp long, home boolean")
-    return components(placed.groupBy("shard").applyInPandas(linked, "a long, b long"))
+    placed = distinct.mapInPandas(routed, "choice int, shard long, fp long")
+    classes = components(placed.groupBy("choice", "shard").applyInPandas(linked, "a long, b long"))
+    unstore(distinct)
+    return classes
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, radius: int = 4) -> DataFrame:
@@ -298,24 +340,29 @@ def _common(docs: DataFrame, size: int, share: float) -> tuple[np.ndarray, np.nd
     return h[by], n[by]
 
 
-def similar_sets(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Of each row doc_id, text_hash and key, a hash of its set of shingles; and the links (a, b) of keys.
+def set_keys(docs: DataFrame, size: int = 5) -> DataFrame:
+    """Of each row doc_id (null: the last key), text_hash and key, a hash of its set of shingles."""
+
+    def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for part, _, keys in _sets(rows, size):
+                yield pd.DataFrame({"doc_id": part["doc_id"], "text_hash": part["text_hash"], "key": keys})
+
+    return stored(keyed(docs, text_hash().alias("text_hash")).mapInPandas(printed, "doc_id long, text_hash long, key long"), "sets")
+
+
+def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int = 5) -> DataFrame:
+    """Links (a, b) of the keys in ``prints`` whose sets are similar; ``known`` links of keys need not be found again.
 
-    All sets with a Jaccard similarity of 4/5 or more are joined by links, and no others are linked. Two such sets share one of the first
+    All sets with a Jaccard similarity of 4/5 or more are joined by these links and the known ones, and no others are linked. Two such sets share one of the first
     n - ceil(4n/5) + 1 shingles of each, in any one order of all shingles (prefix filter). The order here is rare ones
     first, by a sample, so that lines that many documents have propose nothing unless most of the document is made of them.
-    Of a shingle in the prefix of many sets, first two of the sets meet all others; then the sets meet that this has not joined.
+    Of the sets with a shingle in their prefixes, first the one of the least key meets all others, so that near copies of one text propose
+    few different pairs; then the sets meet that are not joined yet.
     Every proposed pair is settled by the whole sets.
     """
     at_hand(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-
-    def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            for part, _, keys in _sets(rows, size):
-                yield pd.DataFrame({"doc_id": part["doc_id"], "text_hash": part["text_hash"], "key": keys})
-
-    prints = stored(keyed(docs, text_hash().alias("text_hash")).mapInPandas(printed, "doc_id long, text_hash long, key long"), "sets")
     common, often = _common(docs, size, min(1.0, SAMPLED / max(1, prints.count())))
     bits = max(6, int(np.log2(buckets_for(docs, 16 * MB))))
 
@@ -354,30 +401,29 @@ def similar_sets(docs: DataFrame, size: int = 5) -> tuple[DataFrame, DataFrame]:
         new = np.r_[True, h[1:] != h[:-1]]
         group, first = np.cumsum(new) - 1, np.flatnonzero(new)
         many = np.bincount(group)[group]
-        pivot = (many <= FEW) | (np.arange(len(h)) - first[group] < 2)
-        some = many > 1
-        return pd.DataFrame({"h": h[some], "key": key[some], "n": n[some], "large": many[some] > FEW, "pivot": pivot[some]})
+        least, some = first[group], many > 1
+        return pd.DataFrame({"h": h[some], "key": key[some], "n": n[some], "large": many[some] > 2, "pivot": key[least][some], "pivot_n": n[least][some]})
 
     places = keyed(docs).mapInPandas(dealt, "bucket long, h binary, key binary, n binary").groupBy("bucket")
-    lists = stored(places.applyInPandas(listed, "h long, key long, n int, large boolean, pivot boolean"), "lists")
-    a, b = lists.alias("a"), lists.alias("b")
-    like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
-    pairs = a.where("pivot").join(b, like & (F.col("a.key") != F.col("b.key")) & (~F.col("b.pivot") | (F.col("a.key") < F.col("b.key"))))
-    links = _settled(docs, prints, size, pairs)
-    if lists.where("large").isEmpty():
-        return prints, links
-    classes = components(links)
+    lists = stored(places.applyInPandas(listed, "h long, key long, n int, large boolean, pivot long, pivot_n int"), "lists")
+    stars = lists.where("key <> pivot AND 5 * least(n, pivot_n) >= 4 * greatest(n, pivot_n)")
+    links = _settled(docs, prints, size, stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")))
+    classes = components(links.union(known))
     large = lists.where("large").join(classes, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
     large = stored(large, "lists")
+    unstore(lists)
     apart = large.groupBy("h").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("h")
-    large = large.join(apart, "h", "left_semi")
-    pairs = large.alias("a").join(large.alias("b"), like & (F.col("a.root") < F.col("b.root")))
-    return prints, links.union(_settled(docs, prints, size, pairs))
+    some = large.join(apart, "h", "left_semi")
+    like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
+    pairs = some.alias("a").join(some.alias("b"), like & (F.col("a.root") < F.col("b.root")))
+    links = links.union(_settled(docs, prints, size, pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))))
+    unstore(large)
+    return links
 
 
 def _settled(docs: DataFrame, prints: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more."""
-    pairs = stored(pairs.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct(), "pairs")
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -392,7 +438,9 @@ def _settled(docs: DataFrame, prints: DataFrame, size: int, pairs: DataFrame) ->
     sets = stored(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "sets")
     x, y = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("key").alias("b"), F.col("hashes").alias("y"))
     both = pairs.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
-    return stored(both.where(9 * F.col("shared") >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "similar")
+    similar = stored(both.where(9 * F.col("shared") >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "similar")
+    unstore(pairs, wanted, sets)
+    return similar
 
 
 def keep_one(docs: DataFrame, size: int = 5, radius: int = 4) -> DataFrame:
@@ -401,10 +449,12 @@ def keep_one(docs: DataFrame, size: int = 5, radius: int = 4) -> DataFrame:
     A group is what links join: all pairs with a Jaccard similarity of 4/5 or more, and pairs of fingerprints within ``radius``.
     """
     near = near_duplicates(docs, size, radius).select("text_hash", "root").distinct()
-    prints, similar = similar_sets(docs, size)
+    prints = set_keys(docs, size)
     same = stored(prints.select("text_hash", "key").distinct().join(near, "text_hash").select("key", "root").distinct(), "same")
     links = same.join(same.groupBy("root").agg(F.min("key").alias("least")), "root").select(F.col("key").alias("a"), F.col("least").alias("b"))
-    classes = components(links.union(similar))
+    links = stored(links.where("a <> b"), "links")
+    classes = components(links.union(similar_sets(docs, prints, links, size)))
+    unstore(links, same)
     kept = prints.join(classes, F.col("key") == F.col("node"), "left").groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct("doc_id", "text_hash")).alias("_least"))
     rows = docs.withColumns({"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_hash": text_hash()})
     found = rows.join(kept.select("_least"), (F.col("_key") == F.col("_least.doc_id")) & (F.col("_hash") == F.col("_least.text_hash")))

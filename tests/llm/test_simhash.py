@@ -57,6 +57,34 @@ def test_shards_find_all_links(depth):
     assert len(pairs) < 2**depth * len(fp)  # a forest per shard, not all pairs
 
 
+@pytest.mark.parametrize("n", [100, 10**6, 10**9, 10**13])
+def test_masks_leave_no_pair_out(n):
+    masks, draw = simhash.block_masks(n, 4), random.Random(n)
+    for _ in range(2000):
+        bits = sum(1 << b for b in draw.sample(range(64), 4))
+        assert any(bits & m == 0 for m in masks)
+    assert len(masks) >= 5 and simhash.block_masks(n, 0)
+
+
+def test_classes_of_fingerprints_against_all_pairs(spark):
+    fp = near_prints(6)
+    # many that agree in their low half, a dense ball among them
+    hot = np.unique(fp[:800] << np.uint64(32) | np.uint64(77))
+    fp = np.unique(np.concatenate([fp, hot, hot[:1] ^ (np.uint64(1) << np.arange(64, dtype=np.uint64))]))
+    every = [(i, i + 1 + int(j)) for i in range(len(fp)) for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= 4)]
+    want = roots(len(fp), every)
+    prints = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
+    for rows in (25_000, 40):
+        found = {r["node"]: r["root"] for r in simhash.fingerprint_classes(prints, 4, rows).collect()}
+        sizes = collections.Counter(want)
+        assert set(found) == {int(x) for x, w in zip(fp.view(np.int64), want) if sizes[w] > 1}
+        groups = collections.defaultdict(set)
+        for x, w in zip(fp.view(np.int64), want):
+            if int(x) in found:
+                groups[w].add(found[int(x)])
+        assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 2000), (2000, 1500), (7, 7)]
     found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -83,6 +111,7 @@ def test_one_of_each_stays(docs_of, odd_rows):
 
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([(1, "a")]).limit(0)).count() == 0
+    assert simhash.keep_one(docs_of([(1, "a")]).limit(0)).count() == 0
 
 
 def test_documents_without_ids(docs_of):
