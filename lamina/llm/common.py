@@ -8,6 +8,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,17 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """keyed(docs) with compressed texts, which halves what the joins shuffle."""
+
+    def compressed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        small = zstandard.ZstdCompressor(level=3)
+        for rows in batches:
+            yield rows.assign(text=[small.compress(t) for t in rows["text"]])
+
+    return keyed(docs).mapInPandas(compressed, "doc_id long, text binary")
+
+
 def id_back(name: str = "doc_id") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name)).alias(name)
 
@@ -148,31 +161,38 @@ def _segments(texts: list[bytes]) -> Iterator[tuple[list[bytes], list[int]]]:
         yield group, rows
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of each word of the texts in order, and the row of each word.
 
-    The hashes of all words of a segment come from one running sum: the polynomial
-    between two of its places, divided by the power of the first.
+    A word is read eight bytes at a time; each of these numbers is mixed with a key of its place before they are added up, so
+    that no pattern of letters cancels out. Hashes by different seeds are independent.
     """
     hashes, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    key, odd = np.uint64((seed + 1) * _BASE % 2**64), np.uint64(_BASE)
     for group, row in _segments(texts):
-        data = np.frombuffer(b" " + b" ".join(group) + b" ", np.uint8)
+        data = np.frombuffer(b" " + b" ".join(group) + b" " * 8, np.uint8)
         space = _IS_SPACE[data]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         start, end = edge[::2], edge[1::2]
-        up, down = powers(len(data) + 1)
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-        hashes.append(mixed((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)))
-        first = np.cumsum([1, *(len(x) + 1 for x in group[:-1])])
-        rows.append(np.asarray(row, np.int64)[np.searchsorted(first, start, "right") - 1])
+        if len(start):
+            eights = (end - start + 7) >> 3
+            first = np.cumsum(eights) - eights
+            place = np.arange(int(eights.sum())) - np.repeat(first, eights)
+            at = np.repeat(start, eights) + 8 * place
+            value = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[at]
+            beyond = 8 - np.minimum(np.repeat(end, eights) - at, 8)  # bytes of the number behind the word
+            value &= np.uint64(2**64 - 1) >> (8 * beyond).astype(np.uint64)
+            value = mixed(value ^ mixed(place.astype(np.uint64) * odd + key))
+            hashes.append(mixed(np.add.reduceat(value, first) + (end - start).astype(np.uint64) * odd))
+        at = np.cumsum([1, *(len(x) + 1 for x in group[:-1])])
+        rows.append(np.asarray(row, np.int64)[np.searchsorted(at, start, "right") - 1])
     return np.concatenate(hashes), np.concatenate(rows)
 
 
-def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(words: np.ndarray, size: int, base: int = _BASE) -> np.ndarray:
     """Rabin-Karp hash of each run of ``size`` words, by Horner's rule over shifted arrays."""
     n = max(0, len(words) - size + 1)
     out = np.zeros(n, np.uint64)
     for i in range(size):
-        out = out * np.uint64(_BASE) + words[i : i + n]
+        out = out * np.uint64(base) + words[i : i + n]
     return mixed(out)

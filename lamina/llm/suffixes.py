@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, _BYTE, chunks, id_back, keyed, mixed, powers, stored, table
+from lamina.llm.common import MB, _BYTE, chunks, id_back, mixed, packed, powers, stored, table
 from lamina.llm.windows import bucket_bits, repeats
 
 CHUNK, PIECE, SPREAD, MERGES = 2 * MB, MB, 64, 256
@@ -206,17 +206,6 @@ def _merge_neighbours(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> t
     return doc[at], first[at], np.maximum.reduceat(last, at)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """keyed(docs) with compressed texts, which halves what the joins shuffle."""
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        small = zstandard.ZstdCompressor(level=3)
-        for rows in batches:
-            yield rows.assign(text=[small.compress(t) for t in rows["text"]])
-
-    return keyed(docs).mapInPandas(packed, "doc_id long, text binary")
-
-
 def _small_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in batches:
         for a, b in chunks([3 * len(t) for t in rows["text"]], 4 * CHUNK):
@@ -321,7 +310,7 @@ def removed_windows(docs: DataFrame, size: int = 100, shard_contexts: int = 30_0
         return _spans(*map(np.concatenate, zip(*done, strict=True)))
 
     wanted = found.groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
-    sent = _packed(docs).join(wanted, "doc_id").mapInPandas(contexts, "bucket long, salt long, kind int, ids binary, first binary, last binary, data binary")
+    sent = packed(docs).join(wanted, "doc_id").mapInPandas(contexts, "bucket long, salt long, kind int, ids binary, first binary, last binary, data binary")
     judged = stored(sent.groupBy("bucket", "salt").applyInPandas(sharded, "doc_id long, spans binary, merge long, windows binary"), "shards")
     across = judged.where("merge >= 0").groupBy("merge").applyInPandas(merged, "doc_id long, spans binary")
     return judged.where("merge < 0").select("doc_id", "spans").union(across)
@@ -350,7 +339,7 @@ def remove_repeats(docs: DataFrame, size: int = 100) -> DataFrame:
             yield pd.DataFrame(out, columns=["n_bytes", "n_removed", "spans", "kept"]).assign(doc_id=rows["doc_id"].to_numpy())
 
     found = removed_windows(docs, size).groupBy("doc_id").agg(F.collect_list("spans").alias("found"))
-    return _packed(docs).join(found, "doc_id", "left").mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+    return packed(docs).join(found, "doc_id", "left").mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def op7_suffixes(spark, sf_dir: str) -> DataFrame:

@@ -1,17 +1,22 @@
 """Repeated word windows: each window of a fixed number of words is hashed, counted in Spark and cut from later documents.
 
-A task hashes all windows of its texts by Rabin-Karp (word hashes from a running sum, windows by Horner's rule, both modulo
-2**64 and mixed). Hashes are dealt to buckets by their top bits, packed in binary columns, so the shuffle carries about
-nine bytes a window. Before that a task keeps one entry per hash and chunk of texts, that of the smallest document: a window
-that a third of all documents share reaches its bucket once per chunk. A bucket finds the smallest document of each hash and
-returns the hashes that other documents have to drop; these meet the texts again by doc_id, overlapping windows merge into
-maximal intervals, and the words inside go.
-
-Windows are equal if their 64-bit hashes are: among 10**9 different windows a false match has a chance of about 3 %.
-Memory: a bucket holds about ``per_bucket`` bytes of input, as the number of buckets follows Spark's statistics.
-
-Null, empty and short texts have no windows and lose nothing. Rows without an id count as after all others and do not
-remove words from each other, nor do rows that share an id.
+A task hashes all windows of its texts by Rabin-Karp (Horner's rule over word hashes modulo 2**64, mixed). Hashes are dealt to
+buckets by their top bits, packed in binary columns, and with each travels a check of 32 bits, of other word hashes and another
+base, so the shuffle carries about 13 bytes a window. Before that a task keeps one entry per hash and chunk of texts, that of the
+smallest document: a window that a third of all documents share reaches its bucket once per chunk. The other documents of
+the chunk have to drop the window in any case; they do not meet in its bucket but are spread by document. A bucket finds the smallest
+document of each hash and returns the hashes that other documents have to drop; these meet the texts again by doc_id, overlapping
+windows merge into maximal intervals, and the words inside go.
+
+Windows are equal if their hashes and checks, 96 bits, are: among 10**13 different windows (100 TB) a false match has a chance of
+about one in 1,500. Words are hashed eight bytes at a time, each mixed with its place, so that no pattern of letters makes them collide.
+Memory: a bucket holds about ``per_bucket`` bytes of input, as the number of buckets follows Spark's statistics, and a text is
+held whole.
+
+Null, empty and short texts have no windows and lose nothing. Texts of any length are hashed whole. A window that is repeated within
+one document only stays. Of repeated rows the one with the smallest id keeps its words; those with the same id all keep them. Rows without
+an id count as after all others and do not remove words from each other, nor do rows that share an id. An empty table gives an empty
+result. Other columns, of whatever name, are not read.
 """
 
 from __future__ import annotations
@@ -20,12 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, buckets_for, chunks, id_back, keyed, table, window_hashes, word_hashes
+from lamina.llm.common import MB, buckets_for, chunks, id_back, keyed, mixed, packed, table, window_hashes, word_hashes
 
 CHUNK = 6 * MB
+CHECK_BASE = 0xD6E8FEB86659FD93
 
 
 def hashed(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -36,6 +43,14 @@ def hashed(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     return windows[inside], row[: len(windows)][inside]
 
 
+def checked(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``hashed``, and a check of each window that does not depend on its hash."""
+    words, row = word_hashes(texts, seed=1)
+    windows = window_hashes(words, size, base=CHECK_BASE)
+    inside = row[: len(windows)] == row[size - 1 :][: len(windows)]
+    return *hashed(texts, size), (windows[inside] >> np.uint64(32)).astype(np.uint32)
+
+
 def _seven(h: np.ndarray) -> bytes:
     """The low seven bytes of each hash; the top byte follows from the bucket."""
     return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
@@ -61,11 +76,23 @@ def bucket_bits(docs: DataFrame, per_bucket: int = 4 * MB) -> int:
     return max(8, int(np.log2(buckets_for(docs, per_bucket))))
 
 
+def _cuts(values: np.ndarray) -> list[tuple[int, int]]:
+    """The runs of equal values."""
+    at = np.r_[0, np.flatnonzero(np.diff(values)) + 1, len(values)].tolist() if len(values) else [0]
+    return list(zip(at[:-1], at[1:], strict=True))
+
+
+def _sorted(h: np.ndarray, check: np.ndarray, then: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The order by hash, check and ``then`` (else as they come), and where in it another window begins."""
+    by = np.lexsort((check, h) if then is None else (then, check, h))
+    return by, np.r_[True, (h[by][1:] != h[by][:-1]) | (check[by][1:] != check[by][:-1])] if len(h) else np.empty(0, bool)
+
+
 def repeats(docs: DataFrame, hash_texts, bits: int, everyone: bool = False) -> DataFrame:
-    """bucket, doc_id and ``hashes`` (eight bytes each) that repeat, of ``hash_texts(texts)``, the hashes and their rows.
+    """bucket, doc_id and ``hashes`` (eight bytes each) that repeat, of ``hash_texts(texts)``: the hashes, their rows and, if any, their checks.
 
-    Returned to a document are the hashes that a document with a smaller id has too; with ``everyone`` all hashes that
-    occur twice or more, in one or several documents.
+    Returned to a document are the hashes that a document with a smaller id has too, some in buckets below zero, which go by
+    document; with ``everyone`` all hashes that occur twice or more, in one or several documents, each once.
     """
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -73,48 +100,50 @@ def repeats(docs: DataFrame, hash_texts, bits: int, everyone: bool = False) -> D
             texts, ids = rows["text"].tolist(), rows["doc_id"].to_numpy(np.int64)
             for a, b in chunks(list(map(len, texts)), CHUNK):
                 order = a + np.argsort(ids[a:b], kind="stable")
-                h, row = hash_texts([texts[i] for i in order])
+                h, row, *checks = hash_texts([texts[i] for i in order])
                 if len(h) == 0:
                     continue
+                check = checks[0] if checks else np.zeros(len(h), np.uint32)
                 doc = ids[order][row]
-                by = np.argsort(h, kind="stable")  # ties stay in the order of ids
-                new = np.r_[True, h[by][1:] != h[by][:-1]]
+                by, new = _sorted(h, check)  # ties stay in the order of ids
                 group = np.cumsum(new) - 1
                 told = np.bincount(group)[group] > 1 if everyone else doc[by] > doc[by][new][group]
-                later = by[told]
-                first = np.sort(by[new])
-                for kind, places in ((0, first), (1, np.sort(later))):
-                    bucket = (h[places] >> np.uint64(64 - bits)).astype(np.int64)
-                    places = places[np.argsort(bucket, kind="stable")]
-                    bucket.sort()
-                    cuts = np.r_[0, np.flatnonzero(np.diff(bucket)) + 1, len(bucket)]
+                top = (h >> np.uint64(64 - bits)).astype(np.int64)
+                spread = top if everyone else -1 - (mixed(doc.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+                for kind, places, bucket in ((0, np.sort(by[new]), top), (1, np.sort(by[told]), spread)):
+                    places = places[np.argsort(bucket[places], kind="stable")]
                     if len(places):
                         yield pd.DataFrame([
-                            {"bucket": int(bucket[x]), "kind": kind, "hashes": _seven(h[places[x:y]]), "ids": _steps(doc[places[x:y]])}
-                            for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)
+                            {
+                                "bucket": int(bucket[places[x]]), "kind": kind, "hashes": _seven(h[places[x:y]]) if bucket[places[x]] >= 0 else h[places[x:y]].astype("<u8").tobytes(),
+                                "checks": check[places[x:y]].astype("<u4").tobytes() if checks and kind == 0 else b"", "ids": _steps(doc[places[x:y]]),
+                            }
+                            for x, y in _cuts(bucket[places])
                         ])
 
     def judged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        top = key[0] >> (bits - 8)
-        both = {k: ([np.empty(0, np.uint64)], [np.empty(0, np.int64)]) for k in (0, 1)}
-        for kind, hashes, ids in zip(rows["kind"], rows["hashes"], rows["ids"], strict=True):
-            both[kind][0].append(_eight(hashes, top))
-            both[kind][1].append(_ids(ids))
-        h, doc = map(np.concatenate, both[0])
-        by = np.lexsort((doc, h))
+        top, told = key[0] >> (bits - 8), ([np.empty(0, np.uint64)], [np.empty(0, np.int64)])
+        first = ([np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint32)])
+        for kind, hashes, checks, ids in zip(rows["kind"], rows["hashes"], rows["checks"], rows["ids"], strict=True):
+            into = told if kind else first
+            into[0].append(_eight(hashes, top) if key[0] >= 0 else np.frombuffer(hashes, "<u8"))
+            into[1].append(_ids(ids))
+            if not kind:
+                first[2].append(np.frombuffer(checks, "<u4") if checks else np.zeros(len(into[0][-1]), np.uint32))
+        h, doc, check = map(np.concatenate, first)
+        by, new = _sorted(h, check, doc)
         h, doc = h[by], doc[by]
-        new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, bool)
         group = np.cumsum(new) - 1
         later = new if len(h) == 0 else np.bincount(group)[group] > 1 if everyone else doc > doc[new][group]
-        h, doc = np.concatenate([h[later], *both[1][0]]), np.concatenate([doc[later], *both[1][1]])
+        h, doc = np.concatenate([h[later], *told[0]]), np.concatenate([doc[later], *told[1]])
         by = np.lexsort((h, doc))
         h, doc = h[by], doc[by]
         once = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.empty(0, bool)
         h, doc = h[once], doc[once]
-        cuts = np.r_[0, np.flatnonzero(np.diff(doc)) + 1, len(doc)] if len(doc) else np.zeros(1, int)
-        return pd.DataFrame({"bucket": key[0], "doc_id": doc[cuts[:-1]], "hashes": [h[x:y].tobytes() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]})
+        cuts = _cuts(doc)
+        return pd.DataFrame({"bucket": key[0], "doc_id": doc[[x for x, _ in cuts]] if cuts else doc, "hashes": [h[x:y].tobytes() for x, y in cuts]})
 
-    found = keyed(docs).mapInPandas(dealt, "bucket long, kind int, hashes binary, ids binary")
+    found = keyed(docs).mapInPandas(dealt, "bucket long, kind int, hashes binary, checks binary, ids binary")
     return found.groupBy("bucket").applyInPandas(judged, "bucket long, doc_id long, hashes binary")
 
 
@@ -131,10 +160,11 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
     """doc_id (null: the last key), n_words, n_removed, the removed ``spans`` (words, end exclusive) and the kept words as ``kept`` bytes."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        plain = zstandard.ZstdDecompressor()
         for rows in batches:
-            for a, b in chunks([len(t) for t in rows["text"]], CHUNK):
+            for a, b in chunks([3 * len(t) for t in rows["text"]], CHUNK):  # packed to about a third
                 out = []
-                for text, found in zip(rows["text"].iloc[a:b], rows["found"].iloc[a:b], strict=True):
+                for text, found in zip(map(plain.decompress, rows["text"].iloc[a:b]), rows["found"].iloc[a:b], strict=True):
                     words, spans = text.split(), []
                     n, kept = len(words), words
                     if found is not None and len(found):
@@ -147,8 +177,8 @@ def remove_repeats(docs: DataFrame, size: int = 13) -> DataFrame:
                     out.append((n, n - len(kept), [{"start": x, "end": y} for x, y in spans], b" ".join(kept)))
                 yield pd.DataFrame(out, columns=["n_words", "n_removed", "spans", "kept"]).assign(doc_id=rows["doc_id"].iloc[a:b].to_numpy())
 
-    found = repeats(docs, lambda texts: hashed(texts, size), bucket_bits(docs)).groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
-    return keyed(docs).join(found, "doc_id", "left").mapInPandas(cut, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
+    found = repeats(docs, lambda texts: checked(texts, size), bucket_bits(docs)).groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
+    return packed(docs).join(found, "doc_id", "left").mapInPandas(cut, "doc_id long, n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept binary")
 
 
 def op5_windows(spark, sf_dir: str) -> DataFrame:

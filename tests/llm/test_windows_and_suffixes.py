@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lamina.llm import suffixes, windows
 
@@ -135,3 +136,32 @@ def test_long_text_without_spaces_and_word_hashes():
     long = b" ".join(b"w%d" % (i % 1000) for i in range(900_000))
     h, row = word_hashes([b"w1", long])
     assert len(h) == 900_001 and h[0] == h[2] and row.tolist()[:2] == [0, 1] and len(set(h.tolist())) == 1000
+
+
+def test_words_made_to_collide_remove_nothing(docs_of):
+    """Two texts over two letters whose polynomials modulo 2**64 are equal for any base."""
+    x = "ab"
+    while len(x) < 1024:
+        x += x.translate(str.maketrans("ab", "ba"))
+    y = x.translate(str.maketrans("ab", "ba"))
+    tail = [f"t{i}" for i in range(12)]
+    rows = [(1, " ".join([x, *tail])), (2, " ".join([y, *tail])), (3, " ".join([x, *tail]))]
+    assert windows_of(docs_of(rows)) == by_words(rows, 13)
+    assert [r[2] for r in windows_of(docs_of(rows))] == [0, 0, 13]
+
+
+def test_equal_hashes_are_told_apart_by_their_checks():
+    h = np.array([7, 7, 7, 7], np.uint64)
+    by, new = windows._sorted(h, np.array([2, 1, 2, 1], np.uint32))
+    assert by.tolist() == [1, 3, 0, 2] and new.tolist() == [True, False, True, False]
+
+
+def test_a_passage_of_a_third_of_all_documents_is_spread(docs_of, monkeypatch):
+    monkeypatch.setattr(windows, "CHUNK", 1 << 40)
+    hot = " ".join(f"hot{i}" for i in range(40))
+    rows = [(i, f"own{i} {hot} own{i}" if i % 3 == 0 else f"other{i} " * 20) for i in range(600)]
+    docs = docs_of(rows)
+    assert windows_of(docs) == by_words(rows, 13)
+    found = windows.repeats(docs.repartition(1), lambda texts: windows.checked(texts, 13), 8)
+    largest = max(r["n"] for r in found.groupBy("bucket").agg(F.sum(F.length("hashes") / 8).alias("n")).collect())
+    assert largest < 10 * 28  # each of its 28 windows meets in a bucket once per chunk; the rest goes by document
