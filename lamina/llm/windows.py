@@ -1,15 +1,15 @@
 """Repeated word windows: each window of a fixed number of words is hashed, counted in Spark and cut from later documents.
 
 A task hashes all windows of its texts by Rabin-Karp (Horner's rule over word hashes modulo 2**64, mixed). Hashes are dealt to
-buckets by their top bits, packed in binary columns, and with each travels a check of 32 bits, of other word hashes and another
-base, so the shuffle carries about 13 bytes a window. Before that a task keeps one entry per hash and chunk of texts, that of the
+buckets by their top bits, packed in binary columns, and with each travels a check of 24 bits, of other word hashes and another
+base, so the shuffle carries about 12 bytes a window. Before that a task keeps one entry per hash and chunk of texts, that of the
 smallest document: a window that a third of all documents share reaches its bucket once per chunk. The other documents of
 the chunk have to drop the window in any case; they do not meet in its bucket but are spread by document. A bucket finds the smallest
 document of each hash and returns the hashes that other documents have to drop; these meet the texts again by doc_id, overlapping
 windows merge into maximal intervals, and the words inside go.
 
-Windows are equal if their hashes and checks, 96 bits, are: among 10**13 different windows (100 TB) a false match has a chance of
-about one in 1,500. Words are hashed eight bytes at a time, each mixed with its place, so that no pattern of letters makes them collide.
+Windows are equal if their hashes and checks, 88 bits, are: among 10**12 different windows (10 TB) a false match has a chance of
+about one in 600, among 10**13 of one in six. Words are hashed eight bytes at a time, each mixed with its place, so that no pattern of letters makes them collide.
 Memory: a bucket holds about ``per_bucket`` bytes of input, as the number of buckets follows Spark's statistics, and a text is
 held whole.
 
@@ -48,17 +48,17 @@ def checked(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.n
     words, row = word_hashes(texts, seed=1)
     windows = window_hashes(words, size, base=CHECK_BASE)
     inside = row[: len(windows)] == row[size - 1 :][: len(windows)]
-    return *hashed(texts, size), (windows[inside] >> np.uint64(32)).astype(np.uint32)
+    return *hashed(texts, size), (windows[inside] >> np.uint64(40)).astype(np.uint32)
 
 
-def _seven(h: np.ndarray) -> bytes:
-    """The low seven bytes of each hash; the top byte follows from the bucket."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+def _low(values: np.ndarray, width: int) -> bytes:
+    """The low bytes of each number; of a hash seven, as the top byte follows from the bucket."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def _eight(data: bytes, top: int) -> np.ndarray:
-    out = np.empty((len(data) // 7, 8), np.uint8)
-    out[:, :7] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+def _whole(data: bytes, width: int, top: int = 0) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
     out[:, 7] = top
     return out.reshape(-1).view("<u8")
 
@@ -115,8 +115,8 @@ def repeats(docs: DataFrame, hash_texts, bits: int, everyone: bool = False) -> D
                     if len(places):
                         yield pd.DataFrame([
                             {
-                                "bucket": int(bucket[places[x]]), "kind": kind, "hashes": _seven(h[places[x:y]]) if bucket[places[x]] >= 0 else h[places[x:y]].astype("<u8").tobytes(),
-                                "checks": check[places[x:y]].astype("<u4").tobytes() if checks and kind == 0 else b"", "ids": _steps(doc[places[x:y]]),
+                                "bucket": int(bucket[places[x]]), "kind": kind, "hashes": _low(h[places[x:y]], 7 if bucket[places[x]] >= 0 else 8),
+                                "checks": _low(check[places[x:y]], 3) if checks and kind == 0 else b"", "ids": _steps(doc[places[x:y]]),
                             }
                             for x, y in _cuts(bucket[places])
                         ])
@@ -126,10 +126,10 @@ def repeats(docs: DataFrame, hash_texts, bits: int, everyone: bool = False) -> D
         first = ([np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.uint32)])
         for kind, hashes, checks, ids in zip(rows["kind"], rows["hashes"], rows["checks"], rows["ids"], strict=True):
             into = told if kind else first
-            into[0].append(_eight(hashes, top) if key[0] >= 0 else np.frombuffer(hashes, "<u8"))
+            into[0].append(_whole(hashes, 7, top) if key[0] >= 0 else np.frombuffer(hashes, "<u8"))
             into[1].append(_ids(ids))
             if not kind:
-                first[2].append(np.frombuffer(checks, "<u4") if checks else np.zeros(len(into[0][-1]), np.uint32))
+                first[2].append(_whole(checks, 3).astype(np.uint32) if checks else np.zeros(len(into[0][-1]), np.uint32))
         h, doc, check = map(np.concatenate, first)
         by, new = _sorted(h, check, doc)
         h, doc = h[by], doc[by]
