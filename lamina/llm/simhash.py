@@ -33,6 +33,7 @@ from lamina.llm.common import MB, NO_ID, at_hand, buckets_for, chunks, id_back,
 
 SAMPLE = 8192  # fingerprints that the tree of shards is fitted on
 SAMPLED, COMMON = 20_000, 200_000  # texts that show which shingles are common, and how many of these are told apart
+PLACE = 1000  # sets that meet the set of one key in one place
 DEEPEST = 9  # levels of a tree of shards; further shards are told apart by a hash of the blocks
 SMALL = 64  # fingerprints with blocks in common that are compared without a tree
 _LEAF = 1 << 15  # pairs that are compared without a further vantage point
@@ -362,7 +363,10 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
     Every proposed pair is settled by the whole sets.
     """
     at_hand(docs.sparkSession)
+    least = prints.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    least = stored(least.select("key", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash")), "least")
     docs = docs.select("doc_id", "text")
+    docs = docs.join(least, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("one_id")) & (text_hash() == F.col("one_hash")))  # one text per set
     common, often = _common(docs, size, min(1.0, SAMPLED / max(1, prints.count())))
     bits = max(6, int(np.log2(buckets_for(docs, 16 * MB))))
 
@@ -407,7 +411,7 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
     places = keyed(docs).mapInPandas(dealt, "bucket long, h binary, key binary, n binary").groupBy("bucket")
     lists = stored(places.applyInPandas(listed, "h long, key long, n int, large boolean, pivot long, pivot_n int"), "lists")
     stars = lists.where("key <> pivot AND 5 * least(n, pivot_n) >= 4 * greatest(n, pivot_n)")
-    links = _settled(docs, prints, size, stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")))
+    links = _settled(docs, size, stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")))
     classes = components(links.union(known))
     large = lists.where("large").join(classes, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
     large = stored(large, "lists")
@@ -416,30 +420,45 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
     some = large.join(apart, "h", "left_semi")
     like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
     pairs = some.alias("a").join(some.alias("b"), like & (F.col("a.root") < F.col("b.root")))
-    links = links.union(_settled(docs, prints, size, pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))))
-    unstore(large)
+    links = links.union(_settled(docs, size, pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))))
+    unstore(large, least)
     return links
 
 
-def _settled(docs: DataFrame, prints: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more."""
+def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more; ``docs`` has one text per key.
+
+    One shuffle brings the set of each b to its a. The set of a comes first there and is held while those of the others pass by; an a with
+    many others is dealt to several places.
+    """
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    places = pairs.groupBy("a").agg(F.expr(f"count(*) div {PLACE} + 1").alias("places"))
+    others = pairs.join(places, "a").select(F.col("b").alias("key"), "a", F.expr("pmod(xxhash64(b), places)").alias("place"))
+    centres = places.select(F.col("a").alias("key"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"))
+    wanted = stored(others.union(centres).groupBy("key").agg(F.collect_list(F.struct("a", "place")).alias("to")), "wanted")
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for _, sets, keys in _sets(rows, size):
-                some = dict(zip(keys, sets, strict=True))
-                yield pd.DataFrame({"key": list(some), "hashes": [x.view(np.int64) for x in some.values()]})
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = prints.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("text_hash").alias("wanted"))
-    wanted = stored(wanted.select("wanted").distinct(), "wanted")  # one text per set, before any set is shuffled
-    sets = keyed(docs.join(wanted, text_hash() == F.col("wanted"), "left_semi")).mapInPandas(made, "key long, hashes array<long>")
-    sets = stored(sets.groupBy("key").agg(F.first("hashes").alias("hashes")), "sets")
-    x, y = sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("key").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.join(x, "a").join(y, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
-    similar = stored(both.where(9 * F.col("shared") >= 4 * (F.size("x") + F.size("y"))).select("a", "b"), "similar")
-    unstore(pairs, wanted, sets)
+            for part, sets, _ in _sets(rows, size):
+                yield pd.DataFrame({"key": part["key"], "to": part["to"], "hashes": [x.tobytes() for x in sets]})
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, np.empty(0, np.uint64)
+        for rows in batches:
+            found = []
+            for a, key, place, hashes in zip(rows["a"].tolist(), rows["key"].tolist(), rows["place"].tolist(), rows["hashes"], strict=True):
+                x = np.frombuffer(hashes, np.uint64)
+                if a == key:
+                    at, held = (a, place), x
+                elif at == (a, place) and 9 * len(np.intersect1d(held, x, assume_unique=True)) >= 4 * (len(held) + len(x)):
+                    found.append((a, key))
+            yield pd.DataFrame({"a": np.array([a for a, _ in found], np.int64), "b": np.array([b for _, b in found], np.int64)})
+
+    sets = keyed(docs.join(wanted, "key"), "key", "to").mapInPandas(made, "key long, to array<struct<a: long, place: long>>, hashes binary")
+    sets = sets.select("key", F.explode("to").alias("to"), "hashes").select("key", "to.a", "to.place", "hashes").repartition("a", "place")
+    sets = sets.sortWithinPartitions("a", "place", F.col("key") != F.col("a"))
+    similar = stored(sets.mapInPandas(compared, "a long, b long").distinct(), "similar")
+    unstore(pairs, wanted)
     return similar
 
 
