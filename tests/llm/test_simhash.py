@@ -159,3 +159,13 @@ def test_similar_sets_against_all_pairs(docs_of):
             parent[max(a, b)] = min(a, b)
     kept = {r["doc_id"] for r in simhash.keep_one(docs_of(rows)).collect()}
     assert kept == {find(i) for i in sets}
+
+
+def test_pairs_of_a_set_with_many_partners_are_settled_in_several_places(docs_of, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(simhash, "PLACE", 2)
+    base = [f"w{i}" for i in range(100)]
+    docs = docs_of([(i, " ".join(base + ([f"x{i}"] if i < 8 else [f"z{i}_{k}" for k in range(60)]))) for i in range(12)])
+    a, b = docs.select(F.col("doc_id").alias("a")), docs.select(F.col("doc_id").alias("b"))
+    found = simhash._settled(docs.withColumn("key", F.col("doc_id")), 5, a.join(b, F.col("a") < F.col("b")))
+    assert sorted((r["a"], r["b"]) for r in found.collect()) == [(x, y) for x in range(8) for y in range(x + 1, 8)]
