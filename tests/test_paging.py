@@ -83,3 +83,19 @@ def test_page_size():
     assert paging.page_size() == 50_000
     assert paging.page_size(80_000) == 80_000
     assert paging.page_size(1000, 30) == 30
+
+
+@pytest.mark.parametrize("keys", [["a"], ["a", "b"], ["c"], ["d", "a"]])
+def test_rows_of_all_pages_in_one_pass(spark, keys):
+    made = spark.range(900).selectExpr("CASE WHEN id % 7 > 0 THEN CAST(id % 41 AS DOUBLE) / 3 END a", "CASE id % 3 WHEN 0 THEN 'é' WHEN 1 THEN '\"\\\\' END b",
+        "timestamp_micros(1600000000000001 + id % 50) c", "CASE WHEN id % 5 = 0 THEN CAST('NaN' AS FLOAT) ELSE CAST(id % 4 AS FLOAT) / 7 END d", "id")
+    walk = paging.keyset_walk(made, keys, 40)
+    want = {r.id: page for page, rows in walk for r in rows.select("id").collect()}
+    whole = walk.rows("p")
+    assert {r.id: r.p for r in whole.collect()} == want and len(want) == 900 and len(set(want.values())) > 5
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and "Exchange" not in plan and plan.count("Range (") == 1  # however many pages there are
+
+
+def test_rows_of_all_pages_of_an_empty_table(spark):
+    assert paging.keyset_walk(spark.range(0), "id", 10).rows().collect() == []
