@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,40 @@ def test_rejected_json(spark, tmp_path):
     assert sorted(map(str, (tuple(r)[:2] for r in routed.good.collect()))) == sorted(map(str, [(1, "x"), (None, "y"), (7, None), (8, None)]))
     assert sorted(r["record"] for r in routed.bad.collect()) == sorted(['{"a":"no"}', "5", "null", '[{"a": 7}'])
     assert routed.good.count() == routed.bad.count() == 4
+
+
+def test_pages_share_their_jobs(spark, tmp_path):
+    jobs = lambda: spark.sparkContext.statusTracker().getJobIdsForGroup("pages")
+    table = spark.range(0, 1200, 2).selectExpr("IF(id % 100 = 0, NULL, id) AS k", "id AS v", "CAST(id AS STRING) AS s")
+    extract = KeysetExtract(spark, str(tmp_path / "x"), ["k", "v"], 20)
+    spark.sparkContext.setJobGroup("pages", "")
+    assert extract.run(table) == list(range(1, 31))
+    first = len(jobs())
+    grown = table.union(spark.sql("SELECT id AS k, id AS v, 'new' AS s FROM range(1, 1200, 80)")).union(spark.sql("SELECT 5000L, 1L, 'end'"))
+    written = extract.run(grown.filter("k IS NULL OR k NOT BETWEEN 30 AND 70"))
+    assert written[-1] == 31 and 12 < len(written) < 31 and len(set(written)) == len(written) and extract.run(grown.filter("k IS NULL OR k NOT BETWEEN 30 AND 70")) == []
+    spark.sparkContext.setJobGroup("", "")
+    assert first < 40 and len(jobs()) < 120  # a page alone takes two or more
+    found = files.route_csv(spark, [extract.page_path(m["page"]) for m in extract.marks()], table.schema, null_mark=files.NULL_MARK).good.drop(files.FILE)
+    want = grown.filter("k IS NULL OR k NOT BETWEEN 30 AND 70")
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    alone = KeysetExtract(spark, str(tmp_path / "y"), ["k", "v"], 10**6)
+    alone.run(want.filter("v = 100"))
+    assert sum(m["rows"] for m in extract.marks()) == want.count() and alone.marks()[0]["content_hash"]
+
+
+def test_hash_of_a_page_is_the_same_alone_and_together(spark, tmp_path):
+    table = spark.range(40).selectExpr("id AS k", "id / 7 AS page", "timestamp_micros(id * 1000001) AS t")
+    together = KeysetExtract(spark, str(tmp_path / "x"), ["k"], 10)
+    together.run(table.withColumnRenamed("page", "p"))
+    alone = KeysetExtract(spark, str(tmp_path / "y"), ["k"], 10)  # a column of that name keeps pages apart
+    alone.run(table)
+    kept = lambda e: [(m["page"], m["last"], m["rows"], m["content_hash"]) for m in e.marks()]
+    assert kept(together) == kept(alone) and len(kept(alone)) == 4
+
+
+def test_appends_of_threads_are_all_kept(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: lake.append(spark.range(i, i + 1), "runs", "log"), range(24)))
+    assert sorted(r.id for r in lake.read("runs", "log").collect()) == list(range(24))
