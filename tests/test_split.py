@@ -96,3 +96,16 @@ def test_json_as_one_task_reads_it(spark, tmp_path, blocks, size, indent):
     want = found(files.route_json(spark, str(tmp_path), kind))
     assert found(split.scan_json(spark, str(tmp_path), kind)) == want
     assert len(want[0]) == len(rows) - 2 + 1 + 3 and len(want[1]) == 2 + 3
+
+
+def test_the_writer_of_one_file_gets_no_whole_texts(spark, monkeypatch, tmp_path):
+    from lamina.plans import queries
+
+    seen, write = [], files.write_csv
+    monkeypatch.setattr(queries.files, "write_csv", lambda df, path: (seen.append(df), write(df, path)))
+    made = spark.range(50).selectExpr("id AS doc_id", "'en' AS lang", "repeat('long text ', 90) AS text", "900L AS n_chars")
+    made.write.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.QUERIES["csv_split_scan"](spark, str(tmp_path)).count() == 50
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce" not in plan and plan.index("Exchange") < plan.index("substring") < plan.index("Scan parquet")
+    assert seen[0].rdd.getNumPartitions() == 1
