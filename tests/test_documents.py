@@ -101,3 +101,14 @@ def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
     assert sorted(tuple(r) for r in pages.collect()) == [
         (f"{base}/good.pdf", 1, "one"), (f"{base}/good.pdf", 2, "two"), (f"{base}/other/good.pdf", 1, "three"), (f"{base}/other/good.pdf", 2, ""),
     ]
+
+
+def test_a_long_document_is_shared_among_tasks(spark):
+    pages = spark.range(5000).selectExpr("'d' AS source_file", "CAST(IF(id = 7, NULL, id * 3) AS INT) AS page_number", "CONCAT('p', id) AS text")
+    found = documents.document_text(documents.page_records(pages), 100)
+    row = found.collect()[0]
+    want = "\n\n".join(["p7", *[f"p{i}" for i in range(5000) if i != 7]])
+    assert (row.total_pages, row.total_characters) == (5000, sum(len(f"p{i}") for i in range(5000)))
+    assert row.full_text in (want[:100], want.replace("p7\n\n", "", 1)[:100])
+    dealt = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "REPARTITION" in x]
+    assert dealt and all("block" in x for x in dealt)  # not by document alone
