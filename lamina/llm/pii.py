@@ -4,9 +4,9 @@ Four base kinds are found by their patterns and checks: e-mail and IP addresses,
 Luhn's check) and phone numbers (9 to 15 digits). Generators of high recall propose further spans, which may overlap: addresses
 written with " at " and " dot ", numbers in groups without a country code, long runs of digits, and secrets such as keys
 and tokens. Gradient-boosted trees (Spark ML) judge them by format (length, shares of character classes, separators) and
-context (words before, characters around). They learn, on a bounded sample of candidates of the same documents, what the
+context (words before, characters around). They learn, on two thirds of the candidates of the same documents, what the
 checks say of the candidates that the checks can judge: base spans, and secrets that are assigned to a name. Scores are
-calibrated in steps on another part of the sample, and per kind the lowest threshold of the precision asked for selects
+calibrated in steps on the other third, and per kind the lowest threshold of the precision asked for selects
 the spans. Of overlapping ones the better stays, and none overlaps a base span.
 
 Everything runs as DataFrame functions and Spark ML. Texts are read once; candidates are stored, without texts.
@@ -137,21 +137,23 @@ def candidates(spans: DataFrame) -> DataFrame:
     return rows.withColumns({"label": label, "kind": F.col("kind").cast("double")}).drop("assigned", "numbers", "valid")
 
 
-def select_spans(found: DataFrame, precision: float = 0.9, sample: int = 20_000, least: int = 30) -> DataFrame:
+def select_spans(found: DataFrame, precision: float = 0.9, least: int = 30) -> DataFrame:
     """rid, kind, start, stop and score of the proposals that the trees accept.
 
+    The trees and the thresholds come from all candidates that have a label; only the bins of features that Spark ML's trees split at are
+    quantiles of its own sample of the rows.
     With fewer than ``least`` examples of either label no trees are grown, and the generators' own checks decide: a proposal is accepted, at
     score 1, unless its label is 0. They decide as well for kinds that have no example left to calibrate a threshold on.
     """
     checked = F.coalesce(F.col("label") == 1, F.lit(True))
     columns = ["rid", F.col("kind").cast("int").alias("kind"), "start", "stop"]
     order = F.xxhash64("rid", "start", "stop", "kind")
-    known = found.where("label is not null").orderBy(order, "rid", "start", "stop", "kind").limit(sample)
-    known = stored(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known.withColumn("part", F.pmod(order, F.lit(3)))), "pii-sample")
+    known = found.where("label is not null").withColumn("part", F.pmod(order, F.lit(3)))
+    known = stored(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(known), "pii-labelled")
     sizes = {r["label"]: r["count"] for r in known.where("part < 2").groupBy("label").count().collect()}
     if min(sizes.get(0.0, 0), sizes.get(1.0, 0)) < least:
         return found.where(~F.col("is_base") & checked).select(*columns, F.lit(1.0).alias("score"))
-    trees = GBTClassifier(labelCol="label", maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(known.where("part < 2").repartition(2).select("features", "label"))
+    trees = GBTClassifier(labelCol="label", maxIter=12, maxDepth=4, stepSize=0.3, seed=7).fit(known.where("part < 2").select("features", "label"))
     score = F.floor(vector_to_array("probability")[1] * 20) / 20
     # calibration: per kind and step, the precision of all candidates from that step on
     steps = trees.transform(known.where("part = 2")).groupBy("kind", score.alias("score")).agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect()
