@@ -29,10 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.common import MB, NO_ID, at_hand, buckets_for, chunks, id_back, keyed, mixed, stored, table, unstore, window_hashes, word_hashes
+from lamina.llm.common import MB, NO_ID, at_hand, chunks, id_back, keyed, mixed, stored, table, unstore, window_hashes, word_hashes
 
 SAMPLE = 8192  # fingerprints that the tree of shards is fitted on
 SAMPLED, COMMON = 20_000, 200_000  # texts that show which shingles are common, and how many of these are told apart
+PLACED = 1 << 20  # entries of prefixes that meet in one bucket, on average
 PLACE = 1000  # sets that meet the set of one key in one place
 DEEPEST = 9  # levels of a tree of shards; further shards are told apart by a hash of the blocks
 SMALL = 64  # fingerprints with blocks in common that are compared without a tree
@@ -342,14 +343,23 @@ def _common(docs: DataFrame, size: int, share: float) -> tuple[np.ndarray, np.nd
 
 
 def set_keys(docs: DataFrame, size: int = 5) -> DataFrame:
-    """Of each row doc_id (null: the last key), text_hash and key, a hash of its set of shingles."""
+    """Of each row doc_id (null: the last key), text_hash, key, a hash of its set of shingles, and n, the size of the set."""
 
     def printed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for part, _, keys in _sets(rows, size):
-                yield pd.DataFrame({"doc_id": part["doc_id"], "text_hash": part["text_hash"], "key": keys})
+            for part, sets, keys in _sets(rows, size):
+                yield pd.DataFrame({"doc_id": part["doc_id"], "text_hash": part["text_hash"], "key": keys, "n": list(map(len, sets))})
 
-    return stored(keyed(docs, text_hash().alias("text_hash")).mapInPandas(printed, "doc_id long, text_hash long, key long"), "sets")
+    return stored(keyed(docs, text_hash().alias("text_hash")).mapInPandas(printed, "doc_id long, text_hash long, key long, n long"), "sets")
+
+
+def bucket_bits(sets: DataFrame) -> int:
+    """Of the hash of a shingle, the bits that name its bucket: PLACED entries of prefixes a bucket, by the sizes ``n`` of the sets.
+
+    Spark's statistics would not do: of a join they are the product of its sides, which made millions of buckets.
+    """
+    entries = sets.agg(F.sum(F.expr("n - (4 * n + 4) div 5 + 1"))).first()[0] or 0
+    return max(6, math.ceil(math.log2(max(1, entries / PLACED))))
 
 
 def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int = 5) -> DataFrame:
@@ -363,12 +373,12 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
     Every proposed pair is settled by the whole sets.
     """
     at_hand(docs.sparkSession)
-    least = prints.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    least = stored(least.select("key", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash")), "least")
-    docs = docs.select("doc_id", "text")
-    docs = docs.join(least, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("one_id")) & (text_hash() == F.col("one_hash")))  # one text per set
+    least = prints.groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
+    least = stored(least.select("key", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash"), "n"), "least")
+    bits = bucket_bits(least)
+    texts, places = docs.select("doc_id", "text"), least.drop("n")
+    docs = one_text(texts, places)
     common, often = _common(docs, size, min(1.0, SAMPLED / max(1, prints.count())))
-    bits = max(6, int(np.log2(buckets_for(docs, 16 * MB))))
 
     def dealt(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -408,10 +418,10 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
         least, some = first[group], many > 1
         return pd.DataFrame({"h": h[some], "key": key[some], "n": n[some], "large": many[some] > 2, "pivot": key[least][some], "pivot_n": n[least][some]})
 
-    places = keyed(docs).mapInPandas(dealt, "bucket long, h binary, key binary, n binary").groupBy("bucket")
-    lists = stored(places.applyInPandas(listed, "h long, key long, n int, large boolean, pivot long, pivot_n int"), "lists")
+    entries = keyed(docs).mapInPandas(dealt, "bucket long, h binary, key binary, n binary").groupBy("bucket")
+    lists = stored(entries.applyInPandas(listed, "h long, key long, n int, large boolean, pivot long, pivot_n int"), "lists")
     stars = lists.where("key <> pivot AND 5 * least(n, pivot_n) >= 4 * greatest(n, pivot_n)")
-    links = _settled(docs, size, stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")))
+    links = _settled(texts, size, stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")), places)
     classes = components(links.union(known))
     large = lists.where("large").join(classes, F.col("key") == F.col("node"), "left").select("h", "key", "n", F.coalesce("root", "key").alias("root"))
     large = stored(large, "lists")
@@ -420,13 +430,19 @@ def similar_sets(docs: DataFrame, prints: DataFrame, known: DataFrame, size: int
     some = large.join(apart, "h", "left_semi")
     like = (5 * F.least("a.n", "b.n") >= 4 * F.greatest("a.n", "b.n")) & (F.col("a.h") == F.col("b.h"))
     pairs = some.alias("a").join(some.alias("b"), like & (F.col("a.root") < F.col("b.root")))
-    links = links.union(_settled(docs, size, pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))))
+    links = links.union(_settled(texts, size, pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")), places))
     unstore(large, least)
     return links
 
 
-def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more; ``docs`` has one text per key.
+def one_text(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs that stand for a set, with the columns of ``keys``: one_id and one_hash name the row."""
+    return docs.join(keys, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("one_id")) & (text_hash() == F.col("one_hash")))
+
+
+def _settled(docs: DataFrame, size: int, pairs: DataFrame, least: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) of keys whose sets have a Jaccard similarity of 4/5 or more; ``docs`` has one text per key, or ``least`` says
+    which of its rows stand for a key (the texts are then shuffled once, to the keys that are wanted).
 
     One shuffle brings the set of each b to its a. The set of a comes first there and is held while those of the others pass by; an a with
     many others is dealt to several places.
@@ -454,7 +470,8 @@ def _settled(docs: DataFrame, size: int, pairs: DataFrame) -> DataFrame:
                     found.append((a, key))
             yield pd.DataFrame({"a": np.array([a for a, _ in found], np.int64), "b": np.array([b for _, b in found], np.int64)})
 
-    sets = keyed(docs.join(wanted, "key"), "key", "to").mapInPandas(made, "key long, to array<struct<a: long, place: long>>, hashes binary")
+    found = docs.join(wanted, "key") if least is None else one_text(docs, wanted.join(least, "key"))
+    sets = keyed(found, "key", "to").mapInPandas(made, "key long, to array<struct<a: long, place: long>>, hashes binary")
     sets = sets.select("key", F.explode("to").alias("to"), "hashes").select("key", "to.a", "to.place", "hashes").repartition("a", "place")
     sets = sets.sortWithinPartitions("a", "place", F.col("key") != F.col("a"))
     similar = stored(sets.mapInPandas(compared, "a long, b long").distinct(), "similar")

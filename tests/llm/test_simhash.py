@@ -169,3 +169,17 @@ def test_pairs_of_a_set_with_many_partners_are_settled_in_several_places(docs_of
     a, b = docs.select(F.col("doc_id").alias("a")), docs.select(F.col("doc_id").alias("b"))
     found = simhash._settled(docs.withColumn("key", F.col("doc_id")), 5, a.join(b, F.col("a") < F.col("b")))
     assert sorted((r["a"], r["b"]) for r in found.collect()) == [(x, y) for x in range(8) for y in range(x + 1, 8)]
+
+
+def test_buckets_follow_the_sets_and_not_the_statistics_of_a_join(docs_of, monkeypatch):
+    spark = docs_of([(1, "a")]).sparkSession
+    assert simhash.bucket_bits(spark.range(10).selectExpr("100 AS n")) == 6
+    assert simhash.bucket_bits(spark.range(10).selectExpr("100L << 30 AS n")) == 18
+    assert simhash.bucket_bits(spark.range(0).selectExpr("id AS n")) == 6
+    used, bits = [], simhash.bucket_bits
+    monkeypatch.setattr(simhash, "bucket_bits", lambda sets: used.append(bits(sets)) or used[-1])
+    words = [[f"w{i // 2}_{k}" for k in range(100)] for i in range(60)]
+    docs = docs_of([(i, " ".join(w[: len(w) - i % 2])) for i, w in enumerate(words)])
+    large = docs.join(spark.range(1000).selectExpr("id AS doc_id"), "doc_id").select("doc_id", "text")  # by its statistics
+    links = simhash.similar_sets(large, simhash.set_keys(docs), spark.createDataFrame([], "a long, b long"))
+    assert used == [6] and links.count() == 30
