@@ -22,6 +22,7 @@ import re
 import struct
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
@@ -29,10 +30,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.common import id_back, keyed, stored, table
+from lamina.llm.common import id_back, keyed, stored, table, unstore
 
 MAGIC, HEAD = b"LTK1", struct.Struct("<4sIQ")
-BLOCK_IDS, CACHED = 1 << 18, 600_000
+BLOCK_IDS, CACHED, KNOWN = 1 << 18, 600_000, 50_000
+_ID = attrgetter("id")
 _SPACES = "\t-\r \x85\xa0  -     　"
 
 
@@ -49,7 +51,8 @@ def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     code = np.zeros(-(-len(v) // 4) * 4, np.uint8)
     code[: len(v)] = size - 1
     control = code.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]]
+    most = int(size.max(initial=1))  # bytes that no value reaches are not looked at
+    data = v.view(np.uint8).reshape(-1, 4)[:, :most][np.arange(most, dtype=np.uint8) < size[:, None]]
     return np.bitwise_or.reduce(control, axis=1).tobytes() if len(v) else b"", data.tobytes()
 
 
@@ -110,14 +113,18 @@ class Encoder(dict):
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in printable]
         self.letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(other)}
-        self.model, self.before, self.old = self.whole.model, before, {}
+        self.space = self.letters[32]
+        self.model, self.before, self.old, self.known = self.whole.model, before, {}, {}
 
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
             stem = piece.rstrip(".,!%&*$#|")
             if stem == piece and stem.isalpha():  # one piece
-                ids = self._one(" " + piece)
+                if piece.isascii():  # letters that stand for themselves
+                    ids = self._named(self.space + piece)
+                else:
+                    ids = self._one(" " + piece)
             elif stem.isalpha():  # letters and signs are always pieces of their own
                 ids = self[stem] + self._ids(piece[len(stem) :])
             else:
@@ -129,12 +136,30 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
+    def _named(self, letters: str) -> bytes:
+        return array("I", map(_ID, self.model.tokenize(letters))).tobytes()
+
     def _one(self, part: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return self._named(part.encode().decode("latin-1").translate(self.letters))
+
+    def _part(self, part: str) -> bytes:
+        """Of one piece; words are kept in the table, signs and the rest apart from it."""
+        if part[0] == " " and part[1:].isalpha():
+            return self[part[1:]]
+        ids = self.known.get(part)
+        if ids is None:
+            ids = self._one(part)
+            if len(part) <= 64:
+                if len(self.known) >= KNOWN:
+                    self.known.clear()
+                self.known[part] = ids
+        return ids
 
     def _ids(self, text: str) -> bytes:
+        if len(text) == 1:  # a sign behind a word
+            return self._part(text)
         parts = self.parts(text) if self.plain.fullmatch(text) else [text[a:b] for _, (a, b) in self.before.pre_tokenize_str(text)]
-        return b"".join(map(self._one, parts))
+        return b"".join(map(self._part, parts))
 
     def encode(self, text: str) -> bytes:
         if not self.pieces or any(a in text for a in self.added):  # the library finds its added tokens before it cuts
@@ -206,6 +231,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "toke
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     raw = stored(sorted_rows.mapInPandas(encoded, "part int, seq int, part_start long, n_ids long, doc_ids binary, lengths binary, ids binary"), f"{name}-raw")
     counts = raw.select("ids").mapInPandas(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()  # the shuffled texts are held until another job has run: see ``stored``
     ids = np.array([r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))], np.int64)
     rank = np.zeros(int(ids.max(initial=0)) + 1, np.uint32)
     rank[ids] = np.arange(len(ids))
@@ -216,6 +242,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, name: str = "toke
             yield rows[["part", "seq", "part_start", "n_ids"]].assign(block=made)
 
     blocks = stored(raw.mapInPandas(ranked, "part int, seq int, part_start long, n_ids long, block binary"), f"{name}-blocks")
+    unstore(raw)
     spark = docs.sparkSession
     ranks = stored(spark.createDataFrame(pd.DataFrame({"rank": np.arange(len(ids)), "id": ids}), "rank long, id long").coalesce(1), f"{name}-ranks")
     return blocks, ranks

@@ -76,3 +76,28 @@ def test_order_of_files(spark, tmp_path, docs_of):
     docs_of([(5, "b"), (1, "c"), (9, "a")]).coalesce(1).write.parquet(str(tmp_path / "d"))
     found = tokens.digest(spark.read.parquet(str(tmp_path / "d")), in_file_order=True).orderBy("start").collect()
     assert [r["doc_id"] for r in found] == [5, 1, 9]
+
+
+def test_signs_and_words_of_new_lines_are_encoded_once(whole, monkeypatch):
+    code, seen = tokens.Encoder(tokens.tokenizer_path()), []
+    named = code.model.tokenize
+
+    class Model:
+        def tokenize(self, letters):
+            seen.append(letters)
+            return named(letters)
+
+    code.model = Model()
+    text = "so one, two, three, été, deux. trois.\none four.\none, été\n\ntwo *** a,, b,, c&&&\none"
+    assert np.frombuffer(code.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert len(seen) == len(set(seen)) and len(seen) > 10
+
+
+def test_ids_before_ranking_are_deleted(spark, docs_of):
+    from pathlib import Path
+
+    from lamina.session import work_dir
+
+    blocks, ranks = tokens.write_tokens(docs_of([(1, "one two"), (2, "one")]), tokens.tokenizer_path(), 2, "gone")
+    left = {p.name.rsplit("-", 1)[0] for p in (Path(work_dir(spark).removeprefix("file://")) / "lamina").glob("llm-gone-*")}
+    assert left == {"llm-gone-blocks", "llm-gone-ranks"} and blocks.count() == 1 and ranks.count() > 1
