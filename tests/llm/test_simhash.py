@@ -183,3 +183,22 @@ def test_buckets_follow_the_sets_and_not_the_statistics_of_a_join(docs_of, monke
     large = docs.join(spark.range(1000).selectExpr("id AS doc_id"), "doc_id").select("doc_id", "text")  # by its statistics
     links = simhash.similar_sets(large, simhash.set_keys(docs), spark.createDataFrame([], "a long, b long"))
     assert used == [6] and links.count() == 30
+
+
+def test_sketches_leave_out_no_similar_pair(spark):
+    rng = np.random.default_rng(4)
+    sets, similar = [], set()
+    for n in (1, 9, 40, 300, 2000):
+        base = rng.integers(0, 2**64, n, dtype=np.uint64)
+        for share in (0, 0.05, 0.1, 0.2, 0.5, 1):
+            kept = base[round(share * n) :]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**64, n // 9 if share else 0, dtype=np.uint64)])))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        apart = len(np.setxor1d(sets[a], sets[b]))
+        assert simhash.sketch_distance(simhash.sketch(sets[a]), simhash.sketch(sets[b])) <= apart
+        if 9 * apart <= len(sets[a]) + len(sets[b]):
+            similar.add((a, b))
+    table = spark.createDataFrame([(i, len(x), bytearray(simhash.sketch(x))) for i, x in enumerate(sets)], "key long, n long, sketch binary")
+    pairs = spark.createDataFrame(list(itertools.combinations(range(len(sets)), 2)), "a long, b long")
+    found = {(r["a"], r["b"]) for r in simhash.possible(pairs, table).collect()}
+    assert similar <= found and len(similar) > 5 and len(found) < 2 * len(similar) + 10
