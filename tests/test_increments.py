@@ -271,3 +271,31 @@ def test_appends_of_threads_are_all_kept(spark, tmp_path):
     with ThreadPoolExecutor(6) as pool:
         list(pool.map(lambda i: lake.append(spark.range(i, i + 1), "runs", "log"), range(24)))
     assert sorted(r.id for r in lake.read("runs", "log").collect()) == list(range(24))
+
+
+def test_pages_are_dealt_in_one_pass(spark, tmp_path):
+    passes = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            passes.add(len(batch))
+            yield batch
+
+    table = spark.range(400).selectExpr("id AS k", "id AS v").mapInPandas(seen, "k long, v long")
+    extract = KeysetExtract(spark, str(tmp_path / "x"), ["k"], 20)
+    ends = [[str(i)] for i in range(19, 400, 20)]
+    pages = [(n, ends[n - 2] if n > 1 else None, end) for n, end in enumerate(ends, 1)]
+    extract._write_pages(table, pages, None)
+    assert passes.value == 400 and [m["rows"] for m in extract.marks()] == [20] * 20
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 8, 9])
+def test_range_number(spark, count):
+    rows = [(None, None), (None, "a"), *[(k, t) for k in range(9) for t in (None, "a", "b")]]
+    ends = sorted(random.Random(count).sample(rows, count), key=lambda r: [(v is not None, v) for v in r])
+    numbers = [None if i == 1 else 10 * i for i in range(count)]
+    df = spark.createDataFrame(rows, "k int, t string")
+    given = spark.createDataFrame([(n, e) for n, e in zip(numbers, ends, strict=True)], "number long, end struct<k0: int, k1: string>")
+    after = lambda a, b: [(v is not None, v) for v in a] > [(v is not None, v) for v in b]
+    want = {r: next((n for n, e in zip(numbers, ends, strict=True) if not after(r, e)), None) for r in rows}
+    assert {(r.k, r.t): r.n for r in df.withColumn("n", keyset.range_number(["k", "t"], given)).collect()} == want
