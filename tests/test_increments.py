@@ -3,6 +3,7 @@
 import glob
 import os
 import random
+import shutil
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from lamina.functions import fixed
 from lamina.operators import keyset, lineage, paging
 from lamina.operators.cleaning import clean
+from lamina.plans import increments
 from lamina.plans.increments import BUCKET, FILE_ID
 from lamina.plans.medallion import Medallion, Source
 from lamina.sources import files
@@ -299,3 +301,103 @@ def test_range_number(spark, count):
     after = lambda a, b: [(v is not None, v) for v in a] > [(v is not None, v) for v in b]
     want = {r: next((n for n, e in zip(numbers, ends, strict=True) if not after(r, e)), None) for r in rows}
     assert {(r.k, r.t): r.n for r in df.withColumn("n", keyset.range_number(["k", "t"], given)).collect()} == want
+
+
+TEXTS = [None, "", 'say "x"', "two\nlines", " a, b ", "é"]
+
+
+def shared_rows(spark, ids):
+    return spark.createDataFrame([(i, TEXTS[i % 6], i * 10) for i in ids], "k int, s string, v int")
+
+
+def rows_of(extract, table):
+    found = extract.route(extract.marks(), table.schema)
+    assert found.bad.count() == 0
+    return sorted(map(str, (tuple(r)[:3] for r in found.good.collect()))), sorted(map(str, map(tuple, table.collect())))
+
+
+def below(path, pattern="**/part-*"):
+    return glob.glob(f"{path}/{pattern}", recursive=True)
+
+
+def test_many_pages_share_files(spark, tmp_path):
+    extract = KeysetExtract(spark, str(tmp_path / "x"), ["k"], 5)
+    table = shared_rows(spark, range(0, 2000, 2))
+    assert extract.run(table) == list(range(1, 201))
+    first, marks = below(extract.path), extract.marks()
+    assert len(first) <= 2 * spark.sparkContext.defaultParallelism and len({m["folder"] for m in marks}) == 1
+    assert sum(m["bytes"] for m in marks) + len(first) * len("_page,k,s,v\n") + sum(m["rows"] * len(f"{m['page']},") for m in marks) == sum(os.path.getsize(f) for f in first)
+    found, want = rows_of(extract, table)
+    assert found == want
+    pages = {r[0]: r[1] for r in extract.route(marks, table.schema).good.selectExpr("k", "CAST(regexp_extract(_file_path, '#page=([0-9]+)$', 1) AS INT)").collect()}
+    assert pages == {k: i // 5 + 1 for i, k in enumerate(range(0, 2000, 2))}
+    grown = shared_rows(spark, [*range(0, 2000, 2), *range(1, 1001, 10), 1501])
+    assert extract.run(grown) == [*range(1, 101), 151] and extract.run(grown) == []
+    found, want = rows_of(extract, grown)
+    assert found == want and set(first) < set(below(extract.path))  # pages that have not changed are still there
+    some = [m for m in extract.marks() if m["page"] in (1, 151, 160)]
+    assert extract.route(some, table.schema).good.count() == 5 + 1 + 5 + 1 + 5
+    again = shared_rows(spark, [*range(0, 2000, 2), *range(1, 2001, 10)])
+    extract.run(again)
+    extract.run(again, fresh=True)
+    found, want = rows_of(extract, again)
+    assert found == want and not set(first) & set(below(extract.path))
+
+
+def test_rejects_of_shared_files(spark, tmp_path):
+    extract = KeysetExtract(spark, str(tmp_path / "x"), ["k"], 5)
+    extract.run(spark.range(400).selectExpr("id AS k", "id AS v"))
+    for f in below(extract.path):
+        with open(f, encoding="utf8") as lines:
+            text = lines.read()
+        with open(f, "w", encoding="utf8") as lines:
+            lines.write(text.replace("2,7,7\n", "2,7,x\n2,8\n").replace("3,12,12\n", "3,12,12,12\n"))
+        crc = os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    routed = extract.route(extract.marks(), "k long, v long")
+    assert routed.good.count() == 398
+    assert sorted((r["record"], r["path"][-14:]) for r in routed.bad.collect()) == [("12,12,12", "#page=00000003"), ("7,x", "#page=00000002"), ("8", "#page=00000002")]
+    assert extract.route(extract.marks()).good.filter("k = '5'").count() == 1  # columns as in the header
+
+
+def many_pages(spark, path, monkeypatch):
+    monkeypatch.setattr(increments, "PART_ROWS", 100)
+    return Medallion(Lake(spark, str(path)), datasets=[fixed.CASES], incremental=True, page_rows=2, silver_buckets=4)
+
+
+def test_small_files_share_a_partition(spark, tmp_path, monkeypatch):
+    job = many_pages(spark, tmp_path, monkeypatch)
+    assert load(job, spark, range(0, 400, 2))["loaded_files"] == 100
+    first = stored_files(job, "bronze", fixed.CASES)
+    assert len(os.listdir(job.lake.path("bronze", fixed.CASES))) <= 2 + 2 and len(first) < 20
+    assert job.lake.read("bronze", fixed.CASES).columns[-1] == FILE_ID and same_as_a_rebuild(job)
+    assert load(job, spark, [*range(0, 10), *range(10, 400, 2)])["loaded_files"] == 3
+    second = stored_files(job, "bronze", fixed.CASES)
+    assert {f for f, t in second.items() if first.get(f) == t} and set(first) - set(second)  # one part is as it was
+    assert job.lake.read("bronze", fixed.CASES).count() == 205 and same_as_a_rebuild(job)
+    assert load(job, spark, [*range(0, 10), *range(10, 400, 2), 500, 501, 502])["loaded_files"] == 2
+    assert set(second.items()) <= set(stored_files(job, "bronze", fixed.CASES).items())
+    assert load(job, spark, [*range(0, 400), 500, 501, 502])["loaded_files"] == 98
+    assert job.lake.read("bronze", fixed.CASES).count() == 403 and same_as_a_rebuild(job)
+    assert load(job, spark, [*range(0, 400), 500, 501, 502])["loaded_files"] == 0
+
+
+def test_a_write_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch):
+    job = many_pages(spark, tmp_path, monkeypatch)
+    load(job, spark, range(0, 400, 2))
+    replace = Lake.replace_partitions
+
+    def broken(self, df, layer, name, by):
+        for part in [r[0] for r in df.select(*by).distinct().collect()]:  # old files go before the new ones come
+            shutil.rmtree(f"{self.path(layer, name)}/{by[0]}={part}")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Lake, "replace_partitions", broken)
+    rows = [*range(0, 400, 2), 1]
+    job.extract({fixed.CASES: Source(spark.createDataFrame(case_rows(rows), CASES), "rec_id")})
+    assert job.load_bronze()["errors"] and job.lake.read("bronze", fixed.CASES).count() < 200
+    monkeypatch.setattr(Lake, "replace_partitions", replace)
+    assert load(job, spark, rows)["loaded_files"] >= 50
+    assert job.lake.read("bronze", fixed.CASES).count() == 201 and same_as_a_rebuild(job)
+    assert load(job, spark, rows)["loaded_files"] == 0
