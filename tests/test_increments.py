@@ -66,6 +66,14 @@ def test_range_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(k,10)" in plan and "LessThanOrEqual(k,20)" in plan
 
 
+def test_keys_of_a_range_are_made_few_times(spark):
+    df = spark.range(100).selectExpr("CAST(date_add(DATE '2020-01-01', CAST(id AS INT)) AS STRING) AS d", "CAST(id % 7 AS STRING) AS t", "id")
+    found = df.filter(keyset.between(df, ["d", "t"], ["2020-01-10", "3"], ["2020-01-20", None]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan[plan.index("Filter") :].count("date_add") <= 5  # two bounds for the scan, two comparisons, not null
+    assert sorted(r.id for r in found.collect()) == list(range(10, 19))
+
+
 def pages_of(extract):
     return {m["page"]: sorted(map(str, (tuple(r)[:3] for r in files.route_csv(extract.spark, extract.page_path(m["page"]), ROWS + ", w int", null_mark=files.NULL_MARK).good.collect()))) for m in extract.marks()}
 
